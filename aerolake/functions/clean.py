@@ -66,11 +66,11 @@ def nan_to_null(number: Column) -> Column:
 
 
 def format_bytes(size: Column) -> Column:
-    """``1536`` -> ``1.5 KB``; 1024 steps up to PB, one decimal."""
+    """``1536`` -> ``1.5 KB``; 1024 steps up to PB, one decimal, exact halves to even."""
     size = size.cast("double")
     text = None
     for step, unit in enumerate(_UNITS):
-        shown = F.format_string(f"%.1f {unit}", size / float(1024**step))
+        shown = F.format_string(f"%.1f {unit}", F.bround(size / float(1024**step), 1))
         below = size < float(1024 ** (step + 1))
         text = F.when(below, shown) if text is None else text.when(below, shown)
-    return text.otherwise(F.format_string("%.1f PB", size / float(1024**5)))
+    return text.otherwise(F.format_string("%.1f PB", F.bround(size / float(1024**5), 1)))

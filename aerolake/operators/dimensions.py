@@ -18,11 +18,13 @@ def merge_dimension(
     order: list[str] | None = None,
     touch: str | None = "updated_at",
     ignore_unknown: bool = False,
+    null_overwrites: bool = True,
 ) -> DataFrame:
     """``target`` after create-or-update with ``batch``.
 
-    Columns that the batch supplies overwrite, also with NULL; columns it lacks keep their
-    old value. ``order`` resolves repeated keys (the last row wins); without it the batch
+    Columns that the batch supplies overwrite, also with NULL unless ``null_overwrites`` is
+    off (for sources that leave out what they do not know); columns it lacks keep their old
+    value. ``order`` resolves repeated keys (the last row wins); without it the batch
     must be unique by key. ``touch`` is set to ``now`` on updated and created rows. The added
     column ``change`` is ``created``, ``updated`` or ``unchanged``.
     """
@@ -45,7 +47,10 @@ def merge_dimension(
         if name == "created_at" and name not in supplied:
             return F.when(F.col(key).isNull(), now.cast(types[name])).otherwise(F.col(name))
         if name in supplied:
-            return F.when(hit, F.col(f"_new_{name}").cast(types[name])).otherwise(F.col(name))
+            new_value = F.col(f"_new_{name}").cast(types[name])
+            if not null_overwrites:
+                return F.coalesce(new_value, F.col(name))
+            return F.when(hit, new_value).otherwise(F.col(name))
         return F.col(name)
 
     change = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +17,7 @@ _STATION_TYPES = {f.name: f.dataType.simpleString() for f in STATIONS.fields}
 FILE_ORDER = ["file_path", "row_index"]
 
 
-def stations_from_attributes(raw: DataFrame, order: list[str] = FILE_ORDER) -> DataFrame:
-    """First row for each station code, with the attribute columns the file has."""
+def _station_rows(raw: DataFrame, order: list[str]) -> DataFrame:
     columns = []
     for target in STATION_NAMES:
         name = raw_name(raw, target)
@@ -25,10 +26,12 @@ def stations_from_attributes(raw: DataFrame, order: list[str] = FILE_ORDER) -> D
             if _STATION_TYPES[target] == "double":
                 value = nan_to_null(value)
             columns.append(value.alias(target))
-    stations = raw.select(*columns, *order).filter("station_code is not null")
-    if columns and len(columns) == 1:
-        return stations.select("station_code").distinct()
-    return keep_first(stations, ["station_code"], order).drop(*order)
+    return raw.select(*columns, *order).filter("station_code is not null")
+
+
+def stations_from_attributes(raw: DataFrame, order: list[str] = FILE_ORDER) -> DataFrame:
+    """First row for each station code, with the attribute columns the file has."""
+    return keep_first(_station_rows(raw, order), ["station_code"], order).drop(*order)
 
 
 def stations_from_sampling_ids(sampling_ids: DataFrame) -> DataFrame:
@@ -76,34 +79,75 @@ def sampling_points_from(pairs: DataFrame) -> DataFrame:
     )
 
 
-def parse_sampling_points(raw: DataFrame) -> DataFrame | None:
-    """Sampling points of a raw frame, None if it lacks the id or pollutant column."""
+def _pairs(raw: DataFrame, extra: list[str]) -> DataFrame | None:
     sp, pollutant = raw_name(raw, "sampling_point_id"), raw_name(raw, "pollutant_code")
     if not sp or not pollutant:
         return None
-    return sampling_points_from(
-        raw.select(
-            F.col(f"`{sp}`").cast("string").alias("sampling_point_id"),
-            F.col(f"`{pollutant}`").try_cast("double").try_cast("int").alias("pollutant_code"),
-        )
+    return raw.select(
+        F.col(f"`{sp}`").cast("string").alias("sampling_point_id"),
+        F.col(f"`{pollutant}`").try_cast("double").try_cast("int").alias("pollutant_code"),
+        *extra,
     )
 
 
-def sampling_points_in_order(raw: DataFrame, order: list[str] = FILE_ORDER) -> DataFrame:
-    """One row for each sampling point: the pair that a row-by-row upsert would leave.
+def parse_sampling_points(raw: DataFrame) -> DataFrame | None:
+    """Sampling points of a raw frame, None if it lacks the id or pollutant column."""
+    pairs = _pairs(raw, [])
+    return None if pairs is None else sampling_points_from(pairs)
 
-    Pairs are upserted in the order of their first occurrence, so the pair that shows up
-    last for the first time wins.
+
+def stations_to_upsert(raws: list[DataFrame]) -> DataFrame | None:
+    """One row for each station over many files, as loading file after file would leave it.
+
+    Each file gives the first row of a station; the attributes it has replace those of earlier
+    files, the ones it lacks do not. Needs ``file_path`` and ``row_index``.
     """
-    sp, pollutant = raw_name(raw, "sampling_point_id"), raw_name(raw, "pollutant_code")
-    pairs = raw.select(
-        F.col(f"`{sp}`").cast("string").alias("sampling_point_id"),
-        F.col(f"`{pollutant}`").try_cast("double").try_cast("int").alias("pollutant_code"),
-        F.struct(*order).alias("_at"),
-    ).filter("sampling_point_id <> '' and pollutant_code <> 0")
-    first_seen = pairs.groupBy("sampling_point_id", "pollutant_code").agg(F.min("_at").alias("_at"))
+    found = []
+    for raw in raws:
+        if raw_name(raw, "station_code"):
+            rows = _station_rows(raw, FILE_ORDER)
+            found.append(keep_first(rows, ["station_code", "file_path"], ["row_index"]))
+        elif raw_name(raw, "sampling_point_id"):
+            ids = raw.select(
+                F.col(f"`{raw_name(raw, 'sampling_point_id')}`").cast("string").alias("sp"),
+                "file_path",
+            ).filter(F.col("sp").contains("/"))
+            found.append(
+                ids.select(
+                    station_of_sampling_point(F.col("sp")).alias("station_code"),
+                    country_of_sampling_point(F.col("sp")).alias("country_code"),
+                    "file_path",
+                ).distinct()
+            )
+    if not found:
+        return None
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+    attributes = [c for c in rows.columns if c not in ("station_code", *FILE_ORDER)]
+    newest = [
+        F.max_by(c, F.when(F.col(c).isNotNull(), F.col("file_path"))).alias(c) for c in attributes
+    ]
+    if not newest:
+        return rows.select("station_code").distinct()
+    return rows.groupBy("station_code").agg(*newest)
+
+
+def sampling_points_to_upsert(raws: list[DataFrame]) -> DataFrame | None:
+    """One row for each sampling point over many files.
+
+    A file upserts its distinct (sampling point, pollutant) pairs in the order of their first
+    row, so of several pairs the one that comes last in (file, first row) stays.
+    """
+    pairs = [_pairs(raw, FILE_ORDER) for raw in raws if _pairs(raw, FILE_ORDER) is not None]
+    if not pairs:
+        return None
+    first_seen = (
+        reduce(DataFrame.unionByName, pairs)
+        .filter("sampling_point_id <> '' and pollutant_code <> 0")
+        .groupBy("sampling_point_id", "pollutant_code", "file_path")
+        .agg(F.min("row_index").alias("row_index"))
+    )
     last = first_seen.groupBy("sampling_point_id").agg(
-        F.max_by("pollutant_code", "_at").alias("pollutant_code")
+        F.max_by("pollutant_code", F.struct(*FILE_ORDER)).alias("pollutant_code")
     )
     return sampling_points_from(last)
 

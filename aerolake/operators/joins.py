@@ -15,7 +15,7 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 def estimated_bytes(frame: DataFrame) -> int:
     """Catalyst's size estimate. For joins and aggregates it errs on the large side."""
     stats = frame._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def is_small(frame: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:

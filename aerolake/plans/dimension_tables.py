@@ -25,13 +25,19 @@ class DimensionTable:
         return read_table(self.spark, self.path, self.schema)
 
     def upsert(
-        self, batch: DataFrame, now: datetime, order: list[str] | None = None
+        self,
+        batch: DataFrame,
+        now: datetime,
+        order: list[str] | None = None,
+        null_overwrites: bool = True,
     ) -> dict[str, int]:
         """Create or update; returns how many of each."""
         if self.schema is POLLUTANTS:
             merged = merge_pollutants(self.read(), batch, now)
         else:
-            merged = merge_dimension(self.read(), batch, self.key, now, order)
+            merged = merge_dimension(
+                self.read(), batch, self.key, now, order, null_overwrites=null_overwrites
+            )
         merged = stage(merged, "dimension")
         counts = {r["change"]: r["count"] for r in merged.groupBy("change").count().collect()}
         merged.drop("change").write.mode("overwrite").parquet(self.path)

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.operators.entities import parse_stations, sampling_points_in_order
-from aerolake.operators.harmonise import has_required_columns
+from aerolake.operators.entities import sampling_points_to_upsert, stations_to_upsert
 from aerolake.operators.ledger import COMPLETED, FAILED
-from aerolake.operators.keys import keep_last
 from aerolake.plans.dimension_tables import DimensionTable
 from aerolake.plans.measurement_store import MeasurementStore
 from aerolake.plans.tables import stage
@@ -112,21 +109,12 @@ def load_entities(
 
     The order keeps references intact: parents are written before their children.
     """
-    found = [parse_stations(raw) for raw in result.raws]
-    found = [frame for frame in found if frame is not None]
     counts = {"stations": 0, "sampling_points": 0, "measurements": 0}
-    if found:
-        batch = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
-        batch = batch.groupBy("station_code").agg(
-            *[F.max(c).alias(c) for c in batch.columns if c != "station_code"]
-        )
-        counts["stations"] = sum(stations.upsert(batch, now).values())
-    points = [
-        sampling_points_in_order(raw) for raw in result.raws if has_required_columns(raw)
-    ]
-    if points:
-        batch = reduce(DataFrame.unionByName, points)
-        batch = keep_last(batch, ["sampling_point_id"], ["pollutant_code"])
-        counts["sampling_points"] = sum(sampling_points.upsert(batch, now).values())
+    for name, table, batch in [
+        ("stations", stations, stations_to_upsert(result.raws)),
+        ("sampling_points", sampling_points, sampling_points_to_upsert(result.raws)),
+    ]:
+        if batch is not None:
+            counts[name] = sum(table.upsert(batch, now, null_overwrites=False).values())
     counts["measurements"] = store.insert(result.measurements)
     return counts

@@ -12,10 +12,11 @@ import json
 from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from aerolake.operators.harmonise import cast_measurements, empty_measurements
 from aerolake.schemas import RAW_NAMES
@@ -41,14 +42,14 @@ def list_files(spark: SparkSession, *paths: str, pattern: str | None = None) ->
     return reader.load(list(paths)).select("path", "length")
 
 
-def _spark_type(field) -> str | None:
-    """Spark type that reads a Parquet column of this Arrow type."""
-    import pyarrow as pa
-
+def _spark_type(field: pa.Field, physical: str | None) -> str | None:
+    """Spark type that reads a Parquet column of this Arrow and physical type."""
     kind = field.type
     if pa.types.is_dictionary(kind):
         kind = kind.value_type
     if pa.types.is_timestamp(kind):
+        if physical == "INT96":
+            return "timestamp"
         if kind.unit == "ns":
             return "bigint"
         return "timestamp" if kind.tz else "timestamp_ntz"
@@ -67,15 +68,16 @@ def _spark_type(field) -> str | None:
     return None
 
 
-def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """First and last four bytes and the footer of each file; never the data pages."""
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
     for batch in batches:
         found = []
-        for path, length in zip(batch["path"], batch["length"]):
-            record = {"path": path, "length": length, "is_parquet": False}
+        for listed in batch.to_pylist():
+            path, length = listed["path"], listed["length"]
+            record = {**listed, "is_parquet": False}
             try:
                 # Hadoop writes local paths as file:/x, Arrow wants file:///x
                 uri = path.replace("file:/", "file:///", 1) if not path.startswith("file:///") else path
@@ -89,12 +91,16 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     handle.seek(0)
                     footer = pq.ParquetFile(handle)
                     record["rows"] = footer.metadata.num_rows
-                    types = [(f.name, _spark_type(f)) for f in footer.schema_arrow]
+                    leaves = [footer.schema.column(i) for i in range(len(footer.schema))]
+                    physical = {leaf.path: leaf.physical_type for leaf in leaves}
+                    types = [
+                        (f.name, _spark_type(f, physical.get(f.name))) for f in footer.schema_arrow
+                    ]
                 record["columns"] = json.dumps([t for t in types if t[1] and t[0] in _KNOWN])
             except Exception as problem:  # noqa: BLE001 - a bad file is a result here
                 record["error"] = f"{type(problem).__name__}: {problem}"
             found.append(record)
-        yield pd.DataFrame(found, columns=_FOOTERS.names)
+        yield pa.RecordBatch.from_pylist(found, schema=to_arrow_schema(_FOOTERS))
 
 
 def inspect_files(files: DataFrame) -> DataFrame:
@@ -103,7 +109,7 @@ def inspect_files(files: DataFrame) -> DataFrame:
     ``files`` has ``path, length``. Adds ``is_parquet``, ``rows``, ``columns`` (JSON of the
     known raw columns with their Spark types) and ``error`` (NULL for a usable file).
     """
-    return files.select("path", "length").mapInPandas(_read_footers, _FOOTERS)
+    return files.select("path", "length").mapInArrow(_read_footers, _FOOTERS)
 
 
 def file_integrity(files: DataFrame) -> DataFrame:
