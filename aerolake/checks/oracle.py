@@ -409,8 +409,8 @@ _SQL = {
         UNION ALL SELECT 'sampling_points', count(*) FROM fx_sampling_points
         UNION ALL SELECT 'measurements', count(*) FROM fx_measurements""",
     "data_quality": """
-        SELECT *, round(valid_measurements * 100.0::DOUBLE / total_measurements, 2) AS valid_percentage,
-               round(invalid_measurements * 100.0::DOUBLE / total_measurements, 2) AS invalid_percentage
+        SELECT *, round(valid_measurements::DOUBLE / total_measurements * 100.0::DOUBLE, 2) AS valid_percentage,
+               round(invalid_measurements::DOUBLE / total_measurements * 100.0::DOUBLE, 2) AS invalid_percentage
         FROM (SELECT count(*) AS total_measurements, count(*) FILTER (validity = 1) AS valid_measurements,
                      count(*) FILTER (validity IN (-1, -99)) AS invalid_measurements,
                      count(*) FILTER (validity IN (2, 3)) AS below_detection_measurements,
@@ -429,7 +429,7 @@ _SQL = {
                count(*) FILTER (status = 'failed') AS batches_failed, count(*) FILTER (status = 'running') AS batches_running,
                count(*) FILTER (status = 'pending') AS batches_pending, CAST(sum(succeeded) AS BIGINT) AS urls_succeeded,
                CAST(sum(failed) AS BIGINT) AS urls_failed,
-               round(count(*) FILTER (status = 'completed') * 100.0::DOUBLE / count(*), 2) AS completion_pct
+               round(count(*) FILTER (status = 'completed') / count(*) * 100.0::DOUBLE, 2) AS completion_pct
         FROM fx_batch_states GROUP BY 1""",
     "job_status": "SELECT job_id, status FROM fx_job_status",
     "job_status_strict": """

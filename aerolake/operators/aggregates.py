@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolake.functions.flags import at_least_valid, hourly
@@ -10,6 +10,7 @@ from aerolake.operators.joins import BROADCAST_LIMIT_BYTES, is_small
 from aerolake.schemas import DAILY
 
 DAILY_KEY = ["day", "station_code", "pollutant_code"]
+MERGE_BUCKETS = 64
 
 
 def _statistics() -> list[Column]:
@@ -25,7 +26,7 @@ def _statistics() -> list[Column]:
 
 
 def _point_days(rows: DataFrame) -> DataFrame:
-    """Mergeable daily statistics for each sampling point."""
+    """Mergeable daily statistics of each sampling point; ``m2`` is its squared deviation."""
     return rows.groupBy("day", "sampling_point_id", "pollutant_code").agg(
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
@@ -38,24 +39,49 @@ def _point_days(rows: DataFrame) -> DataFrame:
     )
 
 
+def _merge(parts: DataFrame, key: list[str]) -> DataFrame:
+    """Merge statistics by key.
+
+    Deviations are taken from the common mean, as a difference of large sums of squares would
+    lose the digits that matter. Window and aggregate share one shuffle.
+    """
+    same_key = Window.partitionBy(*key)
+    centre = F.sum(F.col("n") * F.col("mean")).over(same_key) / F.sum("n").over(same_key)
+    return (
+        parts.withColumn("centre", F.when(F.sum("n").over(same_key) > 0, centre))
+        .groupBy(*key)
+        .agg(
+            F.sum("n").alias("n"),
+            F.max("centre").alias("mean"),
+            F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("centre"), 2)).alias("m2"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.sum("rows").alias("rows"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+        )
+    )
+
+
 def _merge_point_days(point_days: DataFrame) -> DataFrame:
-    """Combine sampling points of a station: counts, means and squared deviations add up."""
-    n = F.sum("n")
-    total = F.sum(F.col("n") * F.col("mean"))
-    between = F.sum(F.col("n") * F.col("mean") * F.col("mean")) - total * total / n
-    # equal means have no spread between them; do not let rounding invent one
-    between = F.when(F.min("mean") == F.max("mean"), F.lit(0.0)).otherwise(
-        F.greatest(between, F.lit(0.0))
+    """Combine the sampling points of a station.
+
+    First in buckets, so that a station with very many sampling points is spread over tasks;
+    then the few buckets of each group.
+    """
+    bucketed = point_days.withColumn(
+        "bucket", F.pmod(F.xxhash64("sampling_point_id"), F.lit(MERGE_BUCKETS))
     )
-    squares = F.sum("m2") + between
-    return point_days.groupBy(*DAILY_KEY).agg(
-        F.when(n > 0, total / n).alias("avg_value"),
-        F.min("low").alias("min_value"),
-        F.max("high").alias("max_value"),
-        F.when(n > 1, F.sqrt(squares / (n - 1))).alias("stddev_value"),
-        F.sum("rows").alias("count"),
-        F.min("first").alias("first_measurement"),
-        F.max("last").alias("last_measurement"),
+    merged = _merge(_merge(bucketed, [*DAILY_KEY, "bucket"]), DAILY_KEY)
+    return merged.select(
+        *DAILY_KEY,
+        F.col("mean").alias("avg_value"),
+        F.col("low").alias("min_value"),
+        F.col("high").alias("max_value"),
+        F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))).alias("stddev_value"),
+        F.col("rows").alias("count"),
+        F.col("first").alias("first_measurement"),
+        F.col("last").alias("last_measurement"),
     )
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from aerolake import schemas
 
@@ -51,25 +54,31 @@ VERIFICATION_SEED = [
 ]
 
 
+def _rows(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """A local relation, so that Spark knows how small it is."""
+    schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    records = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(schema)))
+
+
 def country_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        COUNTRY_SEED, "country_code string, country_name string, region string"
-    )
+    return _rows(spark, COUNTRY_SEED, "country_code string, country_name string, region string")
 
 
 def pollutant_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return _rows(
+        spark,
         POLLUTANT_SEED,
         "pollutant_code int, pollutant_name string, pollutant_label string, unit string",
     )
 
 
 def validity_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(VALIDITY_SEED, schemas.VALIDITY_FLAGS)
+    return _rows(spark, VALIDITY_SEED, schemas.VALIDITY_FLAGS)
 
 
 def verification_seed(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(VERIFICATION_SEED, schemas.VERIFICATION_STATUS)
+    return _rows(spark, VERIFICATION_SEED, schemas.VERIFICATION_STATUS)
 
 
 def seed(existing: DataFrame, rows: DataFrame, key: str) -> DataFrame:
