@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from aerolake.fixtures import Fixtures
 from aerolake.functions import clean, codes, flags
+from aerolake.functions.times import instant
 from aerolake.operators import (
     aggregates,
     dimensions,
@@ -195,7 +196,7 @@ def read_from_local_copy(fx):
 
 @query
 def bulk_insert(fx):
-    cut = F.col("time") < F.lit(datetime(2024, 1, 15))
+    cut = F.col("time") < instant(datetime(2024, 1, 15))
     store = _store(fx, fx.measurements.filter(cut), fx.measurements.filter(~cut))
     return _measured(store.read())
 
@@ -377,7 +378,7 @@ def truncate_daily(fx):
 def compact_old_partitions(fx):
     store = _store(fx, fx.measurements)
     maintenance.compact_old_partitions(
-        fx.spark, store.path, work_dir(fx.spark, "compaction"), datetime(2024, 2, 15)
+        store, work_dir(fx.spark, "compaction"), datetime(2024, 2, 15)
     )
     return _measured(store.read())
 
@@ -818,9 +819,9 @@ def job_status_strict(fx):
 def _compacted_store(fx):
     store = _store(fx, fx.measurements)
     notes = work_dir(fx.spark, "compaction")
-    maintenance.compact_old_partitions(fx.spark, store.path, notes, datetime(2024, 2, 15))
+    maintenance.compact_old_partitions(store, notes, datetime(2024, 2, 15))
     return (
-        maintenance.day_files(fx.spark, store.path),
+        maintenance.chunk_files(store),
         maintenance.read_compaction_ledger(fx.spark, notes),
     )
 

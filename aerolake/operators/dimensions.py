@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolake.functions.times import instant
 from aerolake.operators.keys import keep_last
 
 
@@ -35,7 +36,7 @@ def merge_dimension(
     supplied = [c for c in batch.columns if c in target.columns and c not in order]
     if order:
         batch = keep_last(batch.select(*supplied, *order), [key], order)
-    now = now if isinstance(now, Column) else F.lit(now)
+    now = now if isinstance(now, Column) else instant(now)
     new = batch.select(*[F.col(name).alias(f"_new_{name}") for name in supplied])
     joined = target.join(new, F.col(key) == F.col(f"_new_{key}"), "full_outer")
     hit = F.col(f"_new_{key}").isNotNull()

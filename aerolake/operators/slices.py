@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolake.functions.times import as_utc, instant
 from aerolake.operators.joins import small_or_shuffled
 
 
 def in_period(measurements: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
     """Rows with ``start <= time < end``.
 
-    On a table partitioned by ``day`` the partition predicate is added, since Spark cannot
-    derive it from ``time``.
+    On a stored table use ``MeasurementStore.between``, which also prunes partitions: Spark
+    cannot derive them from ``time``.
     """
-    partitioned = "day" in measurements.columns
     if start is not None:
-        measurements = measurements.filter(F.col("time") >= F.lit(start))
-        if partitioned:
-            measurements = measurements.filter(F.col("day") >= F.lit(start.date()))
+        measurements = measurements.filter(F.col("time") >= instant(start))
     if end is not None:
-        measurements = measurements.filter(F.col("time") < F.lit(end))
-        if partitioned:
-            measurements = measurements.filter(F.col("day") <= F.lit(end.date()))
+        measurements = measurements.filter(F.col("time") < instant(end))
     return measurements
 
 
@@ -119,18 +115,18 @@ def whole_days(start: datetime | None, end: datetime | None) -> tuple[date, date
     """
     if start is None or end is None:
         return None
+    start, end = as_utc(start), as_utc(end)
     first = start.date()
-    if start > datetime.combine(first, datetime.min.time(), start.tzinfo):
+    if start.time() > time.min:
         first += timedelta(days=1)
     return first, max(first, end.date())
 
 
 def late_rows(measurements: DataFrame, now: datetime, start_offset_days: int = 30) -> DataFrame:
     """Per day, the rows too old for the scheduled refresh: their days need a manual one."""
-    horizon = (now - timedelta(days=start_offset_days)).date()
-    day = F.col("day") if "day" in measurements.columns else F.to_date("time")
+    horizon = (as_utc(now) - timedelta(days=start_offset_days)).date()
     return (
-        measurements.groupBy(day.alias("day"))
+        measurements.filter(F.col("time") < instant(datetime.combine(horizon, time.min)))
+        .groupBy(F.to_date("time").alias("day"))
         .agg(F.count("*").alias("rows"))
-        .filter(F.col("day") < F.lit(horizon))
     )

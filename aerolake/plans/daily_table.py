@@ -7,10 +7,18 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolake.functions.times import start_of
 from aerolake.operators.aggregates import DAILY_KEY, daily_measurements
 from aerolake.operators.slices import policy_window, whole_days
 from aerolake.plans.measurement_store import MeasurementStore
-from aerolake.plans.tables import drop_days, partition_days, read_table, stage, write_days
+from aerolake.plans.tables import (
+    drop_dates,
+    partition_dates,
+    read_dates,
+    read_table,
+    stage,
+    write_dates,
+)
 from aerolake.schemas import DAILY
 
 
@@ -25,7 +33,7 @@ class DailyTable:
         return read_table(self.spark, self.path, DAILY).select(*DAILY.names)
 
     def days(self) -> set[date]:
-        return partition_days(self.spark, self.path)
+        return partition_dates(self.spark, self.path)
 
     def _publish(self, daily: DataFrame, stale: set[date]) -> int:
         """Replace the days in ``stale`` by ``daily``, also where a day has no rows any more.
@@ -35,8 +43,8 @@ class DailyTable:
         staged = stage(daily, "daily")
         counts = staged.groupBy("day").agg(F.count("*").alias("rows")).collect()
         if counts:
-            write_days(staged, self.path, "overwrite")
-        drop_days(self.spark, self.path, stale - {row["day"] for row in counts})
+            write_dates(staged, self.path, "overwrite")
+        drop_dates(self.spark, self.path, stale - {row["day"] for row in counts})
         return sum(row["rows"] for row in counts)
 
     def refresh(
@@ -54,9 +62,10 @@ class DailyTable:
         if window is None:
             return self._publish(daily_measurements(store.read(), sampling_points), self.days())
         first, past = window
-        span = (F.col("day") >= F.lit(first)) & (F.col("day") < F.lit(past))
+        # midnight to midnight, so no row of another day comes along
+        rows = store.between(start_of(first), start_of(past))
         stale = {day for day in self.days() if first <= day < past}
-        return self._publish(daily_measurements(store.read().filter(span), sampling_points), stale)
+        return self._publish(daily_measurements(rows, sampling_points), stale)
 
     def refresh_policy(self, store: MeasurementStore, sampling_points: DataFrame, now: datetime) -> int:
         """The hourly refresh: from 30 days to 1 day before ``now``."""
@@ -66,8 +75,9 @@ class DailyTable:
         """Recompute just these days, however far apart they lie."""
         if not days:
             return 0
-        rows = store.read().filter(F.col("day").isin(sorted(days)))
-        return self._publish(daily_measurements(rows, sampling_points), days & self.days())
+        rows = store.read_days(days).filter(F.to_date("time").isin(sorted(days)))
+        daily = daily_measurements(rows, sampling_points)
+        return self._publish(daily, days & self.days())
 
     def upsert(self, changed: DataFrame) -> int:
         """Overwrite single rows, as a stream in update mode hands them out."""
@@ -76,17 +86,17 @@ class DailyTable:
         touched = days & self.days()
         merged = changed
         if touched:
-            kept = self.read().filter(F.col("day").isin(sorted(touched)))
+            kept = read_dates(self.spark, self.path, DAILY, touched).select(*DAILY.names)
             # station_code may be NULL, so the key is compared null-safe
             same = [F.col(f"k.{c}").eqNullSafe(F.col(f"c.{c}")) for c in DAILY_KEY]
             kept = kept.alias("k").join(changed.select(*DAILY_KEY).alias("c"), same, "left_anti")
             merged = kept.unionByName(changed)
         if days:
-            write_days(merged, self.path, "overwrite")
+            write_dates(merged, self.path, "overwrite")
         return len(days)
 
     def truncate(self) -> int:
         """Remove all rows; returns how many there were."""
         rows = self.read().count()
-        drop_days(self.spark, self.path, self.days())
+        drop_dates(self.spark, self.path, self.days())
         return rows

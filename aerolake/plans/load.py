@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolake.functions.times import instant, utc_now
 from aerolake.operators.entities import sampling_points_to_upsert, stations_to_upsert
 from aerolake.operators.ledger import COMPLETED, FAILED
 from aerolake.plans.dimension_tables import DimensionTable
@@ -56,7 +57,7 @@ def load_manifest(
     job_id: str,
     upsert: bool = False,
     batch_size: int = 50,
-    clock=datetime.utcnow,
+    clock=utc_now,
 ) -> DataFrame:
     """Load the local copies of a manifest's URLs; returns ledger rows, one for each URL.
 
@@ -88,10 +89,10 @@ def load_manifest(
             F.when(failure.isNull(), COMPLETED).otherwise(FAILED).alias("status"),
             F.when(failure.isNull(), F.col("measurements")).alias("measurements"),
             failure.alias("error"),
-            F.lit(started).alias("created_at"),
-            F.lit(started).alias("started_at"),
-            F.lit(ended).alias("ended_at"),
-            F.lit(ended).alias("event_time"),
+            instant(started).alias("created_at"),
+            instant(started).alias("started_at"),
+            instant(ended).alias("ended_at"),
+            instant(ended).alias("event_time"),
         )
         .select(*LEDGER.names)
     )

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.functions.clean import format_bytes
-from aerolake.plans.tables import exists, partition_days, read_table
+from aerolake.functions.times import as_utc
+from aerolake.plans.measurement_store import MeasurementStore
+from aerolake.plans.tables import exists, read_dates, read_table
 
 COMPACTION_LEDGER = T.StructType(
     [
-        T.StructField("day", T.DateType(), False),
+        T.StructField("chunk", T.DateType(), False),
         T.StructField("before_bytes", T.LongType()),
         T.StructField("after_bytes", T.LongType()),
         T.StructField("error", T.StringType()),
@@ -21,26 +23,26 @@ COMPACTION_LEDGER = T.StructType(
     ]
 )
 TARGET_FILE_BYTES = 256 * 1024 * 1024
-_PARQUET = "*.parquet"
 
 
-def day_files(spark: SparkSession, path: str) -> DataFrame:
-    """``day, path, length`` of the table's data files, from the listing alone."""
-    if not exists(spark, path):
-        return spark.createDataFrame([], "day date, path string, length long")
-    day = F.regexp_extract("path", r"/day=(\d{4}-\d{2}-\d{2})/", 1).try_cast("date")
+def chunk_files(store: MeasurementStore) -> DataFrame:
+    """``chunk, path, length`` of the store's data files, from the listing alone."""
+    spark = store.spark
+    if not exists(spark, store.path):
+        return spark.createDataFrame([], "chunk date, path string, length long")
+    chunk = F.regexp_extract("path", rf"/{store.column}=(\d{{4}}-\d{{2}}-\d{{2}})/", 1)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", _PARQUET)
-        .load(path)
-        .select(day.alias("day"), "path", "length")
+        .option("pathGlobFilter", "*.parquet")
+        .load(store.path)
+        .select(chunk.try_cast("date").alias("chunk"), "path", "length")
     )
 
 
-def day_sizes(spark: SparkSession, path: str) -> dict[date, int]:
-    rows = day_files(spark, path).groupBy("day").agg(F.sum("length").alias("bytes")).collect()
-    return {row["day"]: row["bytes"] for row in rows}
+def _chunk_bytes(store: MeasurementStore) -> dict[date, int]:
+    sizes = chunk_files(store).groupBy("chunk").agg(F.sum("length").alias("bytes"))
+    return {row["chunk"]: row["bytes"] for row in sizes.collect()}
 
 
 def read_compaction_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -48,10 +50,10 @@ def read_compaction_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compacted(ledger: DataFrame) -> DataFrame:
-    """Days done, with their first size before and last size after."""
+    """Chunks done, with their first size before and last size after."""
     return (
         ledger.filter("error is null")
-        .groupBy("day")
+        .groupBy("chunk")
         .agg(
             F.min_by("before_bytes", "compacted_at").alias("before_bytes"),
             F.max_by("after_bytes", "compacted_at").alias("after_bytes"),
@@ -60,41 +62,40 @@ def compacted(ledger: DataFrame) -> DataFrame:
 
 
 def compact_old_partitions(
-    spark: SparkSession,
-    path: str,
+    store: MeasurementStore,
     ledger_path: str,
     now: datetime,
     older_than_days: int = 30,
-    days_at_once: int = 32,
+    chunks_at_once: int = 32,
     target_file_bytes: int = TARGET_FILE_BYTES,
 ) -> int:
-    """Rewrite day partitions older than some days into large sorted files; returns how many.
+    """Rewrite chunks that ended some days ago into large sorted files; returns how many.
 
     Rows are ordered by sampling point, newest first, then pollutant, so that a filter on a
-    sampling point skips most row groups. Range partitioning also cuts a day, or a sampling
-    point within it, that is too large for one file. Days in the ledger are skipped; days are
-    taken in groups, and if a group fails its days are tried one by one, so that a failing day
-    is noted and passed over. A day that gets new rows later is not compacted again.
+    sampling point skips most row groups. Range partitioning also cuts a chunk, or a sampling
+    point within it, that is too large for one file. Chunks in the ledger are skipped. They are
+    taken in groups, and if a group fails its chunks are tried one by one, so that a failing
+    one is noted and passed over. A chunk that gets new rows later is not compacted again.
     """
-    limit = (now - timedelta(days=older_than_days)).date()
-    done = {r["day"] for r in compacted(read_compaction_ledger(spark, ledger_path)).collect()}
-    before = day_sizes(spark, path)
-    todo = sorted(d for d in partition_days(spark, path) if d < limit and d not in done)
+    spark, now = store.spark, as_utc(now)
+    limit = (now - timedelta(days=older_than_days)).date() - timedelta(days=store.chunk_days)
+    done = {r["chunk"] for r in compacted(read_compaction_ledger(spark, ledger_path)).collect()}
+    before = _chunk_bytes(store)
+    todo = sorted(chunk for chunk in store.chunks() if chunk <= limit and chunk not in done)
     count = 0
-    for first in range(0, len(todo), days_at_once):
-        group = todo[first : first + days_at_once]
+    for first in range(0, len(todo), chunks_at_once):
+        group = todo[first : first + chunks_at_once]
+        errors: dict[date, str] = {}
         try:
-            _rewrite(spark, path, group, before, target_file_bytes)
-            errors: dict[date, str] = {}
-        except Exception:  # noqa: BLE001 - find the failing day
-            errors = {}
-            for day in group:
+            _rewrite(store, group, before, target_file_bytes)
+        except Exception:  # noqa: BLE001 - find the failing one
+            for chunk in group:
                 try:
-                    _rewrite(spark, path, [day], before, target_file_bytes)
+                    _rewrite(store, [chunk], before, target_file_bytes)
                 except Exception as problem:  # noqa: BLE001 - noted, the rest goes on
-                    errors[day] = str(problem)[:500]
-        after = day_sizes(spark, path)
-        entries = [(d, before.get(d), after.get(d), errors.get(d), now) for d in group]
+                    errors[chunk] = str(problem)[:500]
+        after = _chunk_bytes(store)
+        entries = [(c, before.get(c), after.get(c), errors.get(c), now) for c in group]
         spark.createDataFrame(entries, COMPACTION_LEDGER).coalesce(1).write.mode("append").parquet(
             ledger_path
         )
@@ -103,28 +104,27 @@ def compact_old_partitions(
 
 
 def _rewrite(
-    spark: SparkSession, path: str, days: list[date], sizes: dict[date, int], target: int
+    store: MeasurementStore, chunks: list[date], sizes: dict[date, int], target: int
 ) -> None:
-    parts = max(1, sum(sizes.get(day, 0) for day in days) // target) + len(days) - 1
-    order = ["day", "sampling_point_id", F.desc("time"), "pollutant_code"]
+    parts = max(1, sum(sizes.get(chunk, 0) for chunk in chunks) // target) + len(chunks) - 1
+    order = [store.column, "sampling_point_id", F.desc("time"), "pollutant_code"]
     (
-        spark.read.parquet(path)
-        .filter(F.col("day").isin(days))
+        read_dates(store.spark, store.path, store.schema, chunks, store.column)
         .repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
-        .partitionBy("day")
-        .parquet(path)
+        .partitionBy(store.column)
+        .parquet(store.path)
     )
 
 
 def compaction_status(files: DataFrame, ledger: DataFrame, enabled: bool = True) -> DataFrame:
-    """One row: partitions in all, compacted and not. ``files`` as from ``day_files``."""
-    days = files.select("day").distinct()
-    done = compacted(ledger).select("day", F.lit(True).alias("done"))
-    return days.join(done, "day", "left").agg(
+    """One row: partitions in all, compacted and not. ``files`` as from ``chunk_files``."""
+    chunks = files.select("chunk").distinct()
+    done = compacted(ledger).select("chunk", F.lit(True).alias("done"))
+    return chunks.join(done, "chunk", "left").agg(
         F.count("*").alias("total_partitions"),
         F.count_if(F.col("done")).alias("compacted_partitions"),
         F.count_if(F.col("done").isNull()).alias("uncompacted_partitions"),
@@ -135,7 +135,7 @@ def compaction_status(files: DataFrame, ledger: DataFrame, enabled: bool = True)
 def storage_report(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """One row on table size and what compaction saved.
 
-    Without compacted days both sizes are the table's and the ratio is 1.
+    Without compacted chunks both sizes are the table's and the ratio is 1.
     """
     table = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("table_bytes"))
     saved = compacted(ledger).agg(

@@ -1,26 +1,32 @@
-"""The stored fact table: Parquet, partitioned by UTC day, unique by time and sampling point."""
+"""The stored fact table: Parquet, partitioned by spans of UTC days, unique by time and
+sampling point.
+"""
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.functions.copytext import copy_line
+from aerolake.functions.times import as_utc, instant
 from aerolake.operators.joins import small_or_shuffled
 from aerolake.operators.keys import insert_conflicts, key_counts
+from aerolake.operators.slices import in_period
 from aerolake.plans.tables import (
-    drop_days,
-    partition_days,
+    check_partition_column,
+    drop_dates,
+    partition_dates,
+    read_dates,
     read_table,
     stage,
-    write_days,
+    write_dates,
 )
 from aerolake.schemas import MEASUREMENT_KEY, MEASUREMENTS
 
-_STORED = T.StructType(MEASUREMENTS.fields + [T.StructField("day", T.DateType())])
+_ORIGIN = date(1970, 1, 5)  # chunks are counted from this Monday
 
 
 class DuplicateKeyError(ValueError):
@@ -70,43 +76,69 @@ def copy_text(batch: DataFrame) -> DataFrame:
 class MeasurementStore:
     """Inserts, upserts and deletes on one table path.
 
-    One writer at a time; readers keep seeing the old files of a day until a write commits.
+    A partition ("chunk") holds ``chunk_days`` days: one by default, which suits large tables,
+    since a chunk is what an upsert or delete rewrites; more for sparse ones. The partition
+    column carries the number in its name, so a table cannot be opened with another one. One
+    writer at a time; readers keep seeing the old files of a chunk until a write commits.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, chunk_days: int = 1):
         self.spark = spark
         self.path = path
+        self.chunk_days = chunk_days
+        self.column = f"chunk_{chunk_days}d"
+        self.schema = T.StructType(MEASUREMENTS.fields + [T.StructField(self.column, T.DateType())])
+        check_partition_column(spark, path, self.column)
+
+    def chunk_of(self, day: date) -> date:
+        """First day of the chunk that holds a day."""
+        return day - timedelta(days=(day - _ORIGIN).days % self.chunk_days)
+
+    def _with_chunk(self, rows: DataFrame) -> DataFrame:
+        day = F.to_date("time")
+        past = F.pmod(F.datediff(day, F.lit(_ORIGIN)), F.lit(self.chunk_days))
+        return rows.withColumn(self.column, F.date_sub(day, past))
+
+    def chunks(self) -> set[date]:
+        return partition_dates(self.spark, self.path, self.column)
 
     def read(self) -> DataFrame:
-        """All rows, with the partition column ``day`` for pruning."""
-        return read_table(self.spark, self.path, _STORED)
+        """All rows, with the partition column."""
+        return read_table(self.spark, self.path, self.schema)
 
-    def _read_days(self, days: set[date]) -> DataFrame:
-        table = self.read()
-        return table.filter(F.col("day").isin(sorted(days))) if days else table.limit(0)
+    def _read_chunks(self, chunks: set[date]) -> DataFrame:
+        return read_dates(self.spark, self.path, self.schema, chunks & self.chunks(), self.column)
 
-    def days(self) -> set[date]:
-        return partition_days(self.spark, self.path)
+    def read_days(self, days: set[date]) -> DataFrame:
+        """The chunks that hold these days, without listing the rest of the table."""
+        return self._read_chunks({self.chunk_of(day) for day in days})
+
+    def between(self, start: datetime | None, end: datetime | None) -> DataFrame:
+        """Rows with ``start <= time < end``; only the chunks of that span are listed."""
+        first = self.chunk_of(as_utc(start).date()) if start else date.min
+        last = (as_utc(end) - timedelta(microseconds=1)).date() if end else date.max
+        chunks = {chunk for chunk in self.chunks() if first <= chunk <= last}
+        return in_period(self._read_chunks(chunks), start, end)
 
     def _append(self, batch: DataFrame, **options: object) -> int:
         """Append after the key check; returns the number of rows."""
-        rows = batch.withColumn("day", F.to_date("time"))
-        # one pass over the batch: row count, repeats and touched days
+        rows = self._with_chunk(batch)
+        # one pass over the batch: row count, repeats and touched chunks
         summary = (
-            key_counts(rows, ["day", *MEASUREMENT_KEY])
-            .groupBy("day")
+            key_counts(rows, [self.column, *MEASUREMENT_KEY])
+            .groupBy(F.col(self.column).alias("chunk"))
             .agg(F.sum("copies").alias("rows"), F.count_if(F.col("copies") > 1).alias("repeated"))
-            .collect()  # one row for each calendar day in the batch
+            .collect()  # one row for each chunk in the batch
         )
         if not summary:
             return 0
-        touched = {row["day"] for row in summary} & self.days()
+        touched = {row["chunk"] for row in summary} & self.chunks()
         if any(row["repeated"] for row in summary):
-            self._refuse(insert_conflicts(batch, self._read_days(set()), MEASUREMENT_KEY))
+            self._refuse(insert_conflicts(batch, self._read_chunks(set()), MEASUREMENT_KEY))
         if touched:
-            there = rows.filter(F.col("day").isin(sorted(touched)))
-            self._refuse(insert_conflicts(there, self._read_days(touched), MEASUREMENT_KEY))
-        write_days(rows, self.path, "append", **options)
+            there = rows.filter(F.col(self.column).isin(sorted(touched)))
+            self._refuse(insert_conflicts(there, self._read_chunks(touched), MEASUREMENT_KEY))
+        write_dates(rows, self.path, "append", self.column, **options)
         return sum(row["rows"] for row in summary)
 
     @staticmethod
@@ -132,7 +164,7 @@ class MeasurementStore:
     def upsert(self, batch: DataFrame, order: list[str]) -> int:
         """Insert or overwrite by key; of repeated keys the last in ``order`` wins.
 
-        Returns the number of rows handed in. Only days that occur in the batch are rewritten.
+        Returns the number of rows handed in. Only chunks that occur in the batch are rewritten.
         """
         types = {f.name: f.dataType for f in MEASUREMENTS.fields}
         typed = batch.select(
@@ -143,48 +175,51 @@ class MeasurementStore:
             *[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)],
         ).withColumn("_copies", F.lit(1).cast("bigint"))
         places = [f"_order_{i}" for i in range(len(order))]
-        latest = stage(
-            keep_last_counted(typed, places).withColumn("day", F.to_date("time")), "upsert"
+        latest = stage(self._with_chunk(keep_last_counted(typed, places)), "upsert")
+        summary = (
+            latest.groupBy(F.col(self.column).alias("chunk"))
+            .agg(F.sum("_copies").alias("rows"))
+            .collect()
         )
-        summary = latest.groupBy("day").agg(F.sum("_copies").alias("rows")).collect()
         if not summary:
             return 0
-        latest = latest.select(*_STORED.names)
-        touched = {row["day"] for row in summary} & self.days()
+        latest = latest.select(*self.schema.names)
+        touched = {row["chunk"] for row in summary} & self.chunks()
         merged = latest
         if touched:
-            # day is implied by time; as a join key it adds nothing, as a filter it prunes
-            kept = self._read_days(touched).join(
+            kept = self._read_chunks(touched).join(
                 small_or_shuffled(latest.select(*MEASUREMENT_KEY)), MEASUREMENT_KEY, "left_anti"
             )
             merged = kept.unionByName(latest)
-        write_days(merged, self.path, "overwrite")
+        write_dates(merged, self.path, "overwrite", self.column)
         return sum(row["rows"] for row in summary)
 
     def _delete(self, candidates: DataFrame, doomed: Column, kept_of) -> int:
-        """Rewrite the days that lose rows and drop the days that lose all of them."""
+        """Rewrite the chunks that lose rows and drop the chunks that lose all of them."""
         counts = (
-            candidates.groupBy("day")
+            candidates.groupBy(F.col(self.column).alias("chunk"))
             .agg(F.count_if(doomed).alias("deleted"), F.count("*").alias("rows"))
             .filter("deleted > 0")
-            .collect()  # one row for each affected day
+            .collect()  # one row for each affected chunk
         )
-        rewritten = {r["day"] for r in counts if r["deleted"] < r["rows"]}
-        emptied = {r["day"] for r in counts if r["deleted"] == r["rows"]}
+        rewritten = {r["chunk"] for r in counts if r["deleted"] < r["rows"]}
+        emptied = {r["chunk"] for r in counts if r["deleted"] == r["rows"]}
         if rewritten:
-            write_days(kept_of(self._read_days(rewritten)), self.path, "overwrite")
-        drop_days(self.spark, self.path, emptied)
+            kept = kept_of(self._read_chunks(rewritten))
+            write_dates(kept, self.path, "overwrite", self.column)
+        drop_dates(self.spark, self.path, emptied, self.column)
         return sum(r["deleted"] for r in counts)
 
     def delete_time_range(self, sampling_point_id: str, start: datetime, end: datetime) -> int:
         """Delete one sampling point's rows from ``start`` to ``end``, both included."""
         doomed = F.coalesce(
             (F.col("sampling_point_id") == F.lit(sampling_point_id))
-            & F.col("time").between(F.lit(start), F.lit(end)),
+            & F.col("time").between(instant(start), instant(end)),
             F.lit(False),
         )
-        days = {day for day in self.days() if start.date() <= day <= end.date()}
-        return self._delete(self._read_days(days), doomed, lambda rows: rows.filter(~doomed))
+        first, last = self.chunk_of(as_utc(start).date()), as_utc(end).date()
+        chunks = {chunk for chunk in self.chunks() if first <= chunk <= last}
+        return self._delete(self._read_chunks(chunks), doomed, lambda rows: rows.filter(~doomed))
 
     def cascade_delete(self, deleted_points: DataFrame) -> int:
         """Delete the rows of sampling points that are gone. Returns rows deleted."""

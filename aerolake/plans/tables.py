@@ -21,22 +21,34 @@ def exists(spark: SparkSession, path: str) -> bool:
     return filesystem.exists(hadoop_path)
 
 
-def partition_days(spark: SparkSession, path: str) -> set[date]:
-    """Days that have a ``day=`` folder: a listing of one level, no data is read."""
+def partition_dates(spark: SparkSession, path: str, column: str = "day") -> set[date]:
+    """Dates that have a ``column=`` folder: a listing of one level, no data is read."""
     filesystem, hadoop_path = _filesystem(spark, path)
     if not filesystem.exists(hadoop_path):
         return set()
     names = [status.getPath().getName() for status in filesystem.listStatus(hadoop_path)]
-    return {date.fromisoformat(n[4:]) for n in names if n.startswith("day=") and n[4:5].isdigit()}
+    values = [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
+    return {date.fromisoformat(value) for value in values if value[:1].isdigit()}
 
 
-def drop_days(spark: SparkSession, path: str, days: Iterable[date]) -> None:
-    """Remove whole day partitions. Dynamic overwrite never does, as it only sees new rows."""
+def check_partition_column(spark: SparkSession, path: str, column: str) -> None:
+    """Refuse to open a table that is partitioned by another column."""
+    filesystem, hadoop_path = _filesystem(spark, path)
+    if filesystem.exists(hadoop_path):
+        names = [status.getPath().getName() for status in filesystem.listStatus(hadoop_path)]
+        others = {n.split("=", 1)[0] for n in names if "=" in n} - {column}
+        if others:
+            raise ValueError(f"{path} is partitioned by {sorted(others)}, not by {column}")
+
+
+def drop_dates(
+    spark: SparkSession, path: str, dates: Iterable[date], column: str = "day"
+) -> None:
+    """Remove whole partitions. Dynamic overwrite never does, as it only sees new rows."""
     filesystem, _ = _filesystem(spark, path)
-    for day in sorted(days):
-        filesystem.delete(
-            spark._jvm.org.apache.hadoop.fs.Path(f"{path}/day={day.isoformat()}"), True
-        )
+    for value in sorted(dates):
+        folder = f"{path}/{column}={value.isoformat()}"
+        filesystem.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -46,6 +58,25 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def read_dates(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    dates: Iterable[date],
+    column: str = "day",
+) -> DataFrame:
+    """Some partitions of a table; only their folders are listed.
+
+    ``schema`` is that of the table, with or without the partition column.
+    """
+    fields = [f for f in schema.fields if f.name != column]
+    full = T.StructType(fields).add(column, T.DateType())
+    folders = [f"{path}/{column}={value.isoformat()}" for value in sorted(dates)]
+    if not folders:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(*folders)
+
+
 def stage(frame: DataFrame, label: str) -> DataFrame:
     """Write to the shared working folder and read back.
 
@@ -66,22 +97,24 @@ def replace_table(frame: DataFrame, path: str) -> None:
     stage(frame, "replace").write.mode("overwrite").parquet(path)
 
 
-def write_days(frame: DataFrame, path: str, mode: str, **options: object) -> None:
-    """Write rows into their ``day=`` partitions.
+def write_dates(
+    frame: DataFrame, path: str, mode: str, column: str = "day", **options: object
+) -> None:
+    """Write rows into their ``column=`` partitions.
 
-    The rebalance brings the rows of a day together for few files, and AQE splits a day that is
-    too large for one task. ``overwrite`` replaces only the days that have rows, and does so at
-    job commit: until then the old files stay readable, also by this very job.
+    The rebalance brings the rows of a partition together for few files, and AQE splits one
+    that is too large for a task. ``overwrite`` replaces only the partitions that have rows,
+    and does so at job commit: until then the old files stay readable, also by this very job.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(mode)
-    order = [c for c in ["day", "sampling_point_id", "station_code", "time"] if c in frame.columns]
+    wanted = [column, "sampling_point_id", "station_code", "time"]
     (
-        frame.hint("rebalance", "day")
-        .sortWithinPartitions(*order)
+        frame.hint("rebalance", column)
+        .sortWithinPartitions(*[name for name in wanted if name in frame.columns])
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .options(**options)
-        .partitionBy("day")
+        .partitionBy(column)
         .parquet(path)
     )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from aerolake.operators.aggregates import daily_measurements, daily_status, data_quality
 from aerolake.operators.slices import (
-    in_period,
     latest_by_sampling_point,
     latest_of,
     policy_window,
@@ -112,7 +111,7 @@ def test_refresh_window_and_emptied_days(spark, store, tmp_path):
     assert rounded(table.read()) == expected and full == len(expected)
 
     store.delete_time_range("X/hot", datetime(2024, 1, 3), datetime(2024, 1, 3, 23, 59, 59))
-    doomed = store.read().filter("day = '2024-01-03'").withColumn("validity", F.lit(-1))
+    doomed = store.read().filter("chunk_1d = '2024-01-03'").withColumn("validity", F.lit(-1))
     store.upsert(doomed.withColumn("seq", F.lit(0)), ["seq"])
     table.refresh(store, points(spark), datetime(2024, 1, 5), datetime(2024, 1, 6))
     assert date(2024, 1, 3) in table.days()  # outside the window: stale but untouched
@@ -126,8 +125,8 @@ def test_refresh_window_and_emptied_days(spark, store, tmp_path):
 
 def test_refresh_prunes_partitions(spark, store):
     store.upsert(facts(spark).withColumn("seq", F.lit(0)), ["seq"])
-    text = plan(in_period(store.read(), datetime(2024, 1, 2), datetime(2024, 1, 4)))
-    assert "PartitionFilters: [isnotnull(day" in text and "PartitionFilters: []" not in text
+    files = store.between(datetime(2024, 1, 2, 6), datetime(2024, 1, 4)).inputFiles()
+    assert {f.split("chunk_1d=")[1][:10] for f in files} == {"2024-01-02", "2024-01-03"}
 
 
 def test_quality_of_nothing(spark):

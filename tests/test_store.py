@@ -10,8 +10,7 @@ from aerolake.plans.dimension_tables import (
     sampling_points_table,
     stations_table,
 )
-from aerolake.plans.measurement_store import DuplicateKeyError, copy_text
-from aerolake.plans.tables import partition_days
+from aerolake.plans.measurement_store import DuplicateKeyError, MeasurementStore, copy_text
 from aerolake.sources.lookups import country_seed, pollutant_seed, seed
 
 DAY = datetime(2024, 1, 1)
@@ -40,7 +39,7 @@ def test_insert_counts_and_refuses(spark, store):
         store.insert(hours(spark, 3, "Q").union(hours(spark, 1, "Q")))
     assert store.read().count() == 48
     assert store.insert(hours(spark, 48, "Q")) == 48
-    assert sorted(d.day for d in store.days()) == [1, 2]
+    assert sorted(d.day for d in store.chunks()) == [1, 2]
 
 
 @pytest.mark.parametrize("rows, points", [(2500, 1), (10_000, 10)])
@@ -66,12 +65,12 @@ def test_repeated_keys(spark, store, rows, points):
 def test_upsert_overwrites_with_null_and_keeps_the_rest(spark, store):
     store.insert(hours(spark, 48))
     fresh = batch(spark, [(DAY, "P", 5.0, 2), (DAY, "P", None, 3), (DAY, "P", 7.0, 1), (DAY, "Z", 1.0, 0)])
-    before = {p.name: p.stat().st_mtime_ns for p in files_of(store, "day=2024-01-02")}
+    before = {p.name: p.stat().st_mtime_ns for p in files_of(store, "chunk_1d=2024-01-02")}
     assert store.upsert(fresh, ["seq"]) == 4
     found = keys(store)
     assert found[(DAY, "P")] is None and found[(DAY, "Z")] == 1.0 and len(found) == 49
     # a day the batch does not touch is not rewritten
-    assert before == {p.name: p.stat().st_mtime_ns for p in files_of(store, "day=2024-01-02")}
+    assert before == {p.name: p.stat().st_mtime_ns for p in files_of(store, "chunk_1d=2024-01-02")}
     assert store.upsert(fresh, ["seq"]) == 4 and keys(store) == found
 
 
@@ -89,7 +88,7 @@ def test_upsert_keeps_zero_flags_copy_does_not(spark, store):
         {"validity": F.lit(0), "validity_flag_id": F.lit(2), "verification_status_id": F.lit(3)}
     ).withColumn("observation_id", F.lit(""))
     assert store.copy(later) == 2
-    row = store.read().filter("day = '2024-01-04'").first()
+    row = store.read().filter("chunk_1d = '2024-01-04'").first()
     assert (row["validity"], row["verification"], row["observation_id"]) == (2, 3, None)
     assert copy_text(later).first()[0].split("\t")[6] == "2"
 
@@ -107,7 +106,7 @@ def test_failed_write_leaves_table_intact(spark, store):
 
 
 def test_failure_while_rewriting_leaves_table_intact(spark, store):
-    from aerolake.plans.tables import write_days
+    from aerolake.plans.tables import write_dates
 
     store.insert(hours(spark, 48))
     before = keys(store)
@@ -115,7 +114,7 @@ def test_failure_while_rewriting_leaves_table_intact(spark, store):
         "value", F.when(F.hour("time") == 23, F.raise_error(F.lit("torn"))).otherwise(F.lit(0.0))
     )
     with pytest.raises(Exception):  # noqa: B017
-        write_days(torn, store.path, "overwrite")
+        write_dates(torn, store.path, "overwrite", store.column)
     assert keys(store) == before
 
 
@@ -131,7 +130,7 @@ def test_delete_range_is_inclusive(spark, store):
 def test_delete_drops_emptied_days(spark, store):
     store.insert(hours(spark, 72))
     assert store.delete_time_range("P", DAY + timedelta(days=1), DAY + timedelta(days=2)) == 25
-    assert sorted(d.day for d in partition_days(spark, store.path)) == [1, 3]
+    assert sorted(d.day for d in store.chunks()) == [1, 3]
     assert store.read().count() == 47
 
 
@@ -139,7 +138,7 @@ def test_cascade(spark, store):
     store.insert(hours(spark, 24).union(hours(spark, 30, "Q")))
     gone = spark.createDataFrame([("Q",), ("Q",), ("none",)], "sampling_point_id string")
     assert store.cascade_delete(gone) == 30
-    assert {p for _, p in keys(store)} == {"P"} and sorted(d.day for d in store.days()) == [1]
+    assert {p for _, p in keys(store)} == {"P"} and sorted(d.day for d in store.chunks()) == [1]
 
 
 def test_hot_key_upsert(spark, store):
@@ -195,3 +194,17 @@ def test_sampling_points_table(spark, tmp_path):
     row = spark.createDataFrame([("IT/a", "IT/S", 8)], "sampling_point_id string, station_code string, pollutant_code int")
     assert table.upsert(row, DAY)["created"] == 1
     assert table.upsert(row, DAY)["updated"] == 1
+
+
+def test_wide_chunks(spark, tmp_path):
+    store = MeasurementStore(spark, str(tmp_path / "weeks"), chunk_days=7)
+    assert store.insert(hours(spark, 24 * 10, start=datetime(2024, 1, 5))) == 240
+    # 1 January 2024 is a Monday
+    assert sorted(str(c) for c in store.chunks()) == ["2024-01-01", "2024-01-08"]
+    assert store.between(datetime(2024, 1, 7), datetime(2024, 1, 9)).count() == 48
+    assert store.delete_time_range("P", datetime(2024, 1, 5), datetime(2024, 1, 8)) == 73
+    assert [str(c) for c in store.chunks()] == ["2024-01-08"]
+    assert store.upsert(hours(spark, 24, start=datetime(2024, 1, 14)), ["seq"]) == 24
+    assert store.read().count() == 240 - 73
+    with pytest.raises(ValueError, match="chunk_7d"):
+        MeasurementStore(spark, store.path)
