@@ -262,7 +262,7 @@ _SQL = {
                CASE WHEN p_size >= 20 THEN 'ug/m3' END AS unit,
                CASE WHEN p_size < 20 THEN 'unchanged' WHEN p_size < 30 THEN 'updated' ELSE 'created' END AS change
         FROM part""",
-    "load_entities_counts": """
+    "load_entities": """
         SELECT 'stations' AS table_name, count(DISTINCT station_code) AS rows FROM fx_raw
         UNION ALL SELECT 'sampling_points', count(DISTINCT sampling_point_id) FROM fx_measurements
         UNION ALL SELECT 'measurements', count(*) FROM fx_measurements""",
@@ -319,7 +319,7 @@ _SQL = {
         SELECT sampling_point_id,
                format('{{"sample_id":"","process_id":"P{}","measurement_type":"","measurement_method":""}}', row_num) AS metadata
         FROM fx_extract_points""",
-    "normalise_flags": COPIED,
+    "normalise_copy_flags": COPIED,
     "truncate_copy_time": "SELECT observation_id, date_trunc('second', time) AS time FROM fx_measurements",
     "valid_measurements": f"SELECT {MEASURED} FROM fx_measurements WHERE validity >= 1",
     "flag_classes": """
@@ -467,9 +467,9 @@ _SQL = {
     "job_detail": """
         SELECT *, (epoch_us(ended_at) - epoch_us(started_at)) / 1000000.0::DOUBLE AS duration_seconds
         FROM fx_batch_states WHERE job_id = 'job-199703'""",
-    "stream_daily_rows": ALL_DAILY,
+    "stream_daily": ALL_DAILY,
     "refresh_policy": f"SELECT {DAILY} FROM fx_daily WHERE day >= DATE '2024-01-07' AND day < DATE '2024-02-04'",
-    "stream_ingest_daily": ALL_DAILY,
+    "stream_ingest": ALL_DAILY,
     "late_rows": """
         SELECT CAST(time AS DATE) AS day, count(*) AS rows FROM fx_measurements
         WHERE CAST(time AS DATE) < DATE '2024-01-06' GROUP BY 1""",

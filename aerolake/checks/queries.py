@@ -27,16 +27,14 @@ from aerolake.operators import (
     ledger,
     slices,
 )
-from aerolake.plans import maintenance
+from aerolake.plans import load, maintenance, measurement_store
 from aerolake.plans.daily_table import DailyTable
 from aerolake.plans.dimension_tables import sampling_points_table, stations_table
-from aerolake.plans.load import load_entities, load_manifest, read_files
-from aerolake.plans.measurement_store import MeasurementStore, copy_text, normalise_copy_flags
-from aerolake.schemas import LEDGER, MEASUREMENT_KEY, POLLUTANTS, SAMPLING_POINTS, STATIONS
+from aerolake.plans.measurement_store import MeasurementStore
+from aerolake.schemas import MEASUREMENT_KEY, SAMPLING_POINTS, STATIONS
 from aerolake.session import work_dir
 from aerolake.sources import lookups, manifest, parquet_files, station_extract
-from aerolake.streaming.daily_stream import maintain_daily, stream_daily
-from aerolake.streaming.ingest import raw_file_stream, stream_ingest
+from aerolake.streaming import daily_stream, ingest
 
 NOW = datetime(2024, 2, 5, 12, 0)
 WINDOW = (datetime(2024, 1, 10, 6, 0), datetime(2024, 1, 20, 0, 0))
@@ -163,7 +161,7 @@ def _mixed_folder(fx) -> str:
 @query
 def load_many_files(fx):
     listing = parquet_files.list_files(fx.spark, _mixed_folder(fx))
-    return _measured(read_files(fx.spark, listing).measurements)
+    return _measured(load.read_files(fx.spark, listing).measurements)
 
 
 @query
@@ -188,7 +186,7 @@ def read_from_local_copy(fx):
     gone = fx.urls.select("url")
     found = manifest.local_copies(known.unionByName(gone), listing)
     at_hand = listing.join(found.select("path"), "path", "left_semi")
-    return _measured(read_files(fx.spark, at_hand).measurements)
+    return _measured(load.read_files(fx.spark, at_hand).measurements)
 
 
 # --- sinks and table maintenance -----------------------------------------------------------
@@ -245,7 +243,7 @@ def bulk_copy(fx):
 @query
 def copy_text_export(fx):
     path = work_dir(fx.spark, "copy-text")
-    copy_text(_copy_batch(fx)).write.text(path)
+    measurement_store.copy_text(_copy_batch(fx)).write.text(path)
     return fx.spark.read.text(path).withColumnRenamed("value", "line")
 
 
@@ -331,13 +329,13 @@ def upsert_pollutants(fx):
 
 
 @query
-def load_entities_counts(fx):
+def load_entities(fx):
     spark = fx.spark
     listing = parquet_files.list_files(spark, _written(fx, fx.raw_with_stations, "raw"))
     stations = stations_table(spark, work_dir(spark, "stations"))
     points = sampling_points_table(spark, work_dir(spark, "points"))
     store = _store(fx)
-    load_entities(spark, read_files(spark, listing), stations, points, store, NOW)
+    load.load_entities(spark, load.read_files(spark, listing), stations, points, store, NOW)
     return aggregates.table_counts(stations.read(), points.read(), store.read())
 
 
@@ -386,9 +384,9 @@ def compact_old_partitions(fx):
 @query
 def cleanup_processed(fx):
     folder = _written(fx, fx.raw("new"), "arriving")
-    raw = raw_file_stream(fx.spark, folder, fx.raw("new").schema, after_load="delete")
+    raw = ingest.raw_file_stream(fx.spark, folder, fx.raw("new").schema, after_load="delete")
     store = _store(fx)
-    stream_ingest(raw, store, work_dir(fx.spark, "stream")).awaitTermination()
+    ingest.stream_ingest(raw, store, work_dir(fx.spark, "stream")).awaitTermination()
     return _measured(store.read())
 
 
@@ -552,8 +550,8 @@ def sampling_metadata_map(fx):
 
 
 @query
-def normalise_flags(fx):
-    return _measured(normalise_copy_flags(_copy_batch(fx)))
+def normalise_copy_flags(fx):
+    return _measured(measurement_store.normalise_copy_flags(_copy_batch(fx)))
 
 
 @query
@@ -911,7 +909,7 @@ def job_detail(fx):
 
 
 @query
-def stream_daily_rows(fx):
+def stream_daily(fx):
     """The daily table kept by a stream over the measurements, file by file."""
     spark = fx.spark
     folder = _written(fx, fx.measurements.repartition(6), "arriving")
@@ -920,7 +918,8 @@ def stream_daily_rows(fx):
     ).parquet(folder)
     points = spark.read.parquet(_written(fx, fx.sampling_points, "points"))
     table = DailyTable(spark, work_dir(spark, "daily"))
-    maintain_daily(stream_daily(arriving, points), table, work_dir(spark, "stream")).awaitTermination()
+    changes = daily_stream.stream_daily(arriving, points)
+    daily_stream.maintain_daily(changes, table, work_dir(spark, "stream")).awaitTermination()
     return _rounded(table.read())
 
 
@@ -932,16 +931,17 @@ def refresh_policy(fx):
 
 
 @query
-def stream_ingest_daily(fx):
+def stream_ingest(fx):
     """Raw files arrive as a stream; the daily table follows each micro-batch."""
     spark = fx.spark
     raw_rows = fx.raw("old").repartition(4)
     folder = _written(fx, raw_rows, "arriving")
-    raw = raw_file_stream(spark, folder, raw_rows.schema, max_files=2)
+    raw = ingest.raw_file_stream(spark, folder, raw_rows.schema, max_files=2)
     store = _store(fx)
     points = spark.read.parquet(_written(fx, fx.sampling_points, "points"))
     table = DailyTable(spark, work_dir(spark, "daily"))
-    stream_ingest(raw, store, work_dir(spark, "stream"), table, points).awaitTermination()
+    query = ingest.stream_ingest(raw, store, work_dir(spark, "stream"), table, points)
+    query.awaitTermination()
     return _rounded(table.read())
 
 
@@ -983,7 +983,7 @@ def load_manifest_ledger(fx):
     urls = present.unionByName(fx.urls.select("url"))
     place = F.xxhash64("url")  # any fixed order will do here
     jobs = urls.withColumn("position", F.pmod(place, F.lit(100)))
-    rows = load_manifest(spark, _store(fx), jobs, listing, "job-1")
+    rows = load.load_manifest(spark, _store(fx), jobs, listing, "job-1")
     return rows.groupBy("job_id", "status", "error").agg(
         F.coalesce(F.sum("measurements"), F.lit(0)).alias("measurements")
     )

@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension up to this estimated size is broadcast. Beyond it the join shuffles, and the
-# fact side is pre-aggregated or left to AQE's skew splitting.
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# A dimension up to this estimated size is broadcast. For a stored table the estimate is its
+# size on disk, so this leaves room for unpacking. Beyond it the join shuffles, and the fact
+# side is pre-aggregated or left to AQE's skew splitting.
+BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
 
 
 def estimated_bytes(frame: DataFrame) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 
 from aerolake.functions.times import instant, utc_now
 from aerolake.operators.entities import sampling_points_to_upsert, stations_to_upsert
-from aerolake.operators.ledger import COMPLETED, FAILED
+from aerolake.operators.ledger import BATCH_SIZE, COMPLETED, FAILED, PENDING, RUNNING
 from aerolake.plans.dimension_tables import DimensionTable
-from aerolake.plans.measurement_store import MeasurementStore
-from aerolake.plans.tables import stage
+from aerolake.plans.measurement_store import DuplicateKeyError, MeasurementStore
+from aerolake.plans.tables import read_table, stage
 from aerolake.schemas import LEDGER
 from aerolake.sources.manifest import local_copies
 from aerolake.sources.parquet_files import inspect_files, measurements_of, read_inspected
@@ -49,6 +50,33 @@ def read_files(spark: SparkSession, listing: DataFrame) -> LoadedFiles:
     return LoadedFiles(raws, measurements, files)
 
 
+def ledger_events(
+    manifest: DataFrame, job_id: str, status: str, created: datetime, at: datetime, batch_size: int
+) -> DataFrame:
+    """One ledger event with the same state for each URL of a numbered manifest."""
+    started = instant(at) if status != PENDING else F.lit(None).cast("timestamp")
+    return manifest.select(
+        F.lit(job_id).alias("job_id"),
+        F.floor(F.col("position") / batch_size).cast("int").alias("batch_no"),
+        "url",
+        F.lit(status).alias("status"),
+        F.lit(None).cast("bigint").alias("measurements"),
+        F.lit(None).cast("string").alias("error"),
+        instant(created).alias("created_at"),
+        started.alias("started_at"),
+        F.lit(None).cast("timestamp").alias("ended_at"),
+        instant(at).alias("event_time"),
+    )
+
+
+def append_events(events: DataFrame, ledger_path: str) -> None:
+    events.select(*LEDGER.names).write.mode("append").parquet(ledger_path)
+
+
+def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    return read_table(spark, ledger_path, LEDGER)
+
+
 def load_manifest(
     spark: SparkSession,
     store: MeasurementStore,
@@ -56,46 +84,59 @@ def load_manifest(
     listing: DataFrame,
     job_id: str,
     upsert: bool = False,
-    batch_size: int = 50,
-    clock=utc_now,
+    batch_size: int = BATCH_SIZE,
+    ledger_path: str | None = None,
+    clock: Callable[[], datetime] = utc_now,
 ) -> DataFrame:
-    """Load the local copies of a manifest's URLs; returns ledger rows, one for each URL.
+    """Load the local copies of a manifest's URLs; returns the final event of each URL.
 
-    All files go into the store in one write. URLs without a usable copy are failed.
+    All files go into the store in one write. URLs without a usable copy are failed; if the
+    store refuses the write, so are all the others. With ``ledger_path`` the events pending,
+    running and completed or failed are appended to that ledger as they occur.
     """
-    started = clock()
-    found = local_copies(manifest, listing)
+    created = clock()
+
+    def note(events: DataFrame) -> None:
+        if ledger_path:
+            append_events(events, ledger_path)
+
+    note(ledger_events(manifest, job_id, PENDING, created, created, batch_size))
+    found = stage(local_copies(manifest, listing), "copies")
     at_hand = listing.join(found.select("path"), "path", "left_semi")
+    started = clock()
+    running = ledger_events(manifest, job_id, RUNNING, created, started, batch_size)
+    note(running)
     result = read_files(spark, at_hand)
-    error = None
+    refusal = None
     try:
         if upsert:
             store.upsert(result.measurements, _FILE_ORDER)
         else:
             store.copy(result.measurements)
-    except ValueError as refused:
-        error = str(refused)
+    except DuplicateKeyError as refused:
+        refusal = str(refused)
     ended = clock()
     failure = F.when(F.col("path").isNull(), F.lit("no local copy")).otherwise(
-        F.coalesce(F.col("error"), F.lit(error))
+        F.coalesce(F.col("file_error"), F.lit(refusal))
     )
-    return (
-        manifest.join(found, "url")
-        .join(result.files, "path", "left")
+    outcome = (
+        found.join(result.files.withColumnRenamed("error", "file_error"), "path", "left")
         .select(
-            F.lit(job_id).alias("job_id"),
-            F.floor(F.col("position") / batch_size).cast("int").alias("batch_no"),
             "url",
-            F.when(failure.isNull(), COMPLETED).otherwise(FAILED).alias("status"),
             F.when(failure.isNull(), F.col("measurements")).alias("measurements"),
             failure.alias("error"),
-            instant(started).alias("created_at"),
-            instant(started).alias("started_at"),
-            instant(ended).alias("ended_at"),
-            instant(ended).alias("event_time"),
         )
-        .select(*LEDGER.names)
     )
+    final = stage(
+        running.drop("measurements", "error")
+        .join(outcome, "url")
+        .withColumn("status", F.when(F.col("error").isNull(), COMPLETED).otherwise(FAILED))
+        .withColumns({"ended_at": instant(ended), "event_time": instant(ended)})
+        .select(*LEDGER.names),
+        "events",
+    )
+    note(final)
+    return final
 
 
 def load_entities(

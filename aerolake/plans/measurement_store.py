@@ -4,6 +4,7 @@ sampling point.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -194,21 +195,19 @@ class MeasurementStore:
         write_dates(merged, self.path, "overwrite", self.column)
         return sum(row["rows"] for row in summary)
 
-    def _delete(self, candidates: DataFrame, doomed: Column, kept_of) -> int:
-        """Rewrite the chunks that lose rows and drop the chunks that lose all of them."""
-        counts = (
-            candidates.groupBy(F.col(self.column).alias("chunk"))
-            .agg(F.count_if(doomed).alias("deleted"), F.count("*").alias("rows"))
-            .filter("deleted > 0")
-            .collect()  # one row for each affected chunk
-        )
-        rewritten = {r["chunk"] for r in counts if r["deleted"] < r["rows"]}
-        emptied = {r["chunk"] for r in counts if r["deleted"] == r["rows"]}
+    def _delete(self, counts: DataFrame, kept_of: Callable[[DataFrame], DataFrame]) -> int:
+        """Rewrite the chunks that lose rows and drop the chunks that lose all of them.
+
+        ``counts`` has ``chunk, deleted, rows``: one row for each chunk.
+        """
+        affected = counts.filter("deleted > 0").collect()
+        rewritten = {r["chunk"] for r in affected if r["deleted"] < r["rows"]}
+        emptied = {r["chunk"] for r in affected if r["deleted"] == r["rows"]}
         if rewritten:
             kept = kept_of(self._read_chunks(rewritten))
             write_dates(kept, self.path, "overwrite", self.column)
         drop_dates(self.spark, self.path, emptied, self.column)
-        return sum(r["deleted"] for r in counts)
+        return sum(r["deleted"] for r in affected)
 
     def delete_time_range(self, sampling_point_id: str, start: datetime, end: datetime) -> int:
         """Delete one sampling point's rows from ``start`` to ``end``, both included."""
@@ -219,18 +218,34 @@ class MeasurementStore:
         )
         first, last = self.chunk_of(as_utc(start).date()), as_utc(end).date()
         chunks = {chunk for chunk in self.chunks() if first <= chunk <= last}
-        return self._delete(self._read_chunks(chunks), doomed, lambda rows: rows.filter(~doomed))
+        counts = (
+            self._read_chunks(chunks)
+            .groupBy(F.col(self.column).alias("chunk"))
+            .agg(F.count_if(doomed).alias("deleted"), F.count("*").alias("rows"))
+        )
+        return self._delete(counts, lambda rows: rows.filter(~doomed))
 
     def cascade_delete(self, deleted_points: DataFrame) -> int:
-        """Delete the rows of sampling points that are gone. Returns rows deleted."""
-        ids = deleted_points.select("sampling_point_id").distinct()
-        marked = small_or_shuffled(ids.withColumn("_gone", F.lit(True)))
-
-        def kept(rows: DataFrame) -> DataFrame:
-            return rows.join(small_or_shuffled(ids), "sampling_point_id", "left_anti")
+        """Delete the rows of sampling points that are gone. Returns rows deleted.
 
-        candidates = self.read().join(marked, "sampling_point_id", "left")
-        return self._delete(candidates, F.coalesce(F.col("_gone"), F.lit(False)), kept)
+        Counting reads one column and reduces it to sampling points before the join.
+        """
+        ids = deleted_points.select("sampling_point_id").distinct()
+        counts = (
+            self.read()
+            .groupBy(F.col(self.column).alias("chunk"), "sampling_point_id")
+            .agg(F.count("*").alias("rows"))
+            .join(small_or_shuffled(ids.withColumn("gone", F.lit(True))), "sampling_point_id", "left")
+            .groupBy("chunk")
+            .agg(
+                F.coalesce(F.sum(F.when(F.col("gone"), F.col("rows"))), F.lit(0)).alias("deleted"),
+                F.sum("rows").alias("rows"),
+            )
+        )
+        return self._delete(
+            counts,
+            lambda rows: rows.join(small_or_shuffled(ids), "sampling_point_id", "left_anti"),
+        )
 
 
 def keep_last_counted(rows: DataFrame, order: list[str]) -> DataFrame:

@@ -53,6 +53,7 @@ def local_copies(manifest: DataFrame, listing: DataFrame) -> DataFrame:
 
     ``listing`` has ``path``. Returns ``url, path``; ``path`` is NULL where no copy exists.
     """
-    named = manifest.select("url", file_name_of_url(F.col("url")).alias("file_name"))
+    urls = manifest.select("url").distinct()
+    named = urls.select("url", file_name_of_url(F.col("url")).alias("file_name"))
     files = listing.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"))
     return named.join(files, "file_name", "left").select("url", "path")

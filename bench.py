@@ -151,7 +151,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     fx = Fixtures(spark, FOLDER)
     raw_path = work_dir(spark, "raw")
-    raw_lineitem(fx).write.option("parquet.block.size", 8 << 20).parquet(raw_path)
+    raw_lineitem(fx).repartition(int(CPUS)).write.parquet(raw_path)
     rows = spark.read.parquet(raw_path).count()
     times: dict[str, float] = {}
     run_all(spark, fx, raw_path, {})

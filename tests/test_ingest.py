@@ -9,7 +9,7 @@ from aerolake.operators import ledger
 from aerolake.operators.aggregates import table_counts
 from aerolake.plans import maintenance
 from aerolake.plans.dimension_tables import sampling_points_table, stations_table
-from aerolake.plans.load import load_entities, load_manifest, read_files
+from aerolake.plans.load import load_entities, load_manifest, read_files, read_ledger
 from aerolake.schemas import LEDGER
 from aerolake.sources.manifest import (
     EmptyManifestError,
@@ -145,6 +145,22 @@ def test_load_manifest(spark, store, tmp_path):
     assert upserted["status"] == "completed" and store.read().count() == 2
 
 
+def test_ledger_of_a_load(spark, store, tmp_path):
+    write(tmp_path / "in" / "a.parquet", minimal(1))
+    urls = read_url_manifest(spark, manifest_file(tmp_path, "https://h/a\nhttps://h/c"))
+    path = str(tmp_path / "ledger")
+    ticks = iter(NOW + timedelta(seconds=s) for s in (0, 1, 5))
+    listing = list_files(spark, str(tmp_path / "in"))
+    load_manifest(spark, store, urls, listing, "job", batch_size=1, ledger_path=path, clock=lambda: next(ticks))
+    events = read_ledger(spark, path)
+    assert events.count() == 6
+    batches = ledger.batch_states(ledger.current_state(events))
+    assert {(r["batch_no"], r["status"], r["failed"]) for r in batches.collect()} == {(0, "completed", 0), (1, "completed", 1)}
+    assert {r["duration_seconds"] for r in ledger.batch_durations(batches).collect()} == {4.0}
+    message = ledger.failed_files(urls, ledger.current_state(events).filter("status = 'completed'"), events)
+    assert [r["message"] for r in message.collect()] == ["https://h/c: no local copy"]
+
+
 def test_load_entities_twice(spark, store, tmp_path):
     folder = tmp_path / "in"
     write(folder / "a.parquet", minimal(2, AirQualityStationEoICode=["A", "B"], SamplingPoint=["IT/SPO-A_8", "IT/SPO-B_8"]))
