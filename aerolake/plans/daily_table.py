@@ -16,7 +16,7 @@ from aerolake.plans.tables import (
     partition_dates,
     read_dates,
     read_table,
-    stage,
+    staged,
     write_dates,
 )
 from aerolake.schemas import DAILY
@@ -40,10 +40,10 @@ class DailyTable:
 
         The small result is staged, so that the days it has are known without computing it twice.
         """
-        staged = stage(daily, "daily")
-        counts = staged.groupBy("day").agg(F.count("*").alias("rows")).collect()
-        if counts:
-            write_dates(staged, self.path, "overwrite")
+        with staged(daily, "daily") as fresh:
+            counts = fresh.groupBy("day").agg(F.count("*").alias("rows")).collect()
+            if counts:
+                write_dates(fresh, self.path, "overwrite")
         drop_dates(self.spark, self.path, stale - {row["day"] for row in counts})
         return sum(row["rows"] for row in counts)
 
@@ -81,18 +81,18 @@ class DailyTable:
 
     def upsert(self, changed: DataFrame) -> int:
         """Overwrite single rows, as a stream in update mode hands them out."""
-        changed = stage(changed.select(*DAILY.names), "daily-rows")
-        days = {row["day"] for row in changed.select("day").distinct().collect()}
-        touched = days & self.days()
-        merged = changed
-        if touched:
-            kept = read_dates(self.spark, self.path, DAILY, touched).select(*DAILY.names)
-            # station_code may be NULL, so the key is compared null-safe
-            same = [F.col(f"k.{c}").eqNullSafe(F.col(f"c.{c}")) for c in DAILY_KEY]
-            kept = kept.alias("k").join(changed.select(*DAILY_KEY).alias("c"), same, "left_anti")
-            merged = kept.unionByName(changed)
-        if days:
-            write_dates(merged, self.path, "overwrite")
+        with staged(changed.select(*DAILY.names), "daily-rows") as fresh:
+            days = {row["day"] for row in fresh.select("day").distinct().collect()}
+            touched = days & self.days()
+            merged = fresh
+            if touched:
+                kept = read_dates(self.spark, self.path, DAILY, touched).select(*DAILY.names)
+                # station_code may be NULL, so the key is compared null-safe
+                same = [F.col(f"k.{c}").eqNullSafe(F.col(f"f.{c}")) for c in DAILY_KEY]
+                keys = fresh.select(*DAILY_KEY).alias("f")
+                merged = kept.alias("k").join(keys, same, "left_anti").unionByName(fresh)
+            if days:
+                write_dates(merged, self.path, "overwrite")
         return len(days)
 
     def truncate(self) -> int:

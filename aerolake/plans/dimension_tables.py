@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.operators.dimensions import merge_dimension, merge_pollutants
-from aerolake.plans.tables import read_table, replace_table, stage
+from aerolake.plans.tables import read_table, replace_table, staged
 from aerolake.schemas import POLLUTANTS, SAMPLING_POINTS, STATIONS
 from aerolake.sources.lookups import seed
 
@@ -38,9 +38,9 @@ class DimensionTable:
             merged = merge_dimension(
                 self.read(), batch, self.key, now, order, null_overwrites=null_overwrites
             )
-        merged = stage(merged, "dimension")
-        counts = {r["change"]: r["count"] for r in merged.groupBy("change").count().collect()}
-        merged.drop("change").write.mode("overwrite").parquet(self.path)
+        with staged(merged, "dimension") as fresh:
+            counts = {r["change"]: r["count"] for r in fresh.groupBy("change").count().collect()}
+            fresh.drop("change").write.mode("overwrite").parquet(self.path)
         return {name: counts.get(name, 0) for name in ("created", "updated")}
 
     def seed(self, rows: DataFrame) -> None:

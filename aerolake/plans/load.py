@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 
 from aerolake.functions.times import instant, utc_now
 from aerolake.operators.entities import sampling_points_to_upsert, stations_to_upsert
+from aerolake.operators.extract import (
+    extract_errors,
+    sampling_points_from_extract,
+    stations_from_extract,
+)
 from aerolake.operators.ledger import BATCH_SIZE, COMPLETED, FAILED, PENDING, RUNNING
 from aerolake.plans.dimension_tables import DimensionTable
 from aerolake.plans.measurement_store import DuplicateKeyError, MeasurementStore
-from aerolake.plans.tables import read_table, stage
+from aerolake.plans.tables import delete_file, read_table, stage, staged
 from aerolake.schemas import LEDGER
 from aerolake.sources.manifest import local_copies
+from aerolake.sources.station_extract import read_station_extract
 from aerolake.sources.parquet_files import inspect_files, measurements_of, read_inspected
 
 _FILE_ORDER = ["file_path", "row_index"]
@@ -160,3 +166,41 @@ def load_entities(
             counts[name] = sum(table.upsert(batch, now, null_overwrites=False).values())
     counts["measurements"] = store.insert(result.measurements)
     return counts
+
+
+def load_extract(
+    spark: SparkSession,
+    path: str,
+    countries: DataFrame,
+    pollutants: DataFrame,
+    stations: DimensionTable,
+    sampling_points: DimensionTable,
+    now: datetime,
+    first_errors: int = 100,
+) -> dict[str, object]:
+    """Load a station extract: stations, then their sampling points; returns totals and errors."""
+    with staged(read_station_extract(spark, path), "extract") as extract:
+        found_stations = stations_from_extract(extract, countries)
+        found_points = sampling_points_from_extract(extract, countries, pollutants)
+        station_changes = stations.upsert(found_stations, now)
+        point_changes = sampling_points.upsert(found_points, now)
+        errors = extract_errors(extract, countries, pollutants, first_errors).collect()
+    return {
+        "stations_processed": sum(station_changes.values()),
+        "stations_created": station_changes["created"],
+        "stations_updated": station_changes["updated"],
+        "sampling_points_processed": sum(point_changes.values()),
+        "sampling_points_created": point_changes["created"],
+        "sampling_points_updated": point_changes["updated"],
+        "errors": [row["message"] for row in errors],
+    }
+
+
+def remove_loaded(spark: SparkSession, files: DataFrame) -> int:
+    """Delete the input files that loaded without error, as far as possible.
+
+    ``files`` as in ``LoadedFiles``. Read it before the files are gone: frames derived from
+    them cannot be computed afterwards.
+    """
+    loaded = [row["path"] for row in files.filter("error is null").select("path").collect()]
+    return sum(delete_file(spark, path) for path in loaded)

@@ -22,7 +22,7 @@ from aerolake.plans.tables import (
     partition_dates,
     read_dates,
     read_table,
-    stage,
+    staged,
     write_dates,
 )
 from aerolake.schemas import MEASUREMENT_KEY, MEASUREMENTS
@@ -176,23 +176,21 @@ class MeasurementStore:
             *[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)],
         ).withColumn("_copies", F.lit(1).cast("bigint"))
         places = [f"_order_{i}" for i in range(len(order))]
-        latest = stage(self._with_chunk(keep_last_counted(typed, places)), "upsert")
-        summary = (
-            latest.groupBy(F.col(self.column).alias("chunk"))
-            .agg(F.sum("_copies").alias("rows"))
-            .collect()
-        )
-        if not summary:
-            return 0
-        latest = latest.select(*self.schema.names)
-        touched = {row["chunk"] for row in summary} & self.chunks()
-        merged = latest
-        if touched:
-            kept = self._read_chunks(touched).join(
-                small_or_shuffled(latest.select(*MEASUREMENT_KEY)), MEASUREMENT_KEY, "left_anti"
+        with staged(self._with_chunk(keep_last_counted(typed, places)), "upsert") as fresh:
+            summary = (
+                fresh.groupBy(F.col(self.column).alias("chunk"))
+                .agg(F.sum("_copies").alias("rows"))
+                .collect()
             )
-            merged = kept.unionByName(latest)
-        write_dates(merged, self.path, "overwrite", self.column)
+            latest = fresh.select(*self.schema.names)
+            touched = {row["chunk"] for row in summary} & self.chunks()
+            merged = latest
+            if touched:
+                keys = small_or_shuffled(latest.select(*MEASUREMENT_KEY))
+                kept = self._read_chunks(touched).join(keys, MEASUREMENT_KEY, "left_anti")
+                merged = kept.unionByName(latest)
+            if summary:
+                write_dates(merged, self.path, "overwrite", self.column)
         return sum(row["rows"] for row in summary)
 
     def _delete(self, counts: DataFrame, kept_of: Callable[[DataFrame], DataFrame]) -> int:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -51,6 +53,15 @@ def drop_dates(
         filesystem.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
 
 
+def delete_file(spark: SparkSession, path: str) -> bool:
+    """Delete one file; False if that did not work."""
+    filesystem, hadoop_path = _filesystem(spark, path)
+    try:
+        return filesystem.delete(hadoop_path, False)
+    except Py4JJavaError:
+        return False
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The stored table, or an empty frame of its schema before the first write."""
     if not exists(spark, path):
@@ -77,16 +88,28 @@ def read_dates(
     return spark.read.schema(full).option("basePath", path).parquet(*folders)
 
 
+def _write_aside(frame: DataFrame, path: str) -> DataFrame:
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def stage(frame: DataFrame, label: str) -> DataFrame:
     """Write to the shared working folder and read back.
 
     Cuts lineage with a table that survives lost executors, and makes sure that whatever is
     derived next sees one fixed result.
     """
+    return _write_aside(frame, work_dir(frame.sparkSession, label))
+
+
+@contextmanager
+def staged(frame: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``stage`` for the length of a block; after a failure the copy is kept."""
     spark = frame.sparkSession
     path = work_dir(spark, label)
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    yield _write_aside(frame, path)
+    filesystem, hadoop_path = _filesystem(spark, path)
+    filesystem.delete(hadoop_path, True)
 
 
 def replace_table(frame: DataFrame, path: str) -> None:
@@ -94,7 +117,8 @@ def replace_table(frame: DataFrame, path: str) -> None:
 
     The staged copy is complete before the old files go, so a failure never loses both.
     """
-    stage(frame, "replace").write.mode("overwrite").parquet(path)
+    with staged(frame, "replace") as copy:
+        copy.write.mode("overwrite").parquet(path)
 
 
 def write_dates(

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from aerolake.operators.harmonise import cast_measurements
 from aerolake.plans.daily_table import DailyTable
 from aerolake.plans.measurement_store import MeasurementStore
-from aerolake.plans.tables import stage
+from aerolake.plans.tables import staged
 
 _FILE_ORDER = ["file_path", "row_index"]
 
@@ -56,14 +56,14 @@ def stream_ingest(
     measurements = cast_measurements(raw, keep=_FILE_ORDER)
 
     def load(rows: DataFrame, _: int) -> None:
-        batch = stage(rows, "micro-batch")
-        days = {r["day"] for r in batch.select(F.to_date("time").alias("day")).distinct().collect()}
-        if upsert:
-            store.upsert(batch, _FILE_ORDER)
-        else:
-            store.copy(batch)
+        with staged(rows, "micro-batch") as batch:
+            touched = batch.select(F.to_date("time").alias("day")).distinct().collect()
+            if upsert:
+                store.upsert(batch, _FILE_ORDER)
+            else:
+                store.copy(batch)
         if daily is not None and sampling_points is not None:
-            daily.refresh_days(store, sampling_points, days)
+            daily.refresh_days(store, sampling_points, {row["day"] for row in touched})
 
     return (
         measurements.writeStream.option("checkpointLocation", checkpoint)

@@ -12,6 +12,8 @@ from aerolake.operators.extract import (
     sampling_points_from_extract,
     stations_from_extract,
 )
+from aerolake.plans.dimension_tables import sampling_points_table, stations_table
+from aerolake.plans.load import load_extract
 from aerolake.sources.lookups import pollutant_seed
 from aerolake.sources.station_extract import EXTRACT_COLUMNS, read_station_extract
 
@@ -119,6 +121,23 @@ def test_rules_equal_sequential_reading(spark, tmp_path):
     assert [tuple(r) for r in extract_errors(*args).collect()] == errors[:100]
 
 
+def test_load_extract_twice(spark, tmp_path):
+    rows = [row("IT1", "a"), row("IT1", "b", "XX"), row("FR1", "c"), row("ES1", "d", "O3")]
+    path = write(tmp_path / "x.csv", rows)
+    stations = stations_table(spark, str(tmp_path / "stations"))
+    points = sampling_points_table(spark, str(tmp_path / "points"))
+
+    def load():
+        now = datetime(2024, 1, 1)
+        return load_extract(spark, path, countries(spark), pollutant_seed(spark), stations, points, now)
+
+    first, second = load(), load()
+    assert (first["stations_created"], first["sampling_points_created"]) == (2, 2)
+    assert (second["stations_updated"], second["stations_created"]) == (2, 0)
+    assert [e[:6] for e in first["errors"]] == ["Row 3:", "Row 4:"] and first["errors"] == second["errors"]
+    assert {r["sampling_point_id"] for r in points.read().collect()} == {"IT/a", "ES/d"}
+
+
 def test_dates_numbers_and_metadata(spark, tmp_path):
     rows = [
         row(

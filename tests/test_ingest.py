@@ -9,7 +9,7 @@ from aerolake.operators import ledger
 from aerolake.operators.aggregates import table_counts
 from aerolake.plans import maintenance
 from aerolake.plans.dimension_tables import sampling_points_table, stations_table
-from aerolake.plans.load import load_entities, load_manifest, read_files, read_ledger
+from aerolake.plans.load import load_entities, load_manifest, read_files, read_ledger, remove_loaded
 from aerolake.schemas import LEDGER
 from aerolake.sources.manifest import (
     EmptyManifestError,
@@ -175,6 +175,16 @@ def test_load_entities_twice(spark, store, tmp_path):
     assert counts == {"stations": 2, "sampling_points": 2, "measurements": 2}
 
 
+def test_remove_loaded_keeps_bad_files(spark, store, tmp_path):
+    folder = tmp_path / "in"
+    write(folder / "a.parquet", minimal(1))
+    (folder / "b.parquet").write_text("junk")
+    result = read_files(spark, list_files(spark, str(folder)))
+    store.copy(result.measurements)
+    assert remove_loaded(spark, result.files) == 1
+    assert [p.name for p in folder.glob("*.parquet")] == ["b.parquet"]
+
+
 def days_of_rows(spark, days):
     return spark.range(24 * days * 20).select(
         F.timestamp_seconds((F.col("id") / 20).cast("int") * 3600 + 1_704_067_200).alias("time"),
