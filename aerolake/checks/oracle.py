@@ -447,8 +447,7 @@ _SQL = {
         FROM ({NUMBERED_URLS}) u GROUP BY 1""",
     "load_estimate": """
         SELECT job_id, count(*) AS total_urls, round(count(*) / 150.0::DOUBLE * 2.4::DOUBLE, 1) AS with_3_batches,
-               round(count(*) / 500.0::DOUBLE * 2.4::DOUBLE, 1) AS with_10_batches FROM fx_files GROUP BY 1
-        ORDER BY min(created_at) DESC, job_id DESC LIMIT 1000""",
+               round(count(*) / 500.0::DOUBLE * 2.4::DOUBLE, 1) AS with_10_batches FROM fx_files GROUP BY 1""",
     "latest_by_sampling_point": f"""
         SELECT {MEASURED} FROM fx_measurements
         QUALIFY row_number() OVER (PARTITION BY sampling_point_id ORDER BY time DESC) <= 5""",

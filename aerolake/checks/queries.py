@@ -843,7 +843,7 @@ def manifest_batches(fx):
 
 @query
 def load_estimate(fx):
-    jobs = ledger.recent_jobs(ledger.current_state(fx.ledger), limit=1000)
+    jobs = ledger.current_state(fx.ledger).groupBy("job_id").agg(F.count("url").alias("total_urls"))
     few = ledger.load_estimate(jobs, 3).withColumnRenamed("estimated_minutes", "with_3_batches")
     return ledger.load_estimate(few, 10).select(
         "job_id", "total_urls", "with_3_batches", F.col("estimated_minutes").alias("with_10_batches")
@@ -981,8 +981,7 @@ def load_manifest_ledger(fx):
         F.concat(F.lit("https://host/"), name).alias("url")
     )
     urls = present.unionByName(fx.urls.select("url"))
-    place = F.xxhash64("url")  # any fixed order will do here
-    jobs = urls.withColumn("position", F.pmod(place, F.lit(100)))
+    jobs = urls.withColumn("position", F.crc32("url"))  # any fixed order will do here
     rows = load.load_manifest(spark, _store(fx), jobs, listing, "job-1")
     return rows.groupBy("job_id", "status", "error").agg(
         F.coalesce(F.sum("measurements"), F.lit(0)).alias("measurements")

@@ -224,34 +224,39 @@ class Fixtures:
             F.unix_micros(created) + (key % 60) * 1000000 + (key % 977 + 1) * 250000
         )
 
-        def event(rows, name, at, begun, done):
-            loaded = F.when(F.lit(name) == "completed", F.round(F.col("o_totalprice")).cast("bigint"))
-            error = F.when(F.lit(name) == "failed", F.concat(F.lit("HTTP "), (key % 5 + 500).cast("string")))
-            return rows.select(
-                "job_id",
-                "batch_no",
-                F.concat(F.lit("https://host/"), key.cast("string"), F.lit(".parquet")).alias("url"),
-                F.lit(name).alias("status"),
-                loaded.alias("measurements"),
-                error.alias("error"),
-                created.alias("created_at"),
-                (started if begun else F.lit(None).cast("timestamp")).alias("started_at"),
-                (ended if done else F.lit(None).cast("timestamp")).alias("ended_at"),
-                at.alias("event_time"),
+        no_time, no_text = F.lit(None).cast("timestamp"), F.lit(None).cast("string")
+
+        def event(occurs, name, at, begun, ended_at, url, error, loaded=None):
+            return F.when(
+                occurs,
+                F.struct(
+                    url.alias("url"),
+                    F.lit(name).alias("status"),
+                    F.lit(loaded).cast("bigint").alias("measurements"),
+                    error.alias("error"),
+                    created.alias("created_at"),
+                    begun.alias("started_at"),
+                    ended_at.alias("ended_at"),
+                    at.alias("event_time"),
+                ),
             )
 
+        url = F.concat(F.lit("https://host/"), key.cast("string"), F.lit(".parquet"))
+        http_error = F.concat(F.lit("HTTP "), (key % 5 + 500).cast("string"))
         waiting = (status == "O") & (key % 2 == 0)
-        aborted = orders.filter((F.col("o_orderpriority") == "5-LOW") & (key % 50 == 0))
-        events = [
-            event(orders, "pending", created, False, False),
-            event(orders.filter(~waiting), "running", started, True, False),
-            event(orders.filter(status == "F"), "completed", ended, True, True),
-            event(orders.filter(status == "P"), "failed", ended, True, True),
-            event(aborted, "failed", ended, True, True)
-            .withColumn("url", F.lit(None).cast("string"))
-            .withColumn("error", F.lit("batch aborted")),
-        ]
-        return events[0].unionByName(events[1]).unionByName(events[2]).unionByName(events[3]).unionByName(events[4])
+        aborted = (F.col("o_orderpriority") == "5-LOW") & (key % 50 == 0)
+        events = F.array(
+            event(F.lit(True), "pending", created, no_time, no_time, url, no_text),
+            event(~waiting, "running", started, started, no_time, url, no_text),
+            event(
+                status == "F", "completed", ended, started, ended, url, no_text, F.round("o_totalprice")
+            ),
+            event(status == "P", "failed", ended, started, ended, url, http_error),
+            event(aborted, "failed", ended, started, ended, no_text, F.lit("batch aborted")),
+        )
+        return orders.select(
+            "job_id", "batch_no", F.explode(F.array_compact(events)).alias("event")
+        ).select("job_id", "batch_no", "event.*")
 
     @cached_property
     def urls(self) -> DataFrame:

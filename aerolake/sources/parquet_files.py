@@ -9,11 +9,13 @@ each group is read with its own explicit schema.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import quote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -68,6 +70,26 @@ def _spark_type(field: pa.Field, physical: str | None) -> str | None:
     return None
 
 
+def _arrow_uri(path: str) -> str:
+    """A path as Hadoop prints it (``file:/a b``, ``s3a://bucket/a b``) as a URI for Arrow."""
+    scheme, rest = path.split(":", 1)
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    if not rest.startswith("//"):
+        return f"{scheme}://{quote(rest)}"
+    authority, _, tail = rest[2:].partition("/")
+    return f"{scheme}://{authority}/{quote(tail)}"
+
+
+def _literal(path: str) -> str:
+    """A path without glob meaning, for a reader that expands globs."""
+    return re.sub(r"([\[\]{}*?\\,])", r"\\\1", path)
+
+
+def plain_path(file_path: Column) -> Column:
+    """``_metadata.file_path``, which is URL-encoded, in the form of a file listing."""
+    return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+
+
 def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """First and last four bytes and the footer of each file; never the data pages."""
     import pyarrow.fs as pafs
@@ -79,9 +101,7 @@ def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             path, length = listed["path"], listed["length"]
             record = {**listed, "is_parquet": False}
             try:
-                # Hadoop writes local paths as file:/x, Arrow wants file:///x
-                uri = path.replace("file:/", "file:///", 1) if not path.startswith("file:///") else path
-                filesystem, inner = pafs.FileSystem.from_uri(uri)
+                filesystem, inner = pafs.FileSystem.from_uri(_arrow_uri(path))
                 with filesystem.open_input_file(inner) as handle:
                     head = handle.read_at(4, 0)
                     tail = handle.read_at(4, max(length - 4, 0))
@@ -133,10 +153,10 @@ def read_group(spark: SparkSession, columns: list[list[str]], paths: list[str])
         )
     return (
         spark.read.schema(_schema(columns))
-        .parquet(*paths)
+        .parquet(*[_literal(path) for path in paths])
         .select(
             "*",
-            F.col("_metadata.file_path").alias("file_path"),
+            plain_path(F.col("_metadata.file_path")).alias("file_path"),
             F.col("_metadata.row_index").alias("row_index"),
         )
     )

@@ -11,6 +11,7 @@ from aerolake.operators.harmonise import cast_measurements
 from aerolake.plans.daily_table import DailyTable
 from aerolake.plans.measurement_store import MeasurementStore
 from aerolake.plans.tables import staged
+from aerolake.sources.parquet_files import plain_path
 
 _FILE_ORDER = ["file_path", "row_index"]
 
@@ -35,7 +36,7 @@ def raw_file_stream(
         reader = reader.option("sourceArchiveDir", archive)
     return reader.parquet(folder).select(
         "*",
-        F.col("_metadata.file_path").alias("file_path"),
+        plain_path(F.col("_metadata.file_path")).alias("file_path"),
         F.col("_metadata.row_index").alias("row_index"),
     )
 
