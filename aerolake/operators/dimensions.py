@@ -26,7 +26,7 @@ def merge_dimension(
     Columns that the batch supplies overwrite, also with NULL unless ``null_overwrites`` is
     off (for sources that leave out what they do not know); columns it lacks keep their old
     value. ``order`` resolves repeated keys (the last row wins); without it the batch
-    must be unique by key. ``touch`` is set to ``now`` on updated and created rows. The added
+    must be unique by key. Rows without a key are left out. ``touch`` is set to ``now`` on updated and created rows. The added
     column ``change`` is ``created``, ``updated`` or ``unchanged``.
     """
     order = order or []
@@ -34,6 +34,7 @@ def merge_dimension(
     if unknown and not ignore_unknown:
         raise ValueError(f"unknown columns {unknown}")
     supplied = [c for c in batch.columns if c in target.columns and c not in order]
+    batch = batch.filter(F.col(key).isNotNull())
     if order:
         batch = keep_last(batch.select(*supplied, *order), [key], order)
     now = now if isinstance(now, Column) else instant(now)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.operators.dimensions import merge_dimension, merge_pollutants
+from aerolake.operators.keys import repeated_keys
+from aerolake.plans.measurement_store import DuplicateKeyError
 from aerolake.plans.tables import read_table, replace_table, staged
 from aerolake.schemas import POLLUTANTS, SAMPLING_POINTS, STATIONS
 from aerolake.sources.lookups import seed
@@ -31,7 +33,12 @@ class DimensionTable:
         order: list[str] | None = None,
         null_overwrites: bool = True,
     ) -> dict[str, int]:
-        """Create or update; returns how many of each."""
+        """Create or update; returns how many of each.
+
+        Without an ``order`` that says which row is last, repeated keys are refused.
+        """
+        if not order and not repeated_keys(batch, [self.key]).isEmpty():
+            raise DuplicateKeyError(f"{self.key} repeats in the batch, and no order is given")
         if self.schema is POLLUTANTS:
             merged = merge_pollutants(self.read(), batch, now)
         else:

@@ -6,15 +6,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.functions.copytext import copy_line
 from aerolake.functions.times import as_utc, instant
 from aerolake.operators.joins import small_or_shuffled
-from aerolake.operators.keys import insert_conflicts, key_counts
+from aerolake.operators.keys import insert_conflicts
 from aerolake.operators.slices import in_period
 from aerolake.plans.tables import (
     check_partition_column,
@@ -31,7 +32,16 @@ _ORIGIN = date(1970, 1, 5)  # chunks are counted from this Monday
 
 
 class DuplicateKeyError(ValueError):
-    """An insert met a (time, sampling_point_id) that is there already."""
+    """A key repeats in a batch or is there already."""
+
+
+class MissingKeyError(ValueError):
+    """A measurement lacks its time, sampling point or pollutant."""
+
+
+def _has_holes() -> Column:
+    required = [*MEASUREMENT_KEY, "pollutant_code"]
+    return reduce(Column.__or__, [F.col(name).isNull() for name in required])
 
 
 def normalise_copy_flags(batch: DataFrame) -> DataFrame:
@@ -46,17 +56,13 @@ def normalise_copy_flags(batch: DataFrame) -> DataFrame:
             value = F.coalesce(value, F.nullif(F.col(older), F.lit(0)))
         return value.cast("int").alias(name)
 
-    columns = {
+    changed = {
         "validity": flag("validity", "validity_flag_id"),
         "verification": flag("verification", "verification_status_id"),
-        "observation_id": F.nullif(F.col("observation_id"), F.lit("")).alias("observation_id"),
     }
-    return conform(
-        batch.select(
-            *[columns.pop(c, F.col(c)) for c in batch.columns if c in MEASUREMENTS.names],
-            *[column for name, column in columns.items() if name not in batch.columns],
-        )
-    )
+    if "observation_id" in batch.columns:
+        changed["observation_id"] = F.nullif(F.col("observation_id"), F.lit(""))
+    return conform(batch.withColumns(changed))
 
 
 def conform(batch: DataFrame) -> DataFrame:
@@ -126,11 +132,17 @@ class MeasurementStore:
         rows = self._with_chunk(batch)
         # one pass over the batch: row count, repeats and touched chunks
         summary = (
-            key_counts(rows, [self.column, *MEASUREMENT_KEY])
+            rows.groupBy(self.column, *MEASUREMENT_KEY)
+            .agg(F.count("*").alias("copies"), F.count_if(_has_holes()).alias("holes"))
             .groupBy(F.col(self.column).alias("chunk"))
-            .agg(F.sum("copies").alias("rows"), F.count_if(F.col("copies") > 1).alias("repeated"))
+            .agg(
+                F.sum("copies").alias("rows"),
+                F.count_if(F.col("copies") > 1).alias("repeated"),
+                F.sum("holes").alias("holes"),
+            )
             .collect()  # one row for each chunk in the batch
         )
+        self._check_holes(summary)
         if not summary:
             return 0
         touched = {row["chunk"] for row in summary} & self.chunks()
@@ -142,6 +154,12 @@ class MeasurementStore:
         write_dates(rows, self.path, "append", self.column, **options)
         return sum(row["rows"] for row in summary)
 
+    @staticmethod
+    def _check_holes(summary: list[Row]) -> None:
+        holes = sum(row["holes"] for row in summary)
+        if holes:
+            raise MissingKeyError(f"{holes} rows lack a time, sampling point or pollutant")
+
     @staticmethod
     def _refuse(conflicts: DataFrame) -> None:
         examples = conflicts.limit(5).collect()
@@ -179,9 +197,10 @@ class MeasurementStore:
         with staged(self._with_chunk(keep_last_counted(typed, places)), "upsert") as fresh:
             summary = (
                 fresh.groupBy(F.col(self.column).alias("chunk"))
-                .agg(F.sum("_copies").alias("rows"))
+                .agg(F.sum("_copies").alias("rows"), F.count_if(_has_holes()).alias("holes"))
                 .collect()
             )
+            self._check_holes(summary)
             latest = fresh.select(*self.schema.names)
             touched = {row["chunk"] for row in summary} & self.chunks()
             merged = latest

@@ -10,7 +10,12 @@ from aerolake.plans.dimension_tables import (
     sampling_points_table,
     stations_table,
 )
-from aerolake.plans.measurement_store import DuplicateKeyError, MeasurementStore, copy_text
+from aerolake.plans.measurement_store import (
+    DuplicateKeyError,
+    MeasurementStore,
+    MissingKeyError,
+    copy_text,
+)
 from aerolake.sources.lookups import country_seed, pollutant_seed, seed
 
 DAY = datetime(2024, 1, 1)
@@ -93,6 +98,15 @@ def test_upsert_keeps_zero_flags_copy_does_not(spark, store):
     assert copy_text(later).first()[0].split("\t")[6] == "2"
 
 
+@pytest.mark.parametrize("column", ["time", "sampling_point_id", "pollutant_code"])
+def test_rows_without_key_are_refused(spark, store, column):
+    torn = hours(spark, 3).withColumn(column, F.when(F.col("seq") != 1, F.col(column)))
+    for write in (store.insert, store.copy, lambda b: store.upsert(b, ["seq"])):
+        with pytest.raises(MissingKeyError, match="1 rows"):
+            write(torn)
+    assert store.read().count() == 0
+
+
 def test_failed_write_leaves_table_intact(spark, store):
     store.insert(hours(spark, 48))
     before = keys(store)
@@ -173,7 +187,11 @@ def test_dimension_upserts(spark, tmp_path):
     twice = spark.createDataFrame(
         [("S2", "late", 2), ("S2", "early", 1)], "station_code string, station_name string, n int"
     )
+    with pytest.raises(DuplicateKeyError):
+        table.upsert(twice.drop("n"), later)
     table.upsert(twice, later, order=["n"])
+    table.upsert(spark.createDataFrame([(None, "x")], "station_code string, station_name string"), later)
+    assert table.read().filter("station_code is null").count() == 0
     assert table.read().filter("station_code = 'S2'").first()["station_name"] == "late"
     assert table.delete(one) == 1 and table.read().count() == 1
 
