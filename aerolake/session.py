@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -55,3 +57,23 @@ def work_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_scratch()
     return f"{base.rstrip('/')}/aerolake/{label}-{uuid.uuid4().hex}"
+
+
+@lru_cache(maxsize=8)
+def _ship(application_id: str, context) -> None:
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="aerolake-ship-")
+    archive = shutil.make_archive(
+        f"{folder}/{package.name}", "zip", root_dir=package.parent, base_dir=package.name
+    )
+    context.addPyFile(archive)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the executors, once for each application.
+
+    Functions that run in tasks are then found from wherever the driver was started. The
+    archive is handed out by the driver's file server, so its folder need not be shared.
+    """
+    context = spark.sparkContext
+    _ship(context.applicationId, context)

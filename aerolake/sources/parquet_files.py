@@ -22,6 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from aerolake.operators.harmonise import cast_measurements, empty_measurements
 from aerolake.schemas import RAW_NAMES
+from aerolake.session import ship_package
 
 _FOOTERS = T.StructType(
     [
@@ -129,6 +130,7 @@ def inspect_files(files: DataFrame) -> DataFrame:
     ``files`` has ``path, length``. Adds ``is_parquet``, ``rows``, ``columns`` (JSON of the
     known raw columns with their Spark types) and ``error`` (NULL for a usable file).
     """
+    ship_package(files.sparkSession)
     return files.select("path", "length").mapInArrow(_read_footers, _FOOTERS)
 
 
