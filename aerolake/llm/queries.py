@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolake.llm import chat
+from aerolake.llm import chat, quality
 from aerolake.llm.common import table
 
 
@@ -16,6 +16,18 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and risk-controlled verdict of every document."""
+    judged = quality.judge(
+        table(spark, sf_dir, "documents", "doc_id", "text", "lang"),
+        table(spark, sf_dir, "labels", "doc_id", "quality"),
+    )
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chat windows of all conversations and of conversation -1, read back."""
     said = "</s>[INST] ok [/INST]"
@@ -29,6 +41,7 @@ def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_quality_rules": op3_quality_rules,
     "op9_chat_windows": op9_chat_windows,
 }
 
