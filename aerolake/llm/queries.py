@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerolake.llm import chat, quality
+from aerolake.llm import chat, packing, quality
 from aerolake.llm.common import table
 
 
@@ -28,6 +28,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 ids."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack_documents(docs, _vocabulary("word_bpe_49k.json"), end=2, size=4096)
+
+
 def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chat windows of all conversations and of conversation -1, read back."""
     said = "</s>[INST] ok [/INST]"
@@ -42,6 +48,7 @@ def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op6_packing": op6_packing,
     "op9_chat_windows": op9_chat_windows,
 }
 
