@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aerolake.llm import chat, packing, quality
+from aerolake.llm import chat, packing, quality, topk
 from aerolake.llm.common import table
 
 
@@ -16,6 +17,12 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best other vectors of every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and risk-controlled verdict of every document."""
     judged = quality.judge(
@@ -47,9 +54,27 @@ def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_topk": op1_exact_topk,
     "op3_quality_rules": op3_quality_rules,
     "op6_packing": op6_packing,
     "op9_chat_windows": op9_chat_windows,
 }
 
 SQL: dict[str, str] = {}
+
+SQL["op1_exact_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS cells
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_inner_product(q.cells, c.cells) AS BIGINT) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+    FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+"""
