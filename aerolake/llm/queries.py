@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import chat, packing, quality, topk
+from aerolake.llm import chat, html_text, packing, quality, topk
 from aerolake.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256.0)
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and risk-controlled verdict of every document."""
     judged = quality.judge(
@@ -55,6 +60,7 @@ def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
+    "op2_html_text": op2_html_text,
     "op3_quality_rules": op3_quality_rules,
     "op6_packing": op6_packing,
     "op9_chat_windows": op9_chat_windows,
