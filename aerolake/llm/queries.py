@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import chat, html_text, packing, quality, topk
+from aerolake.llm import chat, html_text, packing, quality, topk, toxicity
 from aerolake.llm.common import table
 
 
@@ -58,12 +58,26 @@ def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(windows)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; the held-out fifth of the labels is not learned from."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    model = toxicity.fit(docs, labels.filter(~toxicity.held_out()))
+    return toxicity.with_score(docs, model).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op2_html_text": op2_html_text,
     "op3_quality_rules": op3_quality_rules,
     "op6_packing": op6_packing,
     "op9_chat_windows": op9_chat_windows,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {}

@@ -82,7 +82,7 @@ def chunk_ids(path: str) -> ChunkIds:
     return ChunkIds(path)
 
 
-def _slices(texts: pa.Array) -> list[tuple[int, int]]:
+def slices(texts: pa.Array) -> list[tuple[int, int]]:
     """(start, length) of runs of rows with about SLICE_BYTES of text."""
     if not len(texts):
         return []
@@ -134,7 +134,7 @@ def ids_of_texts(texts: pa.Array, path: str):
     """Yield an array of ids for each text, null as an empty one."""
     ids = chunk_ids(path)
     texts = pc.fill_null(texts, "")
-    for start, length in _slices(texts):
+    for start, length in slices(texts):
         part = texts.slice(start, length)
         if length == 1 and pc.binary_length(part)[0].as_py() > SLICE_BYTES:
             yield _long(part[0].as_py(), ids)
