@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import chat, html_text, packing, quality, topk, toxicity
+from aerolake.llm import chat, html_text, ngram_join, packing, quality, topk, toxicity
 from aerolake.llm.common import table
 
 
@@ -40,6 +40,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return ngram_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 ids."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op2_html_text": op2_html_text,
     "op3_quality_rules": op3_quality_rules,
+    "op5_ngram_join": op5_ngram_join,
     "op6_packing": op6_packing,
     "op9_chat_windows": op9_chat_windows,
     "op10_toxicity": op10_toxicity,
@@ -98,3 +104,41 @@ WITH v AS (
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
 """
+
+SQL["op5_ngram_join"] = """
+WITH RECURSIVE texts AS (
+    SELECT coalesce(text, '') AS text, min(doc_id) AS copy_id FROM documents GROUP BY 1
+), worded AS (
+    SELECT copy_id, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'),
+                                lambda w: w <> '') AS words
+    FROM texts
+), shingles AS (
+    SELECT DISTINCT copy_id, unnest(
+        CASE WHEN len(words) >= 5
+             THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+             WHEN len(words) > 0 THEN [array_to_string(words, ' ')]
+             ELSE CAST([] AS VARCHAR[]) END) AS shingle
+    FROM worded
+), sizes AS (
+    SELECT copy_id, count(*) AS n FROM shingles GROUP BY 1
+), shared AS (
+    SELECT a.copy_id AS one, b.copy_id AS two, count(*) AS n
+    FROM shingles AS a JOIN shingles AS b ON a.shingle = b.shingle AND a.copy_id <> b.copy_id
+    GROUP BY 1, 2
+), links AS (
+    SELECT one, two FROM shared
+    JOIN sizes AS s ON s.copy_id = one JOIN sizes AS t ON t.copy_id = two
+    WHERE 10 * shared.n >= 8 * (s.n + t.n - shared.n)
+), reach(one, two) AS (
+    SELECT copy_id, copy_id FROM texts
+    UNION
+    SELECT reach.one, links.two FROM reach JOIN links ON links.one = reach.two
+), classes AS (
+    SELECT one AS copy_id, min(two) AS class_id FROM reach GROUP BY 1
+), degrees AS (
+    SELECT one AS copy_id, count(*) AS n FROM links GROUP BY 1
+)
+SELECT d.doc_id, t.copy_id, c.class_id, CAST(coalesce(g.n, 0) AS BIGINT) AS n_links
+FROM documents AS d JOIN texts AS t ON t.text = coalesce(d.text, '')
+JOIN classes AS c ON c.copy_id = t.copy_id LEFT JOIN degrees AS g ON g.copy_id = t.copy_id
+"""
