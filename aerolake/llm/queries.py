@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import chat, html_text, ngram_join, packing, quality, topk, toxicity
+from aerolake.llm import chat, html_text, mixing, ngram_join, packing, pii, quality, topk, toxicity
 from aerolake.llm.common import table
 
 
@@ -40,6 +40,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mixture of sources."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "source", "size", "block", "slot", "place")
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
     return ngram_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -51,6 +57,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, _vocabulary("word_bpe_49k.json"), end=2, size=4096)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.find_spans(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chat windows of all conversations and of conversation -1, read back."""
     said = "</s>[INST] ok [/INST]"
@@ -80,8 +91,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op2_html_text": op2_html_text,
     "op3_quality_rules": op3_quality_rules,
+    "op4_source_mixing": op4_source_mixing,
     "op5_ngram_join": op5_ngram_join,
     "op6_packing": op6_packing,
+    "op8_pii": op8_pii,
     "op9_chat_windows": op9_chat_windows,
     "op10_toxicity": op10_toxicity,
 }
