@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import chat, html_text, mixing, ngram_join, packing, pii, quality, topk, toxicity
+from aerolake.llm import chat, html_text, licenses, mixing, ngram_join, packing, pii, quality, topk, toxicity
 from aerolake.llm.common import table
 
 
@@ -57,6 +57,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, _vocabulary("word_bpe_49k.json"), end=2, size=4096)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return licenses.scan(docs).select("doc_id", "license", "containment")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.find_spans(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_source_mixing": op4_source_mixing,
     "op5_ngram_join": op5_ngram_join,
     "op6_packing": op6_packing,
+    "op7_license_scan": op7_license_scan,
     "op8_pii": op8_pii,
     "op9_chat_windows": op9_chat_windows,
     "op10_toxicity": op10_toxicity,
@@ -155,3 +162,40 @@ SELECT d.doc_id, t.copy_id, c.class_id, CAST(coalesce(g.n, 0) AS BIGINT) AS n_li
 FROM documents AS d JOIN texts AS t ON t.text = coalesce(d.text, '')
 JOIN classes AS c ON c.copy_id = t.copy_id LEFT JOIN degrees AS g ON g.copy_id = t.copy_id
 """
+
+
+def _license_sql() -> str:
+    rows = ", ".join(
+        f"('{name}', {number}, '{' '.join(licenses.template_words(text))}')"
+        for name, texts in licenses.TEMPLATES.items()
+        for number, text in enumerate(texts)
+    )
+    shingles = """
+        SELECT DISTINCT {key}, unnest(
+            CASE WHEN len(words) >= 5
+                 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+                 WHEN len(words) > 0 THEN [array_to_string(words, ' ')]
+                 ELSE CAST([] AS VARCHAR[]) END) AS shingle
+        FROM {source}"""
+    return f"""
+WITH templates(license, template, text) AS (VALUES {rows}
+), t AS (
+    SELECT license, template, string_split(text, ' ') AS words FROM templates
+), ts AS ({shingles.format(key="license, template", source="t")}
+), d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'),
+                               lambda w: w <> '') AS words
+    FROM documents
+), ds AS ({shingles.format(key="doc_id", source="d")}
+), sizes AS (
+    SELECT license, template, count(*) AS n FROM ts GROUP BY 1, 2
+), met AS (
+    SELECT ds.doc_id, ts.license, ts.template, count(*) AS n
+    FROM ts JOIN ds ON ds.shingle = ts.shingle GROUP BY 1, 2, 3
+)
+SELECT doc_id, license, max(met.n / sizes.n) AS containment
+FROM met JOIN sizes USING (license, template) WHERE met.n >= 0.8 * sizes.n GROUP BY 1, 2
+"""
+
+
+SQL["op7_license_scan"] = _license_sql()
