@@ -86,10 +86,18 @@ def _shingles(words: Column) -> Column:
 
 
 def shingled(texts: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` and the shingle hashes of ``text`` in order."""
+    """``keep``, a row number ``_row`` and the shingle hashes of ``text`` in order.
+
+    The row number also keeps filters on the shingles above this projection: pushed below, they
+    would split the text again for each word.
+    """
     lower = F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
     words = texts.select(*keep, F.array_remove(F.split(lower, _GAP), "").alias("words"))
-    return words.select(*keep, _shingles(F.col("words")).alias("shingles"))
+    return words.select(
+        *keep,
+        F.monotonically_increasing_id().alias("_row"),
+        _shingles(F.col("words")).alias("shingles"),
+    )
 
 
 def _constants() -> list[int]:
@@ -136,10 +144,7 @@ def scan(
     """doc_id, license, containment and first_shingle of every match of every text."""
     spark = docs.sparkSession
     known = templates_table(spark, templates).collect()  # fixed and small
-    texts = shingled(
-        docs.withColumn("_row", F.monotonically_increasing_id()).select("doc_id", "_row", "text"),
-        "doc_id", "_row",
-    )
+    texts = shingled(docs.select("doc_id", "text"), "doc_id")
     # shingles that are a smallest hash of some template
     constants = _constants()
     marks = set()
