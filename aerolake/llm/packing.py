@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from aerolake.llm.common import batch_of, in_batches
 from aerolake.plans.tables import stage
-from aerolake.sources.order import FILE_ORDER, number_rows, with_file_order
+from aerolake.sources.order import number_rows
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
@@ -34,8 +34,9 @@ PIECES = (
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, end: int, size: int, keep: bool):
-    from aerolake.llm.tokens import ids_of_texts
+    from aerolake.llm.tokens import chunk_ids, ids_of_texts
 
+    narrow = max(chunk_ids(vocabulary).tokenizer.get_vocab_size(), end + 1) <= 2**16
     for batch in batches:
         keys = batch.column(0).to_pylist()
         rows: list[tuple] = []
@@ -46,9 +47,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, end: int, size:
             for start in range(0, total, size):
                 part = raw[4 * start : 4 * (start + size)]
                 held += len(part)
-                rows.append(
-                    (key, start, len(part) // 4, zlib.crc32(part), total, bytes(part) if keep else None)
-                )
+                kept = ids_bytes(part, narrow) if keep else None
+                rows.append((key, start, len(part) // 4, zlib.crc32(part), total, kept))
             if held > 32_000_000 and keep:
                 yield _piece_batch(rows)
                 rows, held = [], 0
@@ -56,6 +56,11 @@ def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, end: int, size:
             yield _piece_batch(rows)
 
 
+def ids_bytes(part: memoryview, narrow: bool) -> bytes:
+    """32-bit ids as they are, or in 16 bits."""
+    return np.frombuffer(part, "<u4").astype("<u2").tobytes() if narrow else bytes(part)
+
+
 def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
     names = [part.split()[0] for part in PIECES.split(", ")]
     kinds = [pa.int64()] * 5 + [pa.binary()]
@@ -65,7 +70,11 @@ def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
 def pieces_of(
     docs: DataFrame, vocabulary: str, end: int = 2, size: int = 4096, keep_ids: bool = True
 ) -> DataFrame:
-    """Pieces (``PIECES``) of every document; ids are little-endian unsigned 32-bit integers."""
+    """Pieces (``PIECES``) of every document.
+
+    The checksum is of little-endian unsigned 32-bit ids; the ids themselves are kept in 16 bits
+    if the vocabulary allows it.
+    """
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     work = partial(_pieces, vocabulary=vocabulary, end=end, size=size, keep=keep_ids)
     return in_batches(rows, work, PIECES)
@@ -156,52 +165,53 @@ def _assign(batches: Iterator[pa.RecordBatch], slots: Slots, names: list[str]):
         yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
 
-def pack(pieces: DataFrame, size: int = 4096) -> DataFrame:
-    """Pieces, already stored in files, with sequence_id and offset; ids stay out of the shuffle.
+_KEPT = ["piece", "doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
-    ``_file`` to ``_seq`` name a piece's place in its table, for a join with its ids.
-    """
-    light = with_file_order(
-        pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens")
-    )
+
+def stored_pieces(docs: DataFrame, vocabulary: str, end: int, size: int, keep_ids: bool) -> DataFrame:
+    """The pieces as a stored table, each with a number of its own (``piece``)."""
+    made = pieces_of(docs, vocabulary, end, size, keep_ids)
+    return stage(made.withColumn("piece", F.monotonically_increasing_id()), "pieces")
+
+
+def pack(pieces: DataFrame, size: int = 4096) -> DataFrame:
+    """Stored pieces with sequence_id and offset; ids stay out of the shuffle."""
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     slots = Slots.of(histogram, size)
-    ranked = number_rows(light, ["length", "_file", "_block"], ["_seq"], "_rank", per=["length"])
-    plain = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    names = plain + ["sequence_id", "offset"]
+    light = pieces.select(*_KEPT, F.shiftright("piece", 13).alias("_chunk"))
+    ranked = number_rows(light, ["length", "_chunk"], ["piece"], "_rank", per=["length"])
+    names = [*_KEPT, "sequence_id", "offset"]
     schema = ", ".join(f"{n} bigint" for n in names)
     return in_batches(
-        ranked.select(*plain, "_rank"), partial(_assign, slots=slots, names=names), schema
+        ranked.select(*_KEPT, "_rank"), partial(_assign, slots=slots, names=names), schema
     )
 
 
-def pack_documents(
-    docs: DataFrame, vocabulary: str, end: int = 2, size: int = 4096, keep_ids: bool = False
-) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, end: int = 2, size: int = 4096) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    return pack(stage(pieces_of(docs, vocabulary, end, size, keep_ids), "pieces"), size)
+    return pack(stored_pieces(docs, vocabulary, end, size, False), size).drop("piece")
 
 
 def sequences(docs: DataFrame, vocabulary: str, end: int = 2, size: int = 4096) -> DataFrame:
-    """sequence_id, n_tokens, ids (array) and the documents with their starts and offsets.
+    """sequence_id, n_tokens, ids and pieces (offset, doc_id, start, length) of every sequence.
 
-    A group is one sequence, at most ``size`` ids.
+    ``ids`` are the bytes of little-endian ids of 16 bits, or 32 for larger vocabularies. A group
+    is one sequence, at most ``size`` ids.
     """
-    stored = stage(pieces_of(docs, vocabulary, end, size), "pieces")
-    packed = stage(pack(stored, size), "packed")
-    key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    # equal pieces are interchangeable; their copies are numbered on both sides
-    ids = stored.select(*key, "ids")
-    return _with_ids(packed, ids, key)
-
-
-def _with_ids(packed: DataFrame, ids: DataFrame, key: list[str]) -> DataFrame:
-    distinct = ids.groupBy(*key).agg(F.first("ids").alias("ids"))
-    same = [packed[c].eqNullSafe(distinct[c]) for c in key]
-    joined = packed.join(distinct, same).select(packed["*"], distinct["ids"])
-    return joined.groupBy("sequence_id").agg(
+    stored = stored_pieces(docs, vocabulary, end, size, True)
+    packed = pack(stored, size).select("piece", "sequence_id", "offset")
+    filled = stored.join(packed, "piece").groupBy("sequence_id").agg(
         F.sum("length").alias("n_tokens"),
         F.sort_array(
             F.collect_list(F.struct("offset", "doc_id", "start", "length", "ids"))
+        ).alias("parts"),
+    )
+    empty = F.lit(b"")
+    return filled.select(
+        "sequence_id",
+        "n_tokens",
+        F.aggregate("parts", empty, lambda ids, part: F.concat(ids, part["ids"])).alias("ids"),
+        F.transform(
+            "parts", lambda p: F.struct(p["offset"], p["doc_id"], p["start"], p["length"])
         ).alias("pieces"),
     )
