@@ -161,7 +161,7 @@ def _search_pair(row: dict, dim: int, k: int):
             found[mine] = np.take_along_axis(keys, best, 1)
     real = scores > none
     query = np.broadcast_to(q_ids[:, None], scores.shape)[real]
-    values = [int(min(max(x, -_LONG - 1), _LONG)) for x in scores[real]]
+    values = [int(min(max(x, -_LONG), _LONG)) for x in scores[real]]
     return query, found[real], np.array(values, dtype=np.int64)
 
 
