@@ -99,10 +99,10 @@ fx_extract_points AS (
   QUALIFY row_number() OVER (PARTITION BY sampling_point_id ORDER BY row_num) = 1
 ),
 fx_extract_errors AS (
-  SELECT row_num, format('Row {}: Country ''{}'' not in DB - skipping station {}', row_num, country_code, station_code) AS message
+  SELECT row_num, format('line {}: station {} left out, its country ({}) is not registered', row_num, station_code, country_code) AS message
   FROM fx_complete WHERE country_code NOT IN (SELECT country_code FROM fx_countries)
   UNION ALL
-  SELECT k.row_num, format('Row {}: Pollutant ''{}'' not in DB - skipping {}', k.row_num, k.pollutant_name, k.sampling_point_id)
+  SELECT k.row_num, format('line {}: sampling point {} left out, its pollutant ({}) is not registered', k.row_num, k.sampling_point_id, k.pollutant_name)
   FROM fx_known k LEFT JOIN fx_extract_points a USING (sampling_point_id)
   WHERE k.pollutant_code IS NULL AND (a.row_num IS NULL OR k.row_num < a.row_num)
 ),

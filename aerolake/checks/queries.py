@@ -384,9 +384,12 @@ def compact_old_partitions(fx):
 @query
 def cleanup_processed(fx):
     folder = _written(fx, fx.raw("new"), "arriving")
-    raw = ingest.raw_file_stream(fx.spark, folder, fx.raw("new").schema, after_load="delete")
+    files = ingest.file_stream(fx.spark, folder)
     store = _store(fx)
-    ingest.stream_ingest(raw, store, work_dir(fx.spark, "stream")).awaitTermination()
+    checkpoint = work_dir(fx.spark, "stream")
+    ingest.stream_ingest(files, store, checkpoint, after_load="delete").awaitTermination()
+    if parquet_files.list_files(fx.spark, folder).filter(F.col("path").endswith(".parquet")).count():
+        raise AssertionError("loaded files are left")
     return _measured(store.read())
 
 
@@ -734,10 +737,8 @@ def daily_measurements(fx):
 
 @query
 def daily_measurements_preaggregated(fx):
-    """The plan for a sampling-point table too large to broadcast."""
-    return _rounded(
-        aggregates.daily_measurements(fx.measurements, fx.sampling_points, broadcast_limit=-1)
-    )
+    """With a join that shuffles, as for a large sampling-point table."""
+    return _rounded(aggregates.daily_measurements(fx.measurements, fx.sampling_points.hint("merge")))
 
 
 @query
@@ -936,11 +937,11 @@ def stream_ingest(fx):
     spark = fx.spark
     raw_rows = fx.raw("old").repartition(4)
     folder = _written(fx, raw_rows, "arriving")
-    raw = ingest.raw_file_stream(spark, folder, raw_rows.schema, max_files=2)
+    files = ingest.file_stream(spark, folder, max_files=2)
     store = _store(fx)
     points = spark.read.parquet(_written(fx, fx.sampling_points, "points"))
     table = DailyTable(spark, work_dir(spark, "daily"))
-    query = ingest.stream_ingest(raw, store, work_dir(spark, "stream"), table, points)
+    query = ingest.stream_ingest(files, store, work_dir(spark, "stream"), table, points)
     query.awaitTermination()
     return _rounded(table.read())
 

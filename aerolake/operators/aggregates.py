@@ -6,25 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolake.functions.flags import at_least_valid, hourly
-from aerolake.operators.joins import BROADCAST_LIMIT_BYTES, is_small
 from aerolake.schemas import DAILY
 
 DAILY_KEY = ["day", "station_code", "pollutant_code"]
 MERGE_BUCKETS = 64
 
 
-def _statistics() -> list[Column]:
-    return [
-        F.avg("value").alias("avg_value"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-        F.stddev_samp("value").alias("stddev_value"),
-        F.count("*").alias("count"),
-        F.min("time").alias("first_measurement"),
-        F.max("time").alias("last_measurement"),
-    ]
-
-
 def _point_days(rows: DataFrame) -> DataFrame:
     """Mergeable daily statistics of each sampling point; ``m2`` is its squared deviation."""
     return rows.groupBy("day", "sampling_point_id", "pollutant_code").agg(
@@ -85,17 +72,12 @@ def _merge_point_days(point_days: DataFrame) -> DataFrame:
     )
 
 
-def daily_measurements(
-    measurements: DataFrame,
-    sampling_points: DataFrame,
-    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
-) -> DataFrame:
+def daily_measurements(measurements: DataFrame, sampling_points: DataFrame) -> DataFrame:
     """Statistics per UTC day, station and pollutant over valid hourly rows.
 
-    With a small sampling-point table: broadcast join, then one aggregate whose map side
-    combines rows before the only shuffle. With a large one the join itself shuffles, so rows
-    are first reduced to one per sampling point and day; a sampling point holding a large
-    share of all rows then brings one row a day to the join, not its whole history.
+    Rows are first reduced to one per sampling point and day, so a sampling point holding a
+    large share of all rows brings one row a day to the join, not its whole history. How the
+    join runs is left to adaptive execution; the figures are the same either way.
     """
     wanted = measurements.filter(
         at_least_valid(F.col("validity")) & hourly(F.col("aggregation_type"))
@@ -103,14 +85,7 @@ def daily_measurements(
         F.to_date("time").alias("day"), "sampling_point_id", "pollutant_code", "value", "time"
     )
     stations = sampling_points.select("sampling_point_id", "station_code")
-    if is_small(stations, broadcast_limit):
-        daily = (
-            wanted.join(F.broadcast(stations), "sampling_point_id")
-            .groupBy(*DAILY_KEY)
-            .agg(*_statistics())
-        )
-    else:
-        daily = _merge_point_days(_point_days(wanted).join(stations, "sampling_point_id"))
+    daily = _merge_point_days(_point_days(wanted).join(stations, "sampling_point_id"))
     return daily.select(*DAILY.names)
 
 

@@ -106,10 +106,10 @@ def all_extract_errors(
     bad_country = unknown_country(complete_rows(extract), countries).select(
         "row_num",
         F.format_string(
-            "Row %d: Country '%s' not in DB - skipping station %s",
+            "line %d: station %s left out, its country (%s) is not registered",
             "row_num",
-            F.coalesce("country_code", F.lit("None")),
             "station_code",
+            F.coalesce("country_code", F.lit("none")),
         ).alias("message"),
     )
     rows = _with_pollutant(extract, countries, pollutants)
@@ -126,10 +126,10 @@ def all_extract_errors(
         .select(
             "row_num",
             F.format_string(
-                "Row %d: Pollutant '%s' not in DB - skipping %s",
+                "line %d: sampling point %s left out, its pollutant (%s) is not registered",
                 "row_num",
-                "pollutant_name",
                 "sampling_point_id",
+                "pollutant_name",
             ).alias("message"),
         )
     )

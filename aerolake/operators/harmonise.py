@@ -42,34 +42,69 @@ def empty_measurements(spark: SparkSession, keep: list[str] | None = None) -> Da
     )
 
 
+def _typed(raw: DataFrame, target: str, type_name: str) -> Column:
+    name = raw_name(raw, target)
+    if name is None:
+        return F.lit(None).cast(type_name)
+    column, raw_type = F.col(f"`{name}`"), dict(raw.dtypes)[name]
+    if type_name == "timestamp":
+        return utc_time(column, raw_type)
+    if type_name == "double":
+        return nan_to_null(column.try_cast("double"))
+    if type_name == "int" and raw_type == "string":
+        return column.try_cast("double").try_cast("int")
+    return column.try_cast(type_name)
+
+
+def _measurement_types() -> dict[str, str]:
+    return {
+        field.name: field.dataType.simpleString()
+        for field in MEASUREMENTS.fields
+        if field.name in MEASUREMENT_NAMES
+    }
+
+
 def cast_measurements(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Typed measurements of a raw frame.
 
-    Rows without a time, sampling point or pollutant are dropped; without one of those
-    columns the result is empty. Absent optional columns become NULL, and so do NaN and
-    values that do not fit the type. ``keep`` carries further columns through.
+    Rows without a time, sampling point or pollutant are dropped (``count_losses`` counts
+    them); without one of those columns the result is empty. Absent optional columns become
+    NULL, and so do NaN and values that do not fit the type. ``keep`` carries further columns
+    through.
     """
     keep = keep or []
     if not has_required_columns(raw):
         return empty_measurements(raw.sparkSession, keep)
-    raw_types = dict(raw.dtypes)
+    columns = [_typed(raw, n, kind).alias(n) for n, kind in _measurement_types().items()]
+    return require_not_null(raw.select(*columns, *keep))
+
 
-    def typed(target: str, type_name: str) -> Column:
+def count_losses(raw: DataFrame) -> DataFrame:
+    """For each ``file_path`` what a load would lose: one row of counts.
+
+    ``read`` rows; ``dropped`` ones lack a required value; ``unreadable`` ones have a required
+    value that its type cannot hold. Every column is read, so that damaged pages show.
+    """
+    types = _measurement_types()
+    lost, bad = F.lit(False), F.lit(False)
+    for target in REQUIRED:
         name = raw_name(raw, target)
+        typed = _typed(raw, target, types[target])
         if name is None:
-            return F.lit(None).cast(type_name)
+            lost = F.lit(True)
+            continue
         column = F.col(f"`{name}`")
-        if type_name == "timestamp":
-            return utc_time(column, raw_types[name])
-        if type_name == "double":
-            return nan_to_null(column.try_cast("double"))
-        if type_name == "int" and raw_types[name] == "string":
-            return column.try_cast("double").try_cast("int")
-        return column.try_cast(type_name)
-
-    columns = [
-        typed(field.name, field.dataType.simpleString()).alias(field.name)
-        for field in MEASUREMENTS.fields
-        if field.name in MEASUREMENT_NAMES
-    ]
-    return require_not_null(raw.select(*columns, *keep))
+        given = column.isNotNull()
+        if dict(raw.dtypes)[name] == "string":
+            given = given & (F.trim(column) != "")
+        elif dict(raw.dtypes)[name] == "double":
+            given = given & ~F.isnan(column)
+        lost = lost | ~given
+        bad = bad | (given & typed.isNull())
+    values = [F.col(f"`{name}`") for name in raw.columns]
+    return raw.groupBy("file_path").agg(
+        F.count("*").alias("read"),
+        F.count_if(lost & ~bad).alias("dropped"),
+        F.count_if(bad).alias("unreadable"),
+        F.max(F.xxhash64(*values)).alias("touched"),
+    )

@@ -7,31 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension up to this estimated size is broadcast. For a stored table the estimate is its
-# size on disk, so this leaves room for unpacking. Beyond it the join shuffles, and the fact
-# side is pre-aggregated or left to AQE's skew splitting.
-BROADCAST_LIMIT_BYTES = 16 * 1024 * 1024
-
-
-def estimated_bytes(frame: DataFrame) -> int:
-    """Catalyst's size estimate. For joins and aggregates it errs on the large side."""
-    stats = frame._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
-def is_small(frame: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
-    return estimated_bytes(frame) <= limit
-
-
-def small_or_shuffled(frame: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint only behind the size check."""
-    return F.broadcast(frame) if is_small(frame, limit) else frame
-
-
 def measurements_with_station(measurements: DataFrame, sampling_points: DataFrame) -> DataFrame:
     """Inner join that adds ``station_code`` to each measurement."""
     stations = sampling_points.select("sampling_point_id", "station_code")
-    return measurements.join(small_or_shuffled(stations), "sampling_point_id")
+    return measurements.join(stations, "sampling_point_id")
 
 
 def decode_flags(measurements: DataFrame, validity: DataFrame, verification: DataFrame) -> DataFrame:
@@ -40,9 +19,7 @@ def decode_flags(measurements: DataFrame, validity: DataFrame, verification: Dat
     verified = verification.select(
         F.col("verification_code").alias("verification"), "verification_name"
     )
-    return measurements.join(small_or_shuffled(valid), "validity", "left").join(
-        small_or_shuffled(verified), "verification", "left"
-    )
+    return measurements.join(valid, "validity", "left").join(verified, "verification", "left")
 
 
 def _references(rows: DataFrame, table: str, columns: list[str], count: str) -> DataFrame:

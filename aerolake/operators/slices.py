@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolake.functions.times import as_utc, instant
-from aerolake.operators.joins import small_or_shuffled
 
 
 def in_period(measurements: DataFrame, start: datetime | None, end: datetime | None) -> DataFrame:
@@ -38,9 +37,7 @@ def slice_measurements(
         rows = rows.filter(F.col("pollutant_code") == F.lit(pollutant))
     if country is not None:
         points = sampling_points.filter(F.col("country_code") == F.lit(country))
-        rows = rows.join(
-            small_or_shuffled(points.select("sampling_point_id")), "sampling_point_id", "left_semi"
-        )
+        rows = rows.join(points.select("sampling_point_id"), "sampling_point_id", "left_semi")
     return rows
 
 

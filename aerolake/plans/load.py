@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,11 +17,12 @@ from aerolake.operators.extract import (
     sampling_points_from_extract,
     stations_from_extract,
 )
+from aerolake.operators.harmonise import count_losses
 from aerolake.operators.ledger import BATCH_SIZE, COMPLETED, FAILED, PENDING, RUNNING
 from aerolake.plans.dimension_tables import DimensionTable
-from aerolake.plans.measurement_store import DuplicateKeyError, MeasurementStore
+from aerolake.plans.measurement_store import MeasurementStore
 from aerolake.plans.tables import delete_file, read_table, stage, staged
-from aerolake.schemas import LEDGER
+from aerolake.schemas import LEDGER, MEASUREMENT_KEY
 from aerolake.sources.manifest import local_copies
 from aerolake.sources.station_extract import read_station_extract
 from aerolake.sources.parquet_files import inspect_files, measurements_of, read_inspected
@@ -40,20 +42,64 @@ class LoadedFiles:
 def read_files(spark: SparkSession, listing: DataFrame) -> LoadedFiles:
     """Read every usable file of a listing (``path, length``) and go on past bad ones.
 
-    ``files`` has ``path, measurements, error``; measurements are NULL for a file that failed.
+    ``files`` has ``path, measurements, dropped, error``. A file fails as a whole if its footer
+    or pages are damaged, or if a time, sampling point or pollutant cannot be read; its counts
+    are then NULL. Rows that lack one of the three are left out and counted as ``dropped``.
     """
     inspected = stage(inspect_files(listing), "footers")
-    raws = read_inspected(spark, inspected)
-    measurements = measurements_of(spark, raws)
-    loaded = measurements.groupBy(F.col("file_path").alias("path")).agg(
-        F.count("*").alias("loaded")
+    raws = read_inspected(spark, inspected, tolerant=True)
+    counts = [count_losses(raw) for raw in raws]
+    kind = "file_path string, read bigint, dropped bigint, unreadable bigint, touched bigint"
+    empty = spark.createDataFrame([], kind)
+    counted = stage(reduce(DataFrame.unionByName, counts, empty), "file-counts")
+    read = F.coalesce("read", F.lit(0))
+    error = F.coalesce(
+        F.col("error"),
+        F.when(read < F.col("rows"), F.format_string("only %d of %d rows can be read", read, "rows")),
+        F.when(
+            F.col("unreadable") > 0,
+            F.format_string("%d rows with an unreadable time, sampling point or pollutant", "unreadable"),
+        ),
     )
-    files = inspected.join(loaded, "path", "left").select(
-        "path",
-        F.when(F.col("error").isNull(), F.coalesce("loaded", F.lit(0))).alias("measurements"),
-        "error",
+    files = stage(
+        inspected.join(counted.withColumnRenamed("file_path", "path"), "path", "left")
+        .withColumn("problem", error)
+        .select(
+            "path",
+            F.when(F.col("problem").isNull(), read - F.coalesce("dropped", F.lit(0))).alias("measurements"),
+            F.when(F.col("problem").isNull(), F.coalesce("dropped", F.lit(0))).alias("dropped"),
+            F.col("problem").alias("error"),
+        ),
+        "files",
+    )
+    bad = files.filter("error is not null").select(F.col("path").alias("file_path"))
+    raws = [raw.join(bad, "file_path", "left_anti").select(*raw.columns) for raw in raws]
+    return LoadedFiles(raws, measurements_of(spark, raws), files)
+
+
+def repeated_keys(
+    measurements: DataFrame, stored: DataFrame, order: list[str]
+) -> DataFrame:
+    """``file_path, reason`` of files that cannot be appended.
+
+    A key may occur once: a file is refused for a key that it holds twice, that the store has,
+    or that a file earlier in ``order`` (refused or not) has.
+    """
+    held = measurements.groupBy(*MEASUREMENT_KEY, "file_path").agg(
+        F.count("*").alias("n"), F.min(F.struct(*order)).alias("place")
+    )
+    first = held.groupBy(*MEASUREMENT_KEY).agg(F.min("place").alias("first"))
+    inside = held.join(first, MEASUREMENT_KEY).select(
+        "file_path",
+        F.when(F.col("n") > 1, "holds a duplicate key")
+        .when(F.col("place") > F.col("first"), "has a duplicate key of an earlier file")
+        .alias("reason"),
     )
-    return LoadedFiles(raws, measurements, files)
+    known = held.join(stored.select(*MEASUREMENT_KEY), MEASUREMENT_KEY, "left_semi").select(
+        "file_path", F.lit("has a duplicate key of the store").alias("reason")
+    )
+    both = inside.filter("reason is not null").unionByName(known)
+    return both.groupBy("file_path").agg(F.min("reason").alias("reason"))
 
 
 def ledger_events(
@@ -93,12 +139,17 @@ def load_manifest(
     batch_size: int = BATCH_SIZE,
     ledger_path: str | None = None,
     clock: Callable[[], datetime] = utc_now,
+    stations: DimensionTable | None = None,
+    sampling_points: DimensionTable | None = None,
 ) -> DataFrame:
     """Load the local copies of a manifest's URLs; returns the final event of each URL.
 
-    All files go into the store in one write. URLs without a usable copy are failed; if the
-    store refuses the write, so are all the others. With ``ledger_path`` the events pending,
-    running and completed or failed are appended to that ledger as they occur.
+    All good files go into the store in one write; of rows with one key the file later in the
+    manifest wins an upsert. A file that is damaged, or whose keys an append cannot take, fails
+    alone, and so does a URL with no copy or with several. With dimension tables, new stations
+    and sampling points are written before the measurements. With ``ledger_path`` the events
+    pending, running and completed or failed are appended to that ledger as they occur; every
+    URL gets a final event, even if the load breaks off, which then raises.
     """
     created = clock()
 
@@ -107,42 +158,102 @@ def load_manifest(
             append_events(events, ledger_path)
 
     note(ledger_events(manifest, job_id, PENDING, created, created, batch_size))
-    found = stage(local_copies(manifest, listing), "copies")
-    at_hand = listing.join(found.select("path"), "path", "left_semi")
     started = clock()
     running = ledger_events(manifest, job_id, RUNNING, created, started, batch_size)
     note(running)
-    result = read_files(spark, at_hand)
-    refusal = None
+
+    def finish(outcome: DataFrame) -> DataFrame:
+        ended = clock()
+        final = stage(
+            running.drop("measurements", "error")
+            .join(outcome, "url")
+            .withColumn("status", F.when(F.col("error").isNull(), COMPLETED).otherwise(FAILED))
+            .withColumns({"ended_at": instant(ended), "event_time": instant(ended)})
+            .select(*LEDGER.names),
+            "events",
+        )
+        note(final)
+        return final
+
+    urls = manifest.select("url").distinct()
     try:
+        outcome = _load_copies(
+            spark, store, manifest, listing, upsert, stations, sampling_points, created
+        )
+    except Exception as problem:
+        text = f"the load broke off: {type(problem).__name__}: {problem}"
+        finish(urls.select("url", F.lit(None).cast("bigint").alias("measurements"), F.lit(text).alias("error")))
+        raise
+    return finish(outcome)
+
+
+def _load_copies(
+    spark: SparkSession,
+    store: MeasurementStore,
+    manifest: DataFrame,
+    listing: DataFrame,
+    upsert: bool,
+    stations: DimensionTable | None,
+    sampling_points: DimensionTable | None,
+    now: datetime,
+) -> DataFrame:
+    """Load what can be loaded; ``url, measurements, error`` of every URL."""
+    copies = local_copies(manifest, listing).groupBy("url").agg(
+        F.count("path").alias("n"), F.min("path").alias("path")
+    )
+    copies = stage(copies, "copies")
+    single = copies.filter("n = 1").select("path").distinct()
+    result = read_files(spark, listing.join(single, "path", "left_semi"))
+    places = (
+        copies.filter("n = 1")
+        .join(manifest.select("url", "position"), "url")
+        .groupBy(F.col("path").alias("file_path"))
+        .agg(F.min("position").alias("position"))
+    )
+    order = ["position", "row_index"]
+    with staged(result.measurements.join(places, "file_path"), "parsed") as parsed:
+        good, refused = parsed, None
+        if not upsert:
+            span = parsed.agg(F.min("time").alias("low"), F.max("time").alias("high")).first()
+            stored = store.read().limit(0) if span["low"] is None else store.between(
+                span["low"], span["high"] + timedelta(seconds=1)
+            )
+            refused = stage(repeated_keys(parsed, stored, ["position", "file_path"]), "refused")
+            good = parsed.join(refused.select("file_path"), "file_path", "left_anti")
+        if stations is not None and sampling_points is not None:
+            upsert_entities(result.raws, stations, sampling_points, now)
+        plain = good.drop("file_path")
         if upsert:
-            store.upsert(result.measurements, _FILE_ORDER)
+            store.upsert(plain, order)
         else:
-            store.copy(result.measurements)
-    except DuplicateKeyError as refused:
-        refusal = str(refused)
-    ended = clock()
-    failure = F.when(F.col("path").isNull(), F.lit("no local copy")).otherwise(
-        F.coalesce(F.col("file_error"), F.lit(refusal))
-    )
-    outcome = (
-        found.join(result.files.withColumnRenamed("error", "file_error"), "path", "left")
-        .select(
-            "url",
-            F.when(failure.isNull(), F.col("measurements")).alias("measurements"),
-            failure.alias("error"),
-        )
+            store.copy(plain)
+    outcome = copies.join(result.files.withColumnRenamed("error", "file_error"), "path", "left")
+    if refused is not None:
+        outcome = outcome.join(refused.withColumnRenamed("file_path", "path"), "path", "left")
+    else:
+        outcome = outcome.withColumn("reason", F.lit(None).cast("string"))
+    failure = (
+        F.when(F.col("n") == 0, F.lit("no local copy"))
+        .when(F.col("n") > 1, F.lit("several local copies"))
+        .otherwise(F.coalesce("file_error", "reason"))
     )
-    final = stage(
-        running.drop("measurements", "error")
-        .join(outcome, "url")
-        .withColumn("status", F.when(F.col("error").isNull(), COMPLETED).otherwise(FAILED))
-        .withColumns({"ended_at": instant(ended), "event_time": instant(ended)})
-        .select(*LEDGER.names),
-        "events",
+    return outcome.select(
+        "url", F.when(failure.isNull(), F.col("measurements")).alias("measurements"), failure.alias("error")
     )
-    note(final)
-    return final
+
+
+def upsert_entities(
+    raws: list[DataFrame], stations: DimensionTable, sampling_points: DimensionTable, now: datetime
+) -> dict[str, int]:
+    """Parents before children; returns how many rows were written to each."""
+    counts = {"stations": 0, "sampling_points": 0}
+    for name, table, batch in [
+        ("stations", stations, stations_to_upsert(raws)),
+        ("sampling_points", sampling_points, sampling_points_to_upsert(raws)),
+    ]:
+        if batch is not None:
+            counts[name] = sum(table.upsert(batch, now, null_overwrites=False).values())
+    return counts
 
 
 def load_entities(
@@ -157,13 +268,7 @@ def load_entities(
 
     The order keeps references intact: parents are written before their children.
     """
-    counts = {"stations": 0, "sampling_points": 0, "measurements": 0}
-    for name, table, batch in [
-        ("stations", stations, stations_to_upsert(result.raws)),
-        ("sampling_points", sampling_points, sampling_points_to_upsert(result.raws)),
-    ]:
-        if batch is not None:
-            counts[name] = sum(table.upsert(batch, now, null_overwrites=False).values())
+    counts = upsert_entities(result.raws, stations, sampling_points, now)
     counts["measurements"] = store.insert(result.measurements)
     return counts
 

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from aerolake.functions.copytext import copy_line
 from aerolake.functions.times import as_utc, instant
-from aerolake.operators.joins import small_or_shuffled
 from aerolake.operators.keys import insert_conflicts
 from aerolake.operators.slices import in_period
 from aerolake.plans.tables import (
@@ -205,7 +204,7 @@ class MeasurementStore:
             touched = {row["chunk"] for row in summary} & self.chunks()
             merged = latest
             if touched:
-                keys = small_or_shuffled(latest.select(*MEASUREMENT_KEY))
+                keys = latest.select(*MEASUREMENT_KEY)
                 kept = self._read_chunks(touched).join(keys, MEASUREMENT_KEY, "left_anti")
                 merged = kept.unionByName(latest)
             if summary:
@@ -252,7 +251,7 @@ class MeasurementStore:
             self.read()
             .groupBy(F.col(self.column).alias("chunk"), "sampling_point_id")
             .agg(F.count("*").alias("rows"))
-            .join(small_or_shuffled(ids.withColumn("gone", F.lit(True))), "sampling_point_id", "left")
+            .join(ids.withColumn("gone", F.lit(True)), "sampling_point_id", "left")
             .groupBy("chunk")
             .agg(
                 F.coalesce(F.sum(F.when(F.col("gone"), F.col("rows"))), F.lit(0)).alias("deleted"),
@@ -261,7 +260,7 @@ class MeasurementStore:
         )
         return self._delete(
             counts,
-            lambda rows: rows.join(small_or_shuffled(ids), "sampling_point_id", "left_anti"),
+            lambda rows: rows.join(ids, "sampling_point_id", "left_anti"),
         )
 
 

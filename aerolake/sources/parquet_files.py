@@ -103,9 +103,17 @@ def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             record = {**listed, "is_parquet": False}
             try:
                 filesystem, inner = pafs.FileSystem.from_uri(_arrow_uri(path))
-                with filesystem.open_input_file(inner) as handle:
-                    head = handle.read_at(4, 0)
-                    tail = handle.read_at(4, max(length - 4, 0))
+                opened = filesystem.open_input_file(inner)
+                head = opened.read_at(4, 0)
+                tail = opened.read_at(4, max(length - 4, 0))
+            except FileNotFoundError:
+                found.append({**record, "error": "the file is gone"})
+                continue
+            except Exception as problem:
+                # the store, not the file: nothing may pass for a bad file because of it
+                raise OSError(f"cannot open {path}: {problem}") from problem
+            try:
+                with opened as handle:
                     record["is_parquet"] = length >= 12 and head == b"PAR1" and tail == b"PAR1"
                     if not record["is_parquet"]:
                         raise ValueError("not a Parquet file")
@@ -144,8 +152,13 @@ def _schema(columns: list[list[str]]) -> T.StructType:
     )
 
 
-def read_group(spark: SparkSession, columns: list[list[str]], paths: list[str]) -> DataFrame:
-    """Files of one schema, with ``file_path`` and ``row_index`` for file order."""
+def read_group(
+    spark: SparkSession, columns: list[list[str]], paths: list[str], tolerant: bool = False
+) -> DataFrame:
+    """Files of one schema, with ``file_path`` and ``row_index`` for file order.
+
+    A ``tolerant`` read goes on past damaged pages; the caller has to compare row counts.
+    """
     names = [name for name, _ in columns]
     folded = [name.lower() for name in names]
     if len(set(folded)) < len(folded) and spark.conf.get("spark.sql.caseSensitive") != "true":
@@ -155,6 +168,7 @@ def read_group(spark: SparkSession, columns: list[list[str]], paths: list[str])
         )
     return (
         spark.read.schema(_schema(columns))
+        .option("ignoreCorruptFiles", str(tolerant).lower())
         .parquet(*[_literal(path) for path in paths])
         .select(
             "*",
@@ -172,10 +186,12 @@ def read_measurement_files(spark: SparkSession, *paths: str) -> list[DataFrame]:
     return read_inspected(spark, inspect_files(list_files(spark, *paths)))
 
 
-def read_inspected(spark: SparkSession, inspected: DataFrame) -> list[DataFrame]:
+def read_inspected(
+    spark: SparkSession, inspected: DataFrame, tolerant: bool = False
+) -> list[DataFrame]:
     usable = inspected.filter("error is null").select("path", "columns").toPandas()
     return [
-        read_group(spark, json.loads(columns), sorted(group["path"]))
+        read_group(spark, json.loads(columns), sorted(group["path"]), tolerant)
         for columns, group in usable.groupby("columns", sort=True)
     ]
 

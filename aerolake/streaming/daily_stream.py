@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aerolake.functions.flags import at_least_valid, hourly
-from aerolake.operators.joins import small_or_shuffled
 from aerolake.plans.daily_table import DailyTable
 from aerolake.schemas import DAILY
 
@@ -28,7 +27,7 @@ def stream_daily(
         )
         .select("time", "sampling_point_id", "pollutant_code", "value")
         .withWatermark("time", delay)
-        .join(small_or_shuffled(stations), "sampling_point_id")
+        .join(stations, "sampling_point_id")
         .groupBy(F.window("time", "1 day"), "station_code", "pollutant_code")
         .agg(
             F.avg("value").alias("avg_value"),

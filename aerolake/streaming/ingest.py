@@ -4,70 +4,80 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from aerolake.operators.harmonise import cast_measurements
+from aerolake.functions.times import utc_now
 from aerolake.plans.daily_table import DailyTable
+from aerolake.plans.dimension_tables import DimensionTable
+from aerolake.plans.load import read_files, remove_loaded, upsert_entities
 from aerolake.plans.measurement_store import MeasurementStore
 from aerolake.plans.tables import staged
-from aerolake.sources.parquet_files import plain_path
 
 _FILE_ORDER = ["file_path", "row_index"]
+_LISTED = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def raw_file_stream(
-    spark: SparkSession,
-    folder: str,
-    schema: T.StructType,
-    max_files: int = 1000,
-    after_load: str | None = None,
-    archive: str | None = None,
-) -> DataFrame:
-    """Arriving raw files of one schema as a stream.
-
-    ``after_load`` is ``delete`` or ``archive``: what to do, as far as possible, with a file
-    once it is loaded.
-    """
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-    if after_load:
-        reader = reader.option("cleanSource", after_load)
-    if archive:
-        reader = reader.option("sourceArchiveDir", archive)
-    return reader.parquet(folder).select(
-        "*",
-        plain_path(F.col("_metadata.file_path")).alias("file_path"),
-        F.col("_metadata.row_index").alias("row_index"),
+def file_stream(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
+    """``path, length`` of arriving files; their contents are not read here."""
+    return (
+        spark.readStream.format("binaryFile")
+        .schema(_LISTED)
+        .option("maxFilesPerTrigger", max_files)
+        .option("ignoreMissingFiles", "true")  # a replayed batch may list files since removed
+        .load(folder)
+        .select("path", "length")
     )
 
 
 def stream_ingest(
-    raw: DataFrame,
+    files: DataFrame,
     store: MeasurementStore,
     checkpoint: str,
     daily: DailyTable | None = None,
-    sampling_points: DataFrame | None = None,
+    sampling_points: DataFrame | DimensionTable | None = None,
     upsert: bool = True,
+    stations: DimensionTable | None = None,
+    after_load: str | None = None,
+    report: str | None = None,
 ) -> StreamingQuery:
-    """Upsert each micro-batch into the store, then recompute the days it touched.
+    """Load the files of each micro-batch into the store, then recompute the days it touched.
+
+    Files of either naming generation may arrive together: each is read by its own footer, as
+    in ``read_files``. A bad file loads nothing and stays where it is. ``after_load="delete"``
+    removes the files that did load, once their rows are stored. ``report`` is a folder to which
+    ``path, measurements, dropped, error`` of every file are appended. With dimension tables,
+    new stations and sampling points are written before the measurements.
 
     An upsert of the same rows changes nothing, so a replayed micro-batch is harmless. Late
     rows are as good as timely ones: their day is recomputed whatever its age.
     """
-    measurements = cast_measurements(raw, keep=_FILE_ORDER)
+    if after_load not in (None, "delete"):
+        raise ValueError(after_load)
+    known = isinstance(sampling_points, DimensionTable)
+    if stations is not None and not known:
+        raise ValueError("new stations need a sampling-point table beside them")
 
-    def load(rows: DataFrame, _: int) -> None:
-        with staged(rows, "micro-batch") as batch:
+    def load(listing: DataFrame, _: int) -> None:
+        spark = listing.sparkSession
+        result = read_files(spark, listing)
+        if stations is not None:
+            upsert_entities(result.raws, stations, sampling_points, utc_now())
+        with staged(result.measurements, "micro-batch") as batch:
             touched = batch.select(F.to_date("time").alias("day")).distinct().collect()
             if upsert:
                 store.upsert(batch, _FILE_ORDER)
             else:
                 store.copy(batch)
         if daily is not None and sampling_points is not None:
-            daily.refresh_days(store, sampling_points, {row["day"] for row in touched})
+            points = sampling_points.read() if known else sampling_points
+            daily.refresh_days(store, points, {row["day"] for row in touched})
+        if report:
+            result.files.write.mode("append").parquet(report)
+        if after_load == "delete":
+            remove_loaded(spark, result.files)
 
     return (
-        measurements.writeStream.option("checkpointLocation", checkpoint)
+        files.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(load)
         .trigger(availableNow=True)
         .start()

@@ -85,7 +85,7 @@ def sequential(rows):
             continue
         country = station[:2] if len(station) >= 2 else None
         if country not in COUNTRIES:
-            errors.append((number, f"Row {number}: Country '{country}' not in DB - skipping station {station}"))
+            errors.append((number, f"line {number}: station {station} left out, its country ({'none' if country is None else country}) is not registered"))
             continue
         stations.setdefault(station, (country, r.get("Air Quality Station Name", "").strip() or None))
         key = f"{country}/{point}"
@@ -95,7 +95,7 @@ def sequential(rows):
         if name in CODES:
             points[key] = (station, CODES[name])
         else:
-            errors.append((number, f"Row {number}: Pollutant '{name}' not in DB - skipping {key}"))
+            errors.append((number, f"line {number}: sampling point {key} left out, its pollutant ({name}) is not registered"))
     return stations, points, errors
 
 
