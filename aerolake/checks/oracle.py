@@ -215,6 +215,9 @@ _SQL = {
     "read_url_manifest": NUMBERED_URLS,
     "manifest_csv_limit": "SELECT url FROM pages ORDER BY page_id LIMIT 20",
     "load_many_files": ALL_MEASUREMENTS,
+    "load_dropped_rows": """
+        SELECT count(*) FILTER (verification IS DISTINCT FROM 3) AS measurements,
+               count(*) FILTER (verification = 3) AS dropped FROM fx_measurements""",
     "file_integrity": """
         SELECT 'parquet' AS kind, true AS is_parquet, count(*) AS rows FROM fx_measurements
         UNION ALL SELECT 'txt', false, 0""",
@@ -276,6 +279,7 @@ _SQL = {
     "truncate_daily": "SELECT count(*) AS rows_deleted, CAST(0 AS BIGINT) AS rows_left FROM fx_daily",
     "compact_old_partitions": ALL_MEASUREMENTS,
     "cleanup_processed": ALL_MEASUREMENTS,
+    "insert_fk_refused": f"SELECT {MEASURED} FROM fx_measurements WHERE pollutant_code < 8",
     "harmonise_columns": ALL_MEASUREMENTS,
     "require_columns": "SELECT count(*) AS complete, CAST(0 AS BIGINT) AS without_time FROM fx_measurements",
     "require_not_null": f"""
@@ -454,6 +458,14 @@ _SQL = {
     "latest_of_one": f"""
         SELECT {MEASURED} FROM fx_measurements WHERE sampling_point_id = {FIRST_POINT} ORDER BY time DESC LIMIT 5""",
     "latest_overall": f"SELECT {MEASURED} FROM fx_measurements ORDER BY time DESC, sampling_point_id LIMIT 10",
+    "store_latest": f"SELECT {MEASURED} FROM fx_measurements ORDER BY time DESC, sampling_point_id LIMIT 10",
+    "store_latest_of_one": f"""
+        SELECT {MEASURED} FROM fx_measurements WHERE sampling_point_id = {FIRST_POINT} ORDER BY time DESC LIMIT 5""",
+    "store_late_rows": """
+        SELECT CAST(time AS DATE) AS day, count(*) AS rows FROM fx_measurements
+        WHERE CAST(time AS DATE) < DATE '2024-01-06' GROUP BY 1""",
+    "get_all_stations": """
+        SELECT station_code, country_code, station_name, TIMESTAMP '2024-02-05 12:00:00' AS created_at FROM fx_stations""",
     "recent_jobs": """
         SELECT job_id, min(created_at) AS created_at, count(*) AS total_urls FROM fx_files GROUP BY 1
         ORDER BY 2 DESC, 1 DESC LIMIT 50""",
@@ -469,6 +481,7 @@ _SQL = {
     "stream_daily": ALL_DAILY,
     "refresh_policy": f"SELECT {DAILY} FROM fx_daily WHERE day >= DATE '2024-01-07' AND day < DATE '2024-02-04'",
     "stream_ingest": ALL_DAILY,
+    "stream_ingest_mixed": ALL_MEASUREMENTS,
     "late_rows": """
         SELECT CAST(time AS DATE) AS day, count(*) AS rows FROM fx_measurements
         WHERE CAST(time AS DATE) < DATE '2024-01-06' GROUP BY 1""",
@@ -479,6 +492,9 @@ _SQL = {
     "failed_files": """
         SELECT url, concat(url, ': ', coalesce(error, 'not loaded')) AS message FROM fx_files WHERE status <> 'completed'
         UNION ALL SELECT DISTINCT url, concat(url, ': not loaded') FROM pages""",
+    "load_manifest_partial_failure": """
+        SELECT 'good' AS kind, 'completed' AS status, count(*) AS measurements FROM fx_measurements WHERE pollutant_code >= 7
+        UNION ALL SELECT 'repeated', 'failed', 0 UNION ALL SELECT 'junk', 'failed', 0 UNION ALL SELECT 'gone', 'failed', 0""",
     "load_manifest_ledger": """
         SELECT 'job-1' AS job_id, 'completed' AS status, CAST(NULL AS VARCHAR) AS error, count(*) AS measurements
         FROM fx_measurements

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerolake.fixtures import Fixtures
-from aerolake.functions import clean, codes, flags
+from aerolake.functions import clean, codes, copytext, flags
 from aerolake.functions.times import instant
 from aerolake.operators import (
     aggregates,
@@ -164,6 +164,15 @@ def load_many_files(fx):
     return _measured(load.read_files(fx.spark, listing).measurements)
 
 
+@query
+def load_dropped_rows(fx):
+    """Rows without a pollutant are left out of their files and counted."""
+    missing = F.when(F.coalesce(F.col("Verification") != 3, F.lit(True)), F.col("Pollutant"))
+    folder = _written(fx, fx.raw("new").withColumn("Pollutant", missing), "gaps")
+    files = load.read_files(fx.spark, parquet_files.list_files(fx.spark, folder)).files
+    return files.agg(F.sum("measurements").alias("measurements"), F.sum("dropped").alias("dropped"))
+
+
 @query
 def file_integrity(fx):
     inspected = parquet_files.inspect_files(parquet_files.list_files(fx.spark, _mixed_folder(fx)))
@@ -393,6 +402,18 @@ def cleanup_processed(fx):
     return _measured(store.read())
 
 
+@query
+def insert_fk_refused(fx):
+    """A batch with unknown sampling points is refused; the rest of it is taken."""
+    store = _store(fx)
+    known = {"sampling_point_id": fx.sampling_points.filter("pollutant_code < 8")}
+    try:
+        store.insert(fx.measurements, references=known)
+    except measurement_store.UnknownReferenceError:
+        store.insert(fx.measurements.filter("pollutant_code < 8"), references=known)
+    return _measured(store.read())
+
+
 # --- projections, filters, casts ------------------------------------------------------------
 
 
@@ -559,7 +580,8 @@ def normalise_copy_flags(fx):
 
 @query
 def truncate_copy_time(fx):
-    return fx.measurements.select("observation_id", F.date_trunc("second", "time").alias("time"))
+    text = copytext.copy_time(F.col("time"))
+    return fx.measurements.select("observation_id", F.to_timestamp(text).alias("time"))
 
 
 @query
@@ -869,6 +891,22 @@ def latest_overall(fx):
     return _measured(slices.latest_overall(fx.measurements))
 
 
+@query
+def store_latest(fx):
+    """Over the stored table: only the newest chunks are read."""
+    return _measured(_store(fx, fx.measurements).latest())
+
+
+@query
+def store_latest_of_one(fx):
+    return _measured(_store(fx, fx.measurements).latest_of(_first_point(fx), limit=5))
+
+
+@query
+def store_late_rows(fx):
+    return _store(fx, fx.measurements).late_rows(NOW)
+
+
 @query
 def recent_jobs(fx):
     return ledger.recent_jobs(ledger.current_state(fx.ledger))
@@ -901,6 +939,13 @@ def get_all(fx):
     return fx.countries
 
 
+@query
+def get_all_stations(fx):
+    table = stations_table(fx.spark, work_dir(fx.spark, "stations"))
+    table.upsert(fx.stations.select("station_code", "country_code", "station_name"), NOW)
+    return table.read().select("station_code", "country_code", "station_name", "created_at")
+
+
 @query
 def job_detail(fx):
     return ledger.job_detail(_batches(fx), "job-199703")
@@ -946,6 +991,20 @@ def stream_ingest(fx):
     return _rounded(table.read())
 
 
+@query
+def stream_ingest_mixed(fx):
+    """Both generations and text files arrive together; what loaded is removed, the rest stays."""
+    folder, report = _mixed_folder(fx), work_dir(fx.spark, "report")
+    store, checkpoint = _store(fx), work_dir(fx.spark, "stream")
+    files = ingest.file_stream(fx.spark, folder, max_files=5)
+    ingest.stream_ingest(files, store, checkpoint, after_load="delete", report=report).awaitTermination()
+    left = parquet_files.list_files(fx.spark, folder).select("path")
+    failed = fx.spark.read.parquet(report).filter("error is not null").select("path")
+    if left.exceptAll(failed).count() or failed.exceptAll(left).count():
+        raise AssertionError("the files left are not those that failed")
+    return _measured(store.read())
+
+
 @query
 def late_rows(fx):
     return slices.late_rows(fx.measurements, NOW)
@@ -972,6 +1031,30 @@ def failed_files(fx):
     return ledger.failed_files(listed.unionByName(unknown), loaded, current)
 
 
+@query
+def load_manifest_partial_failure(fx):
+    """Good files, text files, files with repeated keys and a missing one, loaded as one job."""
+    spark, path = fx.spark, work_dir(fx.spark, "partial")
+    fx.raw("new").filter("Pollutant >= 7").write.parquet(f"{path}/good")
+    doubled = fx.raw("old").filter("AirPollutantCode < 7")
+    doubled.union(doubled).coalesce(1).write.parquet(f"{path}/repeated")
+    fx.urls.select("url").coalesce(1).write.text(f"{path}/junk")
+    listing = parquet_files.list_files(spark, path)
+    name = F.element_at(F.split("path", "/"), -1)
+    present = listing.select(
+        F.concat(F.lit("https://host/"), name).alias("url"),
+        F.element_at(F.split("path", "/"), -2).alias("kind"),
+    )
+    gone = spark.createDataFrame([("https://host/gone.parquet", "gone")], "url string, kind string")
+    jobs = present.unionByName(gone).withColumn("position", F.crc32("url"))
+    rows = load.load_manifest(spark, _store(fx), jobs.drop("kind"), listing, "job-2")
+    return (
+        rows.join(jobs.select("url", "kind"), "url")
+        .groupBy("kind", "status")
+        .agg(F.coalesce(F.sum("measurements"), F.lit(0)).alias("measurements"))
+    )
+
+
 @query
 def load_manifest_ledger(fx):
     """A manifest of present, broken and missing files, loaded as one job; its ledger."""

@@ -31,8 +31,8 @@ def _number(value: Column) -> Column:
     )
 
 
-def _time(time: Column) -> Column:
-    """UTC with whole seconds; parts of a second are cut off."""
+def copy_time(time: Column) -> Column:
+    """The text of a time: UTC with whole seconds; parts of a second are cut off."""
     return F.concat(F.date_format(time, "yyyy-MM-dd HH:mm:ss"), F.lit("+00"))
 
 
@@ -46,7 +46,7 @@ def _text(text: Column) -> Column:
 def copy_line() -> Column:
     """One line over the measurement columns, ``\\N`` for NULL."""
     fields = [
-        _time(F.col("time")),
+        copy_time(F.col("time")),
         _text(F.col("sampling_point_id")),
         F.col("pollutant_code").cast("string"),
         _number(F.col("value")),
@@ -55,7 +55,7 @@ def copy_line() -> Column:
         F.col("validity").cast("string"),
         F.col("verification").cast("string"),
         _number(F.col("data_capture")),
-        _time(F.col("result_time")),
+        copy_time(F.col("result_time")),
         _text(F.col("observation_id")),
     ]
     return F.concat_ws("\t", *[F.coalesce(field, F.lit(_NULL)) for field in fields])

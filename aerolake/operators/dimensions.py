@@ -26,8 +26,9 @@ def merge_dimension(
     Columns that the batch supplies overwrite, also with NULL unless ``null_overwrites`` is
     off (for sources that leave out what they do not know); columns it lacks keep their old
     value. ``order`` resolves repeated keys (the last row wins); without it the batch
-    must be unique by key. Rows without a key are left out. ``touch`` is set to ``now`` on updated and created rows. The added
-    column ``change`` is ``created``, ``updated`` or ``unchanged``.
+    must be unique by key. Rows without a key are left out here; ``DimensionTable`` refuses
+    them. ``touch`` is set to ``now`` on updated and created rows. The added column ``change``
+    is ``created``, ``updated`` or ``unchanged``.
     """
     order = order or []
     unknown = [c for c in batch.columns if c not in target.columns and c not in order]

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerolake.functions.times import instant, utc_now
 from aerolake.operators.dimensions import merge_dimension, merge_pollutants
 from aerolake.operators.keys import repeated_keys
-from aerolake.plans.measurement_store import DuplicateKeyError
+from aerolake.plans.measurement_store import DuplicateKeyError, MissingKeyError
 from aerolake.plans.tables import read_table, replace_table, staged
 from aerolake.schemas import POLLUTANTS, SAMPLING_POINTS, STATIONS
 from aerolake.sources.lookups import seed
@@ -37,6 +38,9 @@ class DimensionTable:
 
         Without an ``order`` that says which row is last, repeated keys are refused.
         """
+        keyless = batch.filter(F.col(self.key).isNull()).count()
+        if keyless:
+            raise MissingKeyError(f"{keyless} rows lack {self.key}")
         if not order and not repeated_keys(batch, [self.key]).isEmpty():
             raise DuplicateKeyError(f"{self.key} repeats in the batch, and no order is given")
         if self.schema is POLLUTANTS:
@@ -50,9 +54,14 @@ class DimensionTable:
             fresh.drop("change").write.mode("overwrite").parquet(self.path)
         return {name: counts.get(name, 0) for name in ("created", "updated")}
 
-    def seed(self, rows: DataFrame) -> None:
-        """Add seed rows whose key is not there yet."""
+    def seed(self, rows: DataFrame, now: datetime | None = None) -> None:
+        """Add seed rows whose key is not there yet, created now."""
         table = seed(self.read(), rows, self.key)
+        if "created_at" in self.schema.names:
+            created = instant(now or utc_now())
+            added = table.join(self.read().select(self.key), self.key, "left_anti")
+            stamped = added.withColumn("created_at", F.coalesce("created_at", created))
+            table = self.read().select(*table.columns).unionByName(stamped.select(*table.columns))
         replace_table(table.select(*self.schema.names), self.path)
 
     def delete(self, keys: DataFrame) -> int:

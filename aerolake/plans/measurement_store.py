@@ -5,7 +5,7 @@ sampling point.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, time, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from aerolake.functions.copytext import copy_line
 from aerolake.functions.times import as_utc, instant
 from aerolake.operators.keys import insert_conflicts
-from aerolake.operators.slices import in_period
+from aerolake.operators.slices import in_period, late_rows, latest_of, latest_overall
 from aerolake.plans.tables import (
     check_partition_column,
     drop_dates,
@@ -34,6 +34,10 @@ class DuplicateKeyError(ValueError):
     """A key repeats in a batch or is there already."""
 
 
+class UnknownReferenceError(ValueError):
+    """Rows name parents that are not there."""
+
+
 class MissingKeyError(ValueError):
     """A measurement lacks its time, sampling point or pollutant."""
 
@@ -126,6 +130,37 @@ class MeasurementStore:
         chunks = {chunk for chunk in self.chunks() if first <= chunk <= last}
         return in_period(self._read_chunks(chunks), start, end)
 
+    def _newest(self, wanted: Callable[[DataFrame], DataFrame], limit: int) -> DataFrame:
+        """The fewest newest chunks that hold ``limit`` wanted rows, or all.
+
+        Looks at one chunk, then at two, four and so on, so that a full table costs little and
+        a sparse one few rounds.
+        """
+        chunks = sorted(self.chunks(), reverse=True)
+        size = 1
+        while size < len(chunks):
+            rows = wanted(self._read_chunks(set(chunks[:size])))
+            if rows.limit(limit).count() == limit:
+                return rows
+            size *= 2
+        return wanted(self._read_chunks(set(chunks)))
+
+    def latest(self, limit: int = 10) -> DataFrame:
+        """Newest rows of the table, reading only the newest chunks."""
+        return latest_overall(self._newest(lambda rows: rows, limit), limit)
+
+    def latest_of(self, sampling_point_id: str, limit: int = 100) -> DataFrame:
+        """Newest rows of one sampling point, reading only as many chunks as they lie in."""
+        own = F.col("sampling_point_id") == F.lit(sampling_point_id)
+        return latest_of(self._newest(lambda rows: rows.filter(own), limit), sampling_point_id, limit)
+
+    def late_rows(self, now: datetime, start_offset_days: int = 30) -> DataFrame:
+        """``slices.late_rows`` over the chunks before the horizon alone."""
+        horizon = datetime.combine(
+            (as_utc(now) - timedelta(days=start_offset_days)).date(), time.min, tzinfo=timezone.utc
+        )
+        return late_rows(self.between(None, horizon), now, start_offset_days)
+
     def _append(self, batch: DataFrame, **options: object) -> int:
         """Append after the key check; returns the number of rows."""
         rows = self._with_chunk(batch)
@@ -166,24 +201,43 @@ class MeasurementStore:
             keys = ", ".join(f"{r['time']} {r['sampling_point_id']} ({r['reason']})" for r in examples)
             raise DuplicateKeyError(f"duplicate keys, for example: {keys}")
 
-    def insert(self, batch: DataFrame, batch_size: int | None = None) -> int:
+    def insert(
+        self,
+        batch: DataFrame,
+        batch_size: int | None = None,
+        references: dict[str, DataFrame] | None = None,
+    ) -> int:
         """Append, refusing the whole batch if any key repeats. Returns rows written.
 
-        ``batch_size`` limits the rows of one written file.
+        ``batch_size`` limits the rows of one written file. ``references`` maps columns to
+        frames that hold their parents in a column of that name; a batch with another value
+        (NULL passes) is refused.
         """
         options = {"maxRecordsPerFile": batch_size} if batch_size else {}
-        return self._append(conform(batch), **options)
-
-    def copy(self, batch: DataFrame, batch_size: int | None = None) -> int:
+        rows = conform(batch)
+        check_references(rows, references)
+        return self._append(rows, **options)
+
+    def copy(
+        self,
+        batch: DataFrame,
+        batch_size: int | None = None,
+        references: dict[str, DataFrame] | None = None,
+    ) -> int:
         """Append with the flag rules of the bulk-load text."""
         options = {"maxRecordsPerFile": batch_size} if batch_size else {}
-        return self._append(normalise_copy_flags(batch), **options)
+        rows = normalise_copy_flags(batch)
+        check_references(rows, references)
+        return self._append(rows, **options)
 
-    def upsert(self, batch: DataFrame, order: list[str]) -> int:
+    def upsert(
+        self, batch: DataFrame, order: list[str], references: dict[str, DataFrame] | None = None
+    ) -> int:
         """Insert or overwrite by key; of repeated keys the last in ``order`` wins.
 
         Returns the number of rows handed in. Only chunks that occur in the batch are rewritten.
         """
+        check_references(batch, references)
         types = {f.name: f.dataType for f in MEASUREMENTS.fields}
         typed = batch.select(
             *[
@@ -264,6 +318,18 @@ class MeasurementStore:
         )
 
 
+def check_references(batch: DataFrame, references: dict[str, DataFrame] | None) -> None:
+    """Raise if a column holds a value that its parent table lacks."""
+    for column, parents in (references or {}).items():
+        if column not in batch.columns:
+            continue
+        values = batch.select(column).filter(F.col(column).isNotNull()).distinct()
+        unknown = values.join(parents.select(column), column, "left_anti").limit(5).collect()
+        if unknown:
+            names = ", ".join(str(row[0]) for row in unknown)
+            raise UnknownReferenceError(f"{column} without a parent, for example: {names}")
+
+
 def keep_last_counted(rows: DataFrame, order: list[str]) -> DataFrame:
     """Last row of each key, with ``_copies`` = how many rows it stands for."""
     others = [c for c in rows.columns if c not in (*MEASUREMENT_KEY, "_copies")]

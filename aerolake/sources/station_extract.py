@@ -53,6 +53,7 @@ def read_station_extract(
         multi_line = has_broken_lines(spark, path)
     raw = (
         spark.read.option("header", True)
+        .option("enforceSchema", False)  # a file with other headers fails instead of shifting
         .option("multiLine", multi_line)
         .option("escape", '"')
         .option("inferSchema", False)

@@ -23,6 +23,7 @@ def file_stream(spark: SparkSession, folder: str, max_files: int = 1000) -> Data
         spark.readStream.format("binaryFile")
         .schema(_LISTED)
         .option("maxFilesPerTrigger", max_files)
+        .option("recursiveFileLookup", "true")
         .option("ignoreMissingFiles", "true")  # a replayed batch may list files since removed
         .load(folder)
         .select("path", "length")
