@@ -466,6 +466,12 @@ _SQL = {
         WHERE CAST(time AS DATE) < DATE '2024-01-06' GROUP BY 1""",
     "get_all_stations": """
         SELECT station_code, country_code, station_name, TIMESTAMP '2024-02-05 12:00:00' AS created_at FROM fx_stations""",
+    "storage_report_of_listing": """
+        SELECT CAST((SELECT sum(o_custkey * 1000) FROM orders) AS BIGINT) AS table_bytes,
+               sum(o_custkey * 5) > sum(o_custkey) AS compaction_effective,
+               round(sum(o_custkey * 5) / sum(o_custkey), 2) AS compression_ratio,
+               round((sum(o_custkey * 5) - sum(o_custkey)) / sum(o_custkey * 5) * 100, 2) AS space_saved_percentage
+        FROM orders WHERE o_custkey % 3 > 0""",
     "recent_jobs": """
         SELECT job_id, min(created_at) AS created_at, count(*) AS total_urls FROM fx_files GROUP BY 1
         ORDER BY 2 DESC, 1 DESC LIMIT 50""",

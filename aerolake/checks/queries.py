@@ -852,6 +852,25 @@ def storage_report(fx):
     return maintenance.storage_report(*_compacted_store(fx))
 
 
+@query
+def storage_report_of_listing(fx):
+    """The report over a listing and a ledger made of orders: a day is a chunk, an order a file."""
+    orders = fx.table("orders").withColumn("chunk", F.col("o_orderdate").cast("date"))
+    files = orders.select(
+        "chunk", F.col("o_orderkey").cast("string").alias("path"),
+        (F.col("o_custkey") * 1000).cast("bigint").alias("length"),
+    )
+    noted = orders.filter("o_custkey % 3 > 0").groupBy("chunk").agg(
+        F.sum(F.col("o_custkey") * 5).alias("before_bytes"),
+        F.sum("o_custkey").alias("after_bytes"),
+        F.lit(None).cast("string").alias("error"),
+        F.max(F.col("chunk").cast("timestamp")).alias("compacted_at"),
+    )
+    return maintenance.storage_report(files, noted).select(
+        "table_bytes", "compaction_effective", "compression_ratio", "space_saved_percentage"
+    )
+
+
 @query
 def compaction_status(fx):
     return maintenance.compaction_status(*_compacted_store(fx))

@@ -25,24 +25,29 @@ COMPACTION_LEDGER = T.StructType(
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
-def chunk_files(store: MeasurementStore) -> DataFrame:
-    """``chunk, path, length`` of the store's data files, from the listing alone."""
+def chunk_files(store: MeasurementStore, chunks: list[date] | None = None) -> DataFrame:
+    """``chunk, path, length`` of the store's data files (of some chunks), from the listing alone."""
     spark = store.spark
-    if not exists(spark, store.path):
+    folders = [store.path]
+    if chunks is not None:
+        there = store.chunks()
+        folders = [f"{store.path}/{store.column}={c.isoformat()}" for c in chunks if c in there]
+    if not folders or not exists(spark, store.path):
         return spark.createDataFrame([], "chunk date, path string, length long")
     chunk = F.regexp_extract("path", rf"/{store.column}=(\d{{4}}-\d{{2}}-\d{{2}})/", 1)
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .load(store.path)
+        .load(folders)
         .select(chunk.try_cast("date").alias("chunk"), "path", "length")
     )
 
 
-def _chunk_bytes(store: MeasurementStore) -> dict[date, int]:
-    sizes = chunk_files(store).groupBy("chunk").agg(F.sum("length").alias("bytes"))
-    return {row["chunk"]: row["bytes"] for row in sizes.collect()}
+def _chunk_bytes(store: MeasurementStore, chunks: list[date] | None = None) -> dict[date, int]:
+    """Bytes of all chunks, or of some: then only their folders are listed."""
+    files = chunk_files(store, chunks).groupBy("chunk").agg(F.sum("length").alias("bytes"))
+    return {row["chunk"]: row["bytes"] for row in files.collect()}
 
 
 def read_compaction_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -73,15 +78,18 @@ def compact_old_partitions(
 
     Rows are ordered by sampling point, newest first, then pollutant, so that a filter on a
     sampling point skips most row groups. Range partitioning also cuts a chunk, or a sampling
-    point within it, that is too large for one file. Chunks in the ledger are skipped. They are
-    taken in groups, and if a group fails its chunks are tried one by one, so that a failing
-    one is noted and passed over. A chunk that gets new rows later is not compacted again.
+    point within it, that is too large for one file. Chunks that still have the size that the
+    ledger notes are skipped; one that was written to since is compacted again. They are taken
+    in groups, and if a group fails its chunks are tried one by one, so that a failing one is
+    noted and passed over.
     """
     spark, now = store.spark, as_utc(now)
     limit = (now - timedelta(days=older_than_days)).date() - timedelta(days=store.chunk_days)
-    done = {r["chunk"] for r in compacted(read_compaction_ledger(spark, ledger_path)).collect()}
-    before = _chunk_bytes(store)
-    todo = sorted(chunk for chunk in store.chunks() if chunk <= limit and chunk not in done)
+    noted = compacted(read_compaction_ledger(spark, ledger_path)).collect()
+    done = {row["chunk"]: row["after_bytes"] for row in noted}
+    old = sorted(chunk for chunk in store.chunks() if chunk <= limit)
+    before = _chunk_bytes(store, old)
+    todo = [chunk for chunk in old if chunk not in done or before.get(chunk) != done[chunk]]
     count = 0
     for first in range(0, len(todo), chunks_at_once):
         group = todo[first : first + chunks_at_once]
@@ -93,8 +101,8 @@ def compact_old_partitions(
                 try:
                     _rewrite(store, [chunk], before, target_file_bytes)
                 except Exception as problem:  # noqa: BLE001 - noted, the rest goes on
-                    errors[chunk] = str(problem)[:500]
-        after = _chunk_bytes(store)
+                    errors[chunk] = str(problem)
+        after = _chunk_bytes(store, group)
         entries = [(c, before.get(c), after.get(c), errors.get(c), now) for c in group]
         spark.createDataFrame(entries, COMPACTION_LEDGER).coalesce(1).write.mode("append").parquet(
             ledger_path
@@ -121,10 +129,15 @@ def _rewrite(
 
 
 def compaction_status(files: DataFrame, ledger: DataFrame, enabled: bool = True) -> DataFrame:
-    """One row: partitions in all, compacted and not. ``files`` as from ``chunk_files``."""
-    chunks = files.select("chunk").distinct()
-    done = compacted(ledger).select("chunk", F.lit(True).alias("done"))
-    return chunks.join(done, "chunk", "left").agg(
+    """One row: partitions in all, compacted and not. ``files`` as from ``chunk_files``.
+
+    A chunk whose size differs from the ledger's was written to since and is not compacted.
+    """
+    chunks = files.groupBy("chunk").agg(F.sum("length").alias("bytes"))
+    done = compacted(ledger).select(
+        "chunk", F.col("after_bytes").alias("bytes"), F.lit(True).alias("done")
+    )
+    return chunks.join(done, ["chunk", "bytes"], "left").agg(
         F.count("*").alias("total_partitions"),
         F.count_if(F.col("done")).alias("compacted_partitions"),
         F.count_if(F.col("done").isNull()).alias("uncompacted_partitions"),

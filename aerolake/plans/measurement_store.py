@@ -331,10 +331,19 @@ def check_references(batch: DataFrame, references: dict[str, DataFrame] | None)
 
 
 def keep_last_counted(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Last row of each key, with ``_copies`` = how many rows it stands for."""
+    """Last row of each key, with ``_copies`` = how many rows it stands for.
+
+    Keys are counted by hash first; only rows of repeated keys, mostly few, go on to be compared
+    by order, which needs a sort. The others are not moved.
+    """
     others = [c for c in rows.columns if c not in (*MEASUREMENT_KEY, "_copies")]
-    return (
-        rows.groupBy(*MEASUREMENT_KEY)
+    repeated = (
+        rows.groupBy(*MEASUREMENT_KEY).agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    )
+    single = rows.join(repeated, MEASUREMENT_KEY, "left_anti").drop(*order)
+    last = (
+        rows.join(repeated, MEASUREMENT_KEY, "left_semi")
+        .groupBy(*MEASUREMENT_KEY)
         .agg(
             F.max_by(F.struct(*others), F.struct(*order)).alias("_row"),
             F.sum("_copies").alias("_copies"),
@@ -342,3 +351,4 @@ def keep_last_counted(rows: DataFrame, order: list[str]) -> DataFrame:
         .select(*MEASUREMENT_KEY, "_row.*", "_copies")
         .drop(*order)
     )
+    return single.unionByName(last)

@@ -50,7 +50,10 @@ def raw_lineitem(fx: Fixtures) -> DataFrame:
     )
 
 
-def run_all(spark: SparkSession, fx: Fixtures, raw_path: str, times: dict[str, float]) -> None:
+def run_all(
+    spark: SparkSession, fx: Fixtures, raw_path: str, times: dict[str, float]
+) -> dict[str, int]:
+    """Time every headline query; returns the rows that the rated ones handle."""
     def timed(name, action):
         begin = time.perf_counter()
         result = action()
@@ -80,6 +83,9 @@ def run_all(spark: SparkSession, fx: Fixtures, raw_path: str, times: dict[str, f
     timed("bulk_copy", lambda: copied.copy(unique))
     timed("upsert_again", lambda: copied.upsert(unique, ["observation_id"]))
     timed("copy_text_export", lambda: consume(copy_text(unique)))
+    january = unique.filter("time >= '1995-01-01' and time < '1995-03-01'")
+    by_day = fresh(1)  # the default layout: one partition a day
+    timed("bulk_copy_daily_chunks", lambda: by_day.copy(january))
 
     # the mapped events: dimensions as stored tables
     store = fresh(1)
@@ -92,7 +98,7 @@ def run_all(spark: SparkSession, fx: Fixtures, raw_path: str, times: dict[str, f
     timed("daily_measurements", lambda: consume(aggregates.daily_measurements(facts, points)))
     timed(
         "daily_measurements_large_dimension",
-        lambda: consume(aggregates.daily_measurements(facts, points, broadcast_limit=-1)),
+        lambda: consume(aggregates.daily_measurements(facts, points.hint("merge"))),
     )
     timed("refresh_daily_full", lambda: daily.refresh(store, points))
     window = (datetime(2024, 1, 10), datetime(2024, 1, 12))
@@ -104,7 +110,7 @@ def run_all(spark: SparkSession, fx: Fixtures, raw_path: str, times: dict[str, f
         lambda: consume(slices.slice_measurements(facts, points, "NB", 7, *window)),
     )
     timed("latest_by_sampling_point", lambda: consume(slices.latest_by_sampling_point(facts)))
-    timed("latest_overall", lambda: slices.latest_overall(facts).collect())
+    timed("latest_overall", lambda: store.latest().collect())
     timed(
         "fk_violations",
         lambda: consume(
@@ -136,6 +142,10 @@ def run_all(spark: SparkSession, fx: Fixtures, raw_path: str, times: dict[str, f
     )
 
 
+    rows = spark.read.parquet(raw_path).count()
+    return {"parse": rows, "parse_and_upsert": rows, "bulk_copy": unique.count(), "upsert_again": unique.count()}
+
+
 def main() -> None:
     builder = (
         SparkSession.builder.master(f"local[{CPUS}]")
@@ -155,7 +165,7 @@ def main() -> None:
     rows = spark.read.parquet(raw_path).count()
     times: dict[str, float] = {}
     run_all(spark, fx, raw_path, {})
-    run_all(spark, fx, raw_path, times)
+    handled = run_all(spark, fx, raw_path, times)
     rated = ["parse", "parse_and_upsert", "bulk_copy", "upsert_again"]
     print(
         json.dumps(
@@ -166,7 +176,7 @@ def main() -> None:
                 "queries": times,
                 "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
                 "rows": rows,
-                "rates": {name: round(rows / times[name]) for name in rated},
+                "rates": {name: round(handled[name] / times[name]) for name in rated},
                 "session_start_sec": started,
             }
         )

@@ -190,7 +190,8 @@ def test_dimension_upserts(spark, tmp_path):
     with pytest.raises(DuplicateKeyError):
         table.upsert(twice.drop("n"), later)
     table.upsert(twice, later, order=["n"])
-    table.upsert(spark.createDataFrame([(None, "x")], "station_code string, station_name string"), later)
+    with pytest.raises(MissingKeyError):
+        table.upsert(spark.createDataFrame([(None, "x")], "station_code string, station_name string"), later)
     assert table.read().filter("station_code is null").count() == 0
     assert table.read().filter("station_code = 'S2'").first()["station_name"] == "late"
     assert table.delete(one) == 1 and table.read().count() == 1
