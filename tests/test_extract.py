@@ -134,7 +134,7 @@ def test_load_extract_twice(spark, tmp_path):
     first, second = load(), load()
     assert (first["stations_created"], first["sampling_points_created"]) == (2, 2)
     assert (second["stations_updated"], second["stations_created"]) == (2, 0)
-    assert [e[:6] for e in first["errors"]] == ["Row 3:", "Row 4:"] and first["errors"] == second["errors"]
+    assert [e[:7] for e in first["errors"]] == ["line 3:", "line 4:"] and first["errors"] == second["errors"]
     assert {r["sampling_point_id"] for r in points.read().collect()} == {"IT/a", "ES/d"}
 
 
