@@ -4,9 +4,11 @@ import pytest
 from compare import compare, oracle_connection
 
 import __spark_entry__ as entry
+from aerolake.checks.oracle import all_sql
+from aerolake.checks.queries import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -29,3 +31,7 @@ def test_only_file_sizes_lack_sql():
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
