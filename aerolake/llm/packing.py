@@ -49,11 +49,12 @@ def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, end: int, size:
                 held += len(part)
                 kept = ids_bytes(part, narrow) if keep else None
                 rows.append((key, start, len(part) // 4, zlib.crc32(part), total, kept))
-            if held > 32_000_000 and keep:
+            if held > 16_000_000 and keep:
                 yield _piece_batch(rows)
                 rows, held = [], 0
         if rows:
             yield _piece_batch(rows)
+        pa.default_memory_pool().release_unused()
 
 
 def ids_bytes(part: memoryview, narrow: bool) -> bytes:

@@ -13,11 +13,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_CACHE_ENTRIES = 400_000  # for each of two generations
+_CACHE_ENTRIES = 250_000  # for each of two generations
 # Lower-case Latin letters: one composed code point each, so a chunk of them is one pre-token.
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-SLICE_BYTES = 16_000_000
+SLICE_BYTES = 6_000_000
 
 
 def _byte_letters() -> list[str]:

@@ -226,7 +226,7 @@ def _features_of(texts: pa.Array, lexicon: Lexicon, known: dict) -> np.ndarray:
         sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         chunks = coded.dictionary.to_numpy(zero_copy_only=False)
         places = coded.indices.to_numpy(zero_copy_only=False)
-        if len(known) > 1_000_000:
+        if len(known) > 300_000:
             known.clear()
         found = []
         for chunk in chunks.tolist():
@@ -264,6 +264,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: ToxicityModel, name: str, r
             new = pa.array(model.score(rows), pa.float64())
         columns = [*batch.columns, new]
         yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, name])
+        pa.default_memory_pool().release_unused()
 
 
 def with_score(
