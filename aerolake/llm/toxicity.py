@@ -1,9 +1,10 @@
 """Toxicity: Levenshtein automata over a lexicon trie, and scores of the words around each hit.
 
 The lexicon (words, and word beginnings that many words share) is learned from labelled documents
-by its likelihood ratio. Words of a text that are not in it run through the Levenshtein automaton
-of the whole lexicon trie, made deterministic as it is used, so that a misspelled term costs a few
-table look-ups and any other word usually leaves the automaton after some letters. Each hit gets a
+by its likelihood ratio; a beginning needs evidence besides its strongest word. Words of a text that are not in it run through the Levenshtein automaton of the trie of all learned
+words, made deterministic as it is used, so that a misspelled term costs a few table look-ups and
+any other word usually leaves the automaton after some letters. Words that clean documents use are
+no misspellings. Each hit gets a
 context: inside quotation marks or beside words of report it counts less, beside words of address
 it counts as abuse. A logistic regression of these scores gives the probability of the label.
 
@@ -35,8 +36,10 @@ from aerolake.plans.tables import stage
 MAX_LABELLED = 6000  # of each class, for the lexicon and for the regression
 MAX_TERMS = 3000  # of words and of beginnings
 LEAST_RATIO = 25.0  # likelihood ratio statistic of a term
+LEAST_WEIGHT = 2.0  # log likelihood ratio of a term
+COMMON = 2  # clean documents that make a word one of its own, not a misspelling
 BEGINNINGS = (4, 5, 6, 7)
-FUZZY_LETTERS = 5  # shortest term that may be misspelled
+FUZZY_LETTERS = 4  # shortest term that may be misspelled
 NEAR, WINDOW = 6, 32  # words around a hit
 _EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~«»“”„‘’‚‹›…–—¿¡"
 _OPENING, _CLOSING = "\"'«“„‘‚‹", "\"'»”“’‘›"
@@ -54,8 +57,10 @@ _LOOKALIKE = str.maketrans("01345@$!7", "oieasasit")
 class Lexicon:
     """Words and beginnings with weights, and the automaton that finds misspelled words."""
 
-    def __init__(self, words: dict[str, float], beginnings: dict[str, float]):
-        self.words, self.beginnings = words, beginnings
+    def __init__(
+        self, words: dict[str, float], beginnings: dict[str, float], clean: frozenset[str] = frozenset()
+    ):
+        self.words, self.beginnings, self.clean = words, beginnings, clean
         self.lengths = sorted({len(b) for b in beginnings})
         self.nodes: list[dict[str, int]] = [{}]
         self.term: list[str | None] = [None]
@@ -155,7 +160,7 @@ class Lexicon:
             if plain in self.words:
                 return plain, self.words[plain], False
             word = plain
-        if len(word) >= FUZZY_LETTERS - 1 and (term := self.misspelled(word)):
+        if len(word) >= FUZZY_LETTERS - 1 and word not in self.clean and (term := self.misspelled(word)):
             return term, self.words[term], False
         return None
 
@@ -207,6 +212,7 @@ class ToxicityModel:
     beginnings: dict[str, float] = field(default_factory=dict)
     weights: list[float] | None = None
     share: float = 0.0
+    clean: frozenset[str] = frozenset()  # words near a term that are not misspellings of it
 
     def score(self, rows: np.ndarray) -> np.ndarray:
         if self.weights is None:
@@ -253,7 +259,7 @@ def _features_of(texts: pa.Array, lexicon: Lexicon, known: dict) -> np.ndarray:
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: ToxicityModel, name: str, raw: bool):
-    lexicon = Lexicon(model.words, model.beginnings)
+    lexicon = Lexicon(model.words, model.beginnings, model.clean)
     known: dict = {}
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index("text"))
@@ -306,13 +312,18 @@ def _ratio(toxic: F.Column, clean: F.Column, n_toxic: int, n_clean: int) -> F.Co
     return 2 * (part(toxic, both * share) + part(clean, both * (1 - share)))
 
 
+def _weight(n_toxic: int, n_clean: int) -> F.Column:
+    toxic, clean = F.col("toxic"), F.col("clean")
+    return F.log((toxic + 0.5) / (n_toxic + 1.0)) - F.log((clean + 0.5) / (n_clean + 1.0))
+
+
 def _terms(counted: DataFrame, n_toxic: int, n_clean: int, least_words: int) -> dict[str, float]:
     toxic, clean = F.col("toxic"), F.col("clean")
-    weight = F.log((toxic + 0.5) / (n_toxic + 1.0)) - F.log((clean + 0.5) / (n_clean + 1.0))
+    weight = _weight(n_toxic, n_clean)
     ratio = _ratio(toxic, clean, n_toxic, n_clean)
     rows = (
         counted.select("term", "n_terms", weight.alias("weight"), ratio.alias("ratio"))
-        .filter((F.col("ratio") >= LEAST_RATIO) & (F.col("weight") >= 2.0))
+        .filter((F.col("ratio") >= LEAST_RATIO) & (F.col("weight") >= LEAST_WEIGHT))
         .filter(F.col("n_terms") >= least_words)
         .orderBy(F.desc("ratio"), "term")
         .limit(MAX_TERMS)
@@ -321,6 +332,14 @@ def _terms(counted: DataFrame, n_toxic: int, n_clean: int, least_words: int) ->
     return {row["term"]: row["weight"] for row in rows}
 
 
+def _near(batches: Iterator[pa.RecordBatch], terms: dict[str, float]):
+    """The words that the automaton takes for misspelled terms."""
+    lexicon = Lexicon(terms, {})
+    for batch in batches:
+        near = [lexicon.misspelled(word) is not None for word in batch.column(0).to_pylist()]
+        yield batch.filter(pa.array(near, pa.bool_()))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """A model of ``labels`` (doc_id, toxic), which are all used for learning."""
     truth = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -354,25 +373,34 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         .withColumn("n_terms", F.lit(1))
     )
     words = stage(words, "toxicity-words")
+    model = ToxicityModel(_terms(words, toxic, clean, 1), share=share)
     starts = F.array(*[F.substring("term", 1, size) for size in BEGINNINGS])
-    beginnings = (
-        words.filter(F.length("term") > BEGINNINGS[0])
-        .select("toxic", "clean", F.explode(F.array_distinct(starts)).alias("term"))
-        .groupBy("term")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count("*").alias("n_terms"))
-    )
-    model = ToxicityModel(
-        _terms(words, toxic, clean, 1), _terms(beginnings, toxic, clean, 4), None, share
+    shared = words.filter(F.length("term") > BEGINNINGS[0]).select(
+        "toxic", "clean", F.explode(F.array_distinct(starts)).alias("term")
     )
+    # one word speaks for itself: the strongest is left out, and several need to be seen in toxic texts
+    beginnings = (
+        shared.groupBy("term")
+        .agg(
+            F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"),
+            F.count_if(F.col("toxic") > 0).alias("n_terms"),
+            F.max(F.struct("toxic", (-F.col("clean")).alias("clean"))).alias("most"),
+        )
+        .select(
+            "term", "n_terms",
+            (F.col("toxic") - F.col("most.toxic")).alias("toxic"),
+            (F.col("clean") + F.col("most.clean")).alias("clean"),
+        )
+    )
+    model.beginnings = _terms(beginnings, toxic, clean, 4)
     # a longer beginning says nothing that its own beginning does not
     model.beginnings = {
         b: w for b, w in model.beginnings.items()
         if not any(b[:size] in model.beginnings for size in BEGINNINGS if size < len(b))
     }
-    model.words = {
-        w: x for w, x in model.words.items()
-        if not any(w[:size] in model.beginnings for size in BEGINNINGS)
-    }
+    usual = words.filter((F.col("clean") >= COMMON) & (_weight(toxic, clean) < LEAST_WEIGHT))
+    near = in_batches(usual.select("term"), partial(_near, terms=model.words), "term string")
+    model.clean = frozenset(row["term"] for row in near.collect())  # one edit from a term
     seen = with_score(known.filter(F.col("part") == "regression"), model, "x", raw=True)
     rows = seen.select("x", "toxic").collect()  # at most 2 MAX_LABELLED rows of numbers
     y = np.array([row["toxic"] for row in rows], dtype=float)

@@ -297,6 +297,27 @@ def test_toxicity_is_learned(spark):
     assert out[5001] > 0.5 > out[5002] and 0 <= out[1] <= 1
 
 
+def test_words_beside_their_beginning_keep_the_misspelling_search(spark):
+    rng = random.Random(14)
+    rows, labels = [], []
+    for i in range(1500):
+        said = words(rng, 40).split()
+        if i % 5 == 0:
+            said += [("loser", "scum")[i % 2], f"grr{rng.randrange(99)}"]
+        else:
+            said += [rng.choice(["scam", "closer", "fine"])] + [f"lose{'abcdefghijklm'[i % 13]}q"] * (i % 50 == 1)
+        rows.append((i, " ".join(said), "en", "s", 0, 0.0, None))
+        labels.append((i, int(i % 5 == 0)))
+    docs = spark.createDataFrame(rows, DOCS)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    lexicon = toxicity.Lexicon(model.words, model.beginnings, model.clean)
+    for said, term in {"loser": "loser", "looser": "loser", "lozer": "loser", "l0ser": "loser", "scvm": "scum"}.items():
+        assert lexicon.find(said)[:2] == (term, model.words[term])
+    assert lexicon.find("grr77x")[0].startswith("grr")
+    for said in ("losesartaga", "scam", "closer", "fine"):
+        assert lexicon.find(said) is None
+
+
 def test_quotation_counts_less():
     hit = ("vileword", 3.0, True)
     direct = toxicity.features(40, [(5, hit, ["oh", "you"], "vileword", ["there"])])
