@@ -1,8 +1,8 @@
 """N-gram Jaccard join by chosen paths.
 
 Texts are sets of five-word shingles; equal texts are one class. A sketch holds for each of 64
-positions the hash of a sampled shingle (the nearest to a constant), so that two sets agree in a
-position as often as their Jaccard similarity. Chosen paths split the classes recursively: a node
+positions the shingle with the smallest hash, by a hash of each position's own, so that two sets of
+any size agree in a position as often as their Jaccard similarity, independently of the others. Chosen paths split the classes recursively: a node
 picks each position with probability 1 / (threshold * 64), the same for all its members, and sends
 a member to one child for each picked position, named by the position and the member's shingle.
 Small nodes are leaves and are compared by brute force; nodes still large at the last level are
@@ -100,6 +100,18 @@ def _fold(words: np.ndarray) -> int:
     return value
 
 
+def _hashed(value: np.ndarray, constant: np.uint64) -> np.ndarray:
+    """A hash of its own for a position. The nearest to a constant alone would not do: of few
+    shingles one is then the nearest to many constants, and positions agree or differ together."""
+    out = value ^ constant
+    with np.errstate(over="ignore"):
+        out *= np.uint64(0xFF51AFD7ED558CCD)
+        out ^= out >> np.uint64(32)
+        out *= np.uint64(0xC4CEB9FE1A85EC53)
+        out ^= out >> np.uint64(32)
+    return out
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]):
     from aerolake.llm.tokens import slices
 
@@ -112,7 +124,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]):
             if len(some):
                 starts = (np.cumsum(sizes) - sizes)[some]
                 for at, constant in enumerate(_constants()):
-                    out[:, at] = np.minimum.reduceat(value ^ constant, starts).astype(np.uint32)
+                    out[:, at] = np.minimum.reduceat(_hashed(value, constant), starts).astype(np.uint32)
             raw: list[bytes | None] = [None] * length
             for row, cells in zip(some, out):
                 raw[row] = cells.tobytes()

@@ -148,6 +148,18 @@ def test_join_equals_brute_force(spark, monkeypatch, leaf):
     assert Counter(tuple(r) for r in out) == brute_links(rows)
 
 
+def test_join_finds_short_texts_at_the_threshold(spark):
+    rng = random.Random(15)
+    rows = []
+    for i in range(3000):
+        n = 4 * (1 + i % 5)  # n of n / 0.8 shingles: 8 words and one more, to 20 words and five
+        said = words(rng, n + 4, 10**9)
+        rows += [(2 * i, said), (2 * i + 1, f"{said} {words(rng, n // 4, 10**9)}")]
+    out = ngram_join.join(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    lost = sum(r.n_links != 1 for r in out) / 2
+    assert lost <= 3  # a recall of 0.999
+
+
 def test_join_of_nothing(spark):
     assert ngram_join.join(spark.createDataFrame([], DOCS)).count() == 0
 
