@@ -7,6 +7,10 @@ first, always onto the packs with the most room, and packs with the same content
 with a count. Pieces of a length are numbered without a global sort, and a piece's number says
 which pattern's slot it fills.
 
+Where the order of documents matters, stored documents are packed in ranges of ``RANGE`` pieces in
+the order of files and of rows in files, each range by itself in a task. Ids of sequences rise with
+the ranges; inside a range the order is free.
+
 Defined results: null and empty texts are the end id alone; repeated rows are packed each; ties in
 length go by place in the table, so any order is valid; a null doc_id is kept. Other columns are
 ignored. An empty table gives no pieces.
@@ -28,10 +32,13 @@ from aerolake.llm.common import batch_of, in_batches
 from aerolake.plans.tables import stage
 from aerolake.sources.order import number_rows
 
+RANGE = 4096  # pieces packed together where the order of documents matters
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
 )
 
+PLACE = "file_no bigint, file string, row bigint"
+
 
 def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, end: int, size: int, keep: bool):
     from aerolake.llm.tokens import chunk_ids, ids_of_texts
@@ -39,21 +46,23 @@ def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, end: int, size:
     narrow = max(chunk_ids(vocabulary).tokenizer.get_vocab_size(), end + 1) <= 2**16
     for batch in batches:
         keys = batch.column(0).to_pylist()
+        carried = list(batch.schema)[2:]
+        others = list(zip(*(c.to_pylist() for c in batch.columns[2:]))) or [()] * len(keys)
         rows: list[tuple] = []
         held = 0
-        for key, ids in zip(keys, ids_of_texts(batch.column(1), vocabulary)):
+        for key, other, ids in zip(keys, others, ids_of_texts(batch.column(1), vocabulary)):
             raw = memoryview(np.append(ids, np.uint32(end)).astype("<u4").tobytes())
             total = len(raw) // 4
             for start in range(0, total, size):
                 part = raw[4 * start : 4 * (start + size)]
                 held += len(part)
                 kept = ids_bytes(part, narrow) if keep else None
-                rows.append((key, start, len(part) // 4, zlib.crc32(part), total, kept))
+                rows.append((key, start, len(part) // 4, zlib.crc32(part), total, kept, *other))
             if held > 16_000_000 and keep:
-                yield _piece_batch(rows)
+                yield _piece_batch(rows, carried)
                 rows, held = [], 0
         if rows:
-            yield _piece_batch(rows)
+            yield _piece_batch(rows, carried)
         pa.default_memory_pool().release_unused()
 
 
@@ -62,23 +71,35 @@ def ids_bytes(part: memoryview, narrow: bool) -> bytes:
     return np.frombuffer(part, "<u4").astype("<u2").tobytes() if narrow else bytes(part)
 
 
-def _piece_batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = [part.split()[0] for part in PIECES.split(", ")]
-    kinds = [pa.int64()] * 5 + [pa.binary()]
+def _piece_batch(rows: list[tuple], carried: list[pa.Field]) -> pa.RecordBatch:
+    names = [part.split()[0] for part in PIECES.split(", ")] + [f.name for f in carried]
+    kinds = [pa.int64()] * 5 + [pa.binary()] + [f.type for f in carried]
     return batch_of({n: (list(v), k) for n, v, k in zip(names, zip(*rows), kinds)})
 
 
 def pieces_of(
-    docs: DataFrame, vocabulary: str, end: int = 2, size: int = 4096, keep_ids: bool = True
+    docs: DataFrame,
+    vocabulary: str,
+    end: int = 2,
+    size: int = 4096,
+    keep_ids: bool = True,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Pieces (``PIECES``) of every document.
+    """Pieces (``PIECES``) of every document; ``ordered`` adds its file and row (``PLACE``).
 
     The checksum is of little-endian unsigned 32-bit ids; the ids themselves are kept in 16 bits
     if the vocabulary allows it.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    place = [
+        F.regexp_extract("_metadata.file_name", "^part-([0-9]+)", 1).try_cast("bigint").alias("file_no"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+    ]
+    rows = docs.select(
+        F.col("doc_id").cast("bigint"), F.col("text").cast("string"), *(place if ordered else [])
+    )
     work = partial(_pieces, vocabulary=vocabulary, end=end, size=size, keep=keep_ids)
-    return in_batches(rows, work, PIECES)
+    return in_batches(rows, work, f"{PIECES}, {PLACE}" if ordered else PIECES)
 
 
 @dataclass
@@ -169,9 +190,11 @@ def _assign(batches: Iterator[pa.RecordBatch], slots: Slots, names: list[str]):
 _KEPT = ["piece", "doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
 
-def stored_pieces(docs: DataFrame, vocabulary: str, end: int, size: int, keep_ids: bool) -> DataFrame:
+def stored_pieces(
+    docs: DataFrame, vocabulary: str, end: int, size: int, keep_ids: bool, ordered: bool = False
+) -> DataFrame:
     """The pieces as a stored table, each with a number of its own (``piece``)."""
-    made = pieces_of(docs, vocabulary, end, size, keep_ids)
+    made = pieces_of(docs, vocabulary, end, size, keep_ids, ordered)
     return stage(made.withColumn("piece", F.monotonically_increasing_id()), "pieces")
 
 
@@ -188,19 +211,71 @@ def pack(pieces: DataFrame, size: int = 4096) -> DataFrame:
     )
 
 
+def _assign_ranges(batches: Iterator[pa.RecordBatch], most: int, size: int):
+    """Sequences of each range; rows come in the order of ranges, each of at most ``most`` pieces."""
+
+    def packed(rows: pa.Table) -> pa.RecordBatch:
+        length = rows.column("length").to_numpy()
+        order = np.argsort(length, kind="stable")
+        values, first, counts = np.unique(length[order], return_index=True, return_counts=True)
+        rank = np.empty(len(length), np.int64)
+        rank[order] = np.arange(len(length)) - np.repeat(first, counts)
+        slots = Slots.of(dict(zip(values.tolist(), counts.tolist())), size)
+        sequence, offset = slots.find(length, rank)
+        return batch_of(
+            {
+                "piece": (rows.column("piece").to_numpy(), pa.int64()),
+                "sequence_id": (rows.column("range")[0].as_py() * most + sequence, pa.int64()),
+                "offset": (offset, pa.int64()),
+            }
+        )
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        ranges = batch.column(0).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.diff(ranges)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ranges)]):
+            if a == b:
+                continue
+            if held and held[0].column(0)[0].as_py() != ranges[a]:
+                yield packed(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield packed(pa.Table.from_batches(held))
+
+
+def pack_in_order(pieces: DataFrame, size: int = 4096, most: int | None = None) -> DataFrame:
+    """piece, sequence_id and offset of stored pieces with their place, packed in ranges."""
+    most = most or RANGE
+    files = ["file_no", "file"]
+    light = pieces.select("piece", "length", "start", *(F.coalesce(c, F.lit(d)).alias(c) for c, d in zip(files, (0, ""))),
+                          "row", F.shiftright("row", 13).alias("_chunk"))
+    placed = number_rows(light, [*files, "_chunk"], ["row", "start"]).select(
+        F.floor(F.col("position") / most).cast("bigint").alias("range"), "position", "piece", "length"
+    )
+    together = placed.repartition("range").sortWithinPartitions("range", "position")
+    work = partial(_assign_ranges, most=most, size=size)
+    return in_batches(together, work, "piece bigint, sequence_id bigint, offset bigint")
+
+
 def pack_documents(docs: DataFrame, vocabulary: str, end: int = 2, size: int = 4096) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     return pack(stored_pieces(docs, vocabulary, end, size, False), size).drop("piece")
 
 
-def sequences(docs: DataFrame, vocabulary: str, end: int = 2, size: int = 4096) -> DataFrame:
+def sequences(
+    docs: DataFrame, vocabulary: str, end: int = 2, size: int = 4096, ordered: bool = False
+) -> DataFrame:
     """sequence_id, n_tokens, ids and pieces (offset, doc_id, start, length) of every sequence.
 
     ``ids`` are the bytes of little-endian ids of 16 bits, or 32 for larger vocabularies. A group
-    is one sequence, at most ``size`` ids.
+    is one sequence, at most ``size`` ids. ``ordered``: sequence_id follows the order of ``docs``,
+    a table of Parquet files, by ranges of ``RANGE`` pieces.
     """
-    stored = stored_pieces(docs, vocabulary, end, size, True)
-    packed = pack(stored, size).select("piece", "sequence_id", "offset")
+    stored = stored_pieces(docs, vocabulary, end, size, True, ordered)
+    packed = pack_in_order(stored, size) if ordered else pack(stored, size)
+    packed = packed.select("piece", "sequence_id", "offset")
     filled = stored.join(packed, "piece").groupBy("sequence_id").agg(
         F.sum("length").alias("n_tokens"),
         F.sort_array(

@@ -63,11 +63,14 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 ids with the pieces of documents they hold."""
+    """Sequences of at most 4096 ids with the pieces of documents they hold.
+
+    Their ids follow the order of the mixture, by ranges of ``packing.RANGE`` pieces.
+    """
     import public_tokenizers
 
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    return packing.sequences(docs, vocabulary, end=2, size=4096)
+    return packing.sequences(docs, vocabulary, end=2, size=4096, ordered=True)
 
 
 STAGES = [

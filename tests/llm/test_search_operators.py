@@ -268,3 +268,25 @@ def test_pipeline_stages(spark, tmp_path):
     packed = {p.doc_id for r in seen["packing"].collect() for p in r.pieces}
     assert packed == set(single)
     assert {tuple(r.pieces) for r in corpus_pipeline.run(spark, folder).collect()}
+
+
+def test_sequences_follow_the_mixture(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+    from aerolake.llm import mixing, packing
+
+    monkeypatch.setattr(mixing, "BLOCK", 2000)
+    monkeypatch.setattr(packing, "RANGE", 64)
+    rng = random.Random(16)
+    sources = ["a"] * 1600 + ["b"] * 400 + ["c"] * 100  # weights 4, 2, 1; c ends after 700 documents
+    rows = [(i, words(rng, 40, 9999), "en", s, 0) for i, s in enumerate(sources)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    corpus_pipeline.mixed(spark, docs.repartition(7), "").write.parquet(f"{tmp_path}/mixed")
+    out = corpus_pipeline.packed(spark, spark.read.parquet(f"{tmp_path}/mixed"), "").collect()
+    assert len({r.sequence_id for r in out}) == len(out)
+    order = [sources[p.doc_id] for r in sorted(out, key=lambda r: r.sequence_id) for p in r.pieces]
+    assert Counter(order) == Counter(sources)
+    for part in (order[:320], order[320:640]):
+        have = Counter(part)
+        for source, share in (("a", 4 / 7), ("b", 2 / 7), ("c", 1 / 7)):
+            assert abs(have[source] / len(part) - share) < 0.07
+    assert set(order[1500:]) == {"a"}
