@@ -8,7 +8,19 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.llm import chat, html_text, licenses, mixing, ngram_join, packing, pii, quality, topk, toxicity
+from aerolake.llm import (
+    chat,
+    collocations,
+    html_text,
+    licenses,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    topk,
+    toxicity,
+)
 from aerolake.llm.common import table
 
 
@@ -94,6 +106,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of every language."""
+    found = collocations.collocations(table(spark, sf_dir, "documents", "lang", "text"), 30, 2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op2_html_text": op2_html_text,
@@ -105,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_chat_windows": op9_chat_windows,
     "op10_toxicity": op10_toxicity,
+    "op12_collocations": op12_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -201,3 +220,43 @@ FROM met JOIN sizes USING (license, template) WHERE met.n >= 0.8 * sizes.n GROUP
 
 
 SQL["op7_license_scan"] = _license_sql()
+
+SQL["op12_collocations"] = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS words
+    FROM pieces
+), grams AS (
+    SELECT lang, words[i:i + size - 1] AS phrase, count(*) AS f
+    FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+          FROM worded, (VALUES (1), (2), (3), (4)) AS sizes(size) WHERE len(words) >= size)
+    GROUP BY 1, 2 HAVING count(*) >= 30
+), totals AS (
+    SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM worded GROUP BY 1
+), cuts AS (
+    SELECT lang, phrase, f AS a, unnest(range(1, len(phrase))) AS k FROM grams WHERE len(phrase) > 1
+), scores AS (
+    SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+           CAST(CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS BIGINT) AS score
+    FROM cuts AS c JOIN grams AS x ON x.lang = c.lang AND x.phrase = c.phrase[1:c.k]
+    JOIN grams AS y ON y.lang = c.lang AND y.phrase = c.phrase[c.k + 1:]
+), lowest AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scores
+), inner_phrases AS (
+    SELECT lang, phrase[i:i + size - 1] AS phrase, max(f) AS longest
+    FROM grams, (VALUES (2, 1), (2, 2), (2, 3), (3, 1), (3, 2)) AS parts(size, i)
+    WHERE len(phrase) > size AND i + size - 1 <= len(phrase) GROUP BY 1, 2
+), kept AS (
+    SELECT l.* FROM lowest AS l LEFT JOIN inner_phrases AS i ON i.lang = l.lang AND i.phrase = l.phrase
+    WHERE l.place = 1 AND (i.longest IS NULL OR 100 * i.longest < 80 * l.a)
+), ranked AS (
+    SELECT lang, array_to_string(phrase, ' ') AS phrase, a, l, r, score,
+           row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank
+    FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
