@@ -378,7 +378,7 @@ def scored(phrases: DataFrame) -> DataFrame:
         F.slice(words, F.col("k") + 1, F.size("words") - F.col("k")).alias("right"),
     )
     cut = cut.join(left, "left").join(right, "right")
-    score = F.expr("cast(cast(2000000 as decimal(8, 0)) * cast(a as decimal(20, 0)) div (l + r) as bigint)")
+    score = F.expr("cast(cast(2000000 as decimal(8, 0)) * cast(a as decimal(20, 0)) div (cast(l as decimal(20, 0)) + r) as bigint)")
     lowest = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("low")
     return cut.groupBy("words", "a").agg(lowest).select("words", "a", "low.*")
 
