@@ -32,6 +32,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,8 +40,9 @@ from pyspark.sql import functions as F
 from aerolake.llm.common import batch_of, in_batches
 from aerolake.plans.tables import stage
 
-SHARD_BYTES = 16_000_000  # of text
+SHARD_BYTES = 8_000_000  # of text
 BLOCK = 1 << 18  # words of a stored block of a transform
+_ROWS = 100_000  # of a batch that goes back to Spark
 _PIECE_ENDS = b".,;:!?\x0b\x0c\r"
 _PLAIN = bytes(
     10 if c in _PIECE_ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256)
@@ -166,6 +168,17 @@ def longer_phrases(
     yield left[trio], one[owner[trio]], two[owner[trio]], right, fours
 
 
+def packed(ids: np.ndarray) -> bytes:
+    """A block of ids, low bytes first: the high ones are nearly all zero."""
+    planes = ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return zstandard.compress(planes, 1)
+
+
+def unpacked(block: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(block), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 # --- tasks -----------------------------------------------------------------------------------
 
 
@@ -188,7 +201,7 @@ def _index_rows(shard: int, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
     counts = np.bincount(ids, minlength=len(words) + 1)[1:]
     if not len(words):
         return
-    both = [t.astype("<i4") for t in transforms(ids, len(words) + 1)]
+    both = transforms(ids, len(words) + 1)
     schema = [pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.string(), pa.int64()]
     names = [part.split()[0] for part in INDEX.split(", ")]
 
@@ -197,7 +210,7 @@ def _index_rows(shard: int, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         return batch_of({k: (given.get(k, pa.nulls(rows, t)), t) for k, t in zip(names, schema)})
 
     for block, at in enumerate(range(0, len(ids), BLOCK)):
-        forward, backward = (t[at : at + BLOCK].tobytes() for t in both)
+        forward, backward = (packed(t[at : at + BLOCK]) for t in both)
         yield batch(1, block=[block], forward=[forward], backward=[backward])
     for at in range(0, len(words), 50_000):
         part = slice(at, at + 50_000)
@@ -219,6 +232,7 @@ def _index(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
         del sizes[lang]
         yield from _index_rows((partition << 24) + made, lang, text)
         made += 1
+        pa.default_memory_pool().release_unused()
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -256,7 +270,7 @@ def _read_shard(rows: pa.Table):
     def whole(name: str) -> np.ndarray:
         if name not in blocks.schema.names:
             return np.zeros(0, np.int64)
-        parts = [np.frombuffer(x.as_buffer(), "<i4") for x in blocks.column(name) if x.is_valid]
+        parts = [unpacked(x.as_buffer()) for x in blocks.column(name) if x.is_valid]
         return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
 
     a, b = (rows.column(name).to_numpy() for name in ("a", "b"))
@@ -266,20 +280,23 @@ def _read_shard(rows: pa.Table):
     return forward, whole("backward"), ids, (a[kinds == 2], b[kinds == 2])
 
 
+def _batches(columns: dict[str, np.ndarray | None], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of bigint columns; None is a column of nulls."""
+    for at in range(0, rows, _ROWS):
+        n = min(_ROWS, rows - at)
+        part = {k: pa.nulls(n, pa.int64()) if v is None else v[at : at + n] for k, v in columns.items()}
+        yield batch_of({k: (v, pa.int64()) for k, v in part.items()})
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for shard, rows in _by_shard(batches):
         forward, _, ids, _ = _read_shard(rows)
         first, second, counts, _ = pairs_of(forward)
         kept = (ids[first] >= 0) & (ids[second] >= 0)
         n = int(kept.sum())
-        yield batch_of(
-            {
-                "w1": (ids[first[kept]], pa.int64()),
-                "w2": (ids[second[kept]], pa.int64()),
-                "shard": (np.full(n, shard), pa.int64()),
-                "n": (counts[kept], pa.int64()),
-            }
-        )
+        found = {"w1": ids[first[kept]], "w2": ids[second[kept]], "shard": np.full(n, shard), "n": counts[kept]}
+        yield from _batches(found, n)
+        pa.default_memory_pool().release_unused()
 
 
 def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,9 +306,10 @@ def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = known[np.argsort(ids[known])]
         local = [known[np.searchsorted(ids[known], w)] for w in (first, second)]
         for *words, counts in longer_phrases(forward, backward, *local):
-            columns = {f"w{i + 1}": (ids[w], pa.int64()) for i, w in enumerate(words)}
-            columns.setdefault("w4", (pa.nulls(len(counts), pa.int64()), pa.int64()))
-            yield batch_of(columns | {"n": (counts, pa.int64())})
+            found = {f"w{i + 1}": ids[w] for i, w in enumerate(words)}
+            found.setdefault("w4", None)
+            yield from _batches(found | {"n": counts}, len(counts))
+        pa.default_memory_pool().release_unused()
 
 
 # --- counts of the corpus --------------------------------------------------------------------
