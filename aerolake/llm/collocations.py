@@ -9,14 +9,15 @@ Counts are settled from short to long, so that a shard emits a phrase only if ev
 neighbouring words in it is frequent in the whole corpus:
 
 1. words of all shards are summed; those with enough occurrences get an id;
-2. each shard extends the intervals of frequent words to the left, and the pairs are summed;
+2. each shard extends the intervals of frequent words to the left, and the pairs are summed, first
+   over a team of shards (``TEAM_WORDS`` words of a language) in a task, then over teams;
 3. each shard takes the intervals of frequent pairs in both directions, extends them to the left to
    three words (from the transform) and those to the right to four (from the reverse transform).
 
 What is longer than a candidate by one word is its left and right extensions, so they decide
 whether it goes; two words more can never be needed, as the phrase between counts at least as much.
 
-Memory of a task is some 150 bytes for each word of one shard. Hot words, phrases and languages
+Memory of a task is some 150 bytes for each word of one shard, and 50 for each pair of its team. Hot words, phrases and languages
 are spread by shards; nothing is broadcast by hand.
 
 Defined results: null and empty texts have no words; a null language is ``und``; repeated rows
@@ -41,6 +42,7 @@ from aerolake.llm.common import batch_of, in_batches
 from aerolake.plans.tables import stage
 
 SHARD_BYTES = 8_000_000  # of text
+TEAM_WORDS = 8_000_000  # of a language whose shards one task counts, one after the other
 BLOCK = 1 << 18  # words of a stored block of a transform
 _ROWS = 100_000  # of a batch that goes back to Spark
 _PIECE_ENDS = b".,;:!?\x0b\x0c\r"
@@ -245,39 +247,41 @@ def _index(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
         yield from flush(lang)
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
-    """Rows of each shard; they come one shard after the other."""
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int | None, pa.Table]]:
+    """team, shard and rows; they come team by team, and in it shard by shard (null first)."""
     held: list[pa.RecordBatch] = []
+
+    def key(batch: pa.RecordBatch) -> tuple:
+        return batch.column(0)[0].as_py(), batch.column(1)[0].as_py()
+
     for batch in batches:
-        shards = batch.column(0).to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.flatnonzero(np.diff(shards)) + 1).tolist(), len(shards)]
+        team, shard = (pc.fill_null(c, -1).to_numpy(zero_copy_only=False) for c in batch.columns[:2])
+        changes = np.flatnonzero((np.diff(team) != 0) | (np.diff(shard) != 0)) + 1
+        cuts = [0, *changes.tolist(), len(batch)]
         for a, b in zip(cuts, cuts[1:]):
             if a == b:
                 continue
-            if held and held[0].column(0)[0].as_py() != shards[a]:
-                yield held[0].column(0)[0].as_py(), pa.Table.from_batches(held)
+            part = batch.slice(a, b - a)
+            if held and key(held[0]) != key(part):
+                yield *key(held[0]), pa.Table.from_batches(held)
                 held = []
-            held.append(batch.slice(a, b - a))
+            held.append(part)
     if held:
-        yield held[0].column(0)[0].as_py(), pa.Table.from_batches(held)
+        yield *key(held[0]), pa.Table.from_batches(held)
 
 
-def _read_shard(rows: pa.Table):
-    """Both transforms, the id of each local word (-1: not frequent), and pairs of ids."""
+def _read_shard(rows: pa.Table, *names: str) -> list[np.ndarray]:
+    """The named transforms, and the id of each local word (-1: not frequent)."""
     kinds = rows.column("kind").to_numpy()
     blocks = rows.filter(pa.array(kinds == 0))
-
-    def whole(name: str) -> np.ndarray:
-        if name not in blocks.schema.names:
-            return np.zeros(0, np.int64)
-        parts = [unpacked(x.as_buffer()) for x in blocks.column(name) if x.is_valid]
-        return np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
-
-    a, b = (rows.column(name).to_numpy() for name in ("a", "b"))
-    forward = whole("forward")
-    ids = np.full(int(forward.max()) + 1, -1, np.int64)
-    ids[a[kinds == 1]] = b[kinds == 1]
-    return forward, whole("backward"), ids, (a[kinds == 2], b[kinds == 2])
+    whole = [
+        np.concatenate([unpacked(x.as_buffer()) for x in blocks.column(name)]).astype(np.int64)
+        for name in names
+    ]
+    a, b = (rows.column(name).to_numpy()[kinds == 1] for name in ("a", "b"))
+    ids = np.full(int(whole[0].max()) + 1, -1, np.int64)
+    ids[a] = b
+    return [*whole, ids]
 
 
 def _batches(columns: dict[str, np.ndarray | None], rows: int) -> Iterator[pa.RecordBatch]:
@@ -288,24 +292,57 @@ def _batches(columns: dict[str, np.ndarray | None], rows: int) -> Iterator[pa.Re
         yield batch_of({k: (v, pa.int64()) for k, v in part.items()})
 
 
+def summed(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct pairs with their sums."""
+    names, coded = np.unique(np.concatenate((first, second)), return_inverse=True)
+    keys = coded[: len(first)] * len(names) + coded[len(first) :]
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts, _ = runs(keys)
+    sums = np.add.reduceat(n[order], starts) if len(starts) else n
+    return names[keys[starts] // len(names)], names[keys[starts] % len(names)], sums
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for shard, rows in _by_shard(batches):
-        forward, _, ids, _ = _read_shard(rows)
+    """Pairs of frequent words of each team."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def flush(team: int) -> Iterator[pa.RecordBatch]:
+        first, second, n = summed(*(np.concatenate(x) for x in zip(*held)))
+        held.clear()
+        yield from _batches({"w1": first, "w2": second, "team": np.full(len(n), team), "n": n}, len(n))
+        pa.default_memory_pool().release_unused()
+
+    last = None
+    for team, _, rows in _by_shard(batches):
+        if held and team != last:
+            yield from flush(last)
+        last = team
+        forward, ids = _read_shard(rows, "forward")
         first, second, counts, _ = pairs_of(forward)
         kept = (ids[first] >= 0) & (ids[second] >= 0)
-        n = int(kept.sum())
-        found = {"w1": ids[first[kept]], "w2": ids[second[kept]], "shard": np.full(n, shard), "n": counts[kept]}
-        yield from _batches(found, n)
-        pa.default_memory_pool().release_unused()
+        held.append((ids[first[kept]], ids[second[kept]], counts[kept]))
+    if held:
+        yield from flush(last)
 
 
 def _phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, rows in _by_shard(batches):
-        forward, backward, ids, (first, second) = _read_shard(rows)
+    """Phrases of three and four words of each shard, by the pairs that its team is given."""
+    of, pairs = None, None
+    for team, shard, rows in _by_shard(batches):
+        if shard is None:
+            of, pairs = team, [rows.column(name).to_numpy() for name in ("a", "b")]
+            continue
+        if team != of:
+            continue  # none of its pairs is frequent
+        forward, backward, ids = _read_shard(rows, "forward", "backward")
         known = np.flatnonzero(ids >= 0)
         known = known[np.argsort(ids[known])]
-        local = [known[np.searchsorted(ids[known], w)] for w in (first, second)]
-        for *words, counts in longer_phrases(forward, backward, *local):
+        if not len(known):
+            continue
+        places = [np.minimum(np.searchsorted(ids[known], w), len(known) - 1) for w in pairs]
+        here = np.logical_and(*(ids[known[at]] == w for at, w in zip(places, pairs)))
+        for *words, counts in longer_phrases(forward, backward, *(known[at[here]] for at in places)):
             found = {f"w{i + 1}": ids[w] for i, w in enumerate(words)}
             found.setdefault("w4", None)
             yield from _batches(found | {"n": counts}, len(counts))
@@ -324,47 +361,69 @@ def index_texts(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     return stage(in_batches(rows, partial(_index, most=shard_bytes), INDEX), "collocation-index")
 
 
-def _fed(blocks: DataFrame, *more: DataFrame) -> DataFrame:
-    """Blocks and other rows of each shard, one shard after the other."""
-    spark = blocks.sparkSession
-    for rows in more:
-        blocks = blocks.unionByName(rows, allowMissingColumns=True)
-    shards = more[0].select("shard").distinct().count()
-    wide = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return blocks.repartition(wide, "shard").sortWithinPartitions("shard", "kind", "a")
+def _fed(teams: int, *parts: DataFrame) -> DataFrame:
+    """Rows of each team, what has no shard first, then one shard after the other."""
+    rows = parts[0]
+    for more in parts[1:]:
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    wide = max(teams, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(wide, "team").sortWithinPartitions("team", "shard", "kind", "a")
+
 
+def _with_team(rows: DataFrame, langs: DataFrame, tasks: int) -> DataFrame:
+    """Rows of shards with the team of the shard: neighbouring tasks of the index, by language."""
+    part = F.floor(F.shiftright("shard", 24) * F.col("teams") / tasks).cast("bigint")
+    team = F.shiftleft(F.col("number").cast("bigint"), 32) + part
+    return rows.join(langs.select("lang", "teams", "number"), "lang").withColumn("team", team)
 
-def count_phrases(index: DataFrame, least: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Words of each language (n), frequent words (id, lang, word, f), phrases (words, f).
+
+def count_phrases(index: DataFrame, least: int, team_words: int = TEAM_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Languages (lang, n), frequent words (id, lang, word, f), phrases (words, f).
 
     ``words`` is an array of ids: all phrases of 1 to 4 words with f >= ``least``.
     """
     vocabulary = index.filter("local IS NOT NULL").select("shard", "lang", "local", "word", "n")
     words = vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("f"))
-    totals = vocabulary.groupBy("lang").agg(F.sum("n").alias("n"))
+    by_name = Window.orderBy("lang")  # one row for each language
+    langs = stage(
+        vocabulary.groupBy("lang")
+        .agg(F.sum("n").alias("n"), F.max(F.shiftright("shard", 24)).alias("last"))
+        .withColumn("teams", F.ceil(F.col("n") / team_words).cast("bigint"))
+        .withColumn("number", F.row_number().over(by_name)),
+        "collocation-languages",
+    )
+    sizes = langs.agg(F.max("last"), F.sum("teams")).first()
+    tasks, teams = (sizes[0] or 0) + 1, sizes[1] or 0
     frequent = stage(
         words.filter(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()),
         "collocation-words",
     )
-    known = vocabulary.join(frequent.select("lang", "word", "id"), ["lang", "word"]).select(
-        "shard", F.lit(1).alias("kind"), F.col("local").cast("bigint").alias("a"), F.col("id").alias("b")
+    known = vocabulary.join(frequent.select("lang", "word", "id"), ["lang", "word"])
+    known = stage(
+        _with_team(known, langs, tasks).select(
+            "team", "shard", F.lit(1).alias("kind"), F.col("local").cast("bigint").alias("a"), F.col("id").alias("b")
+        ),
+        "collocation-local",
     )
-    known = stage(known, "collocation-local")
-    blocks = index.filter("block IS NOT NULL").select(
-        "shard", F.lit(0).alias("kind"), F.col("block").cast("bigint").alias("a"), "forward", "backward"
+    blocks = index.filter("block IS NOT NULL").select("shard", "lang", "block", "forward", "backward")
+    blocks = _with_team(blocks, langs, tasks).select(
+        "team", "shard", F.lit(0).alias("kind"), F.col("block").cast("bigint").alias("a"), "forward", "backward"
     )
     local = in_batches(
-        _fed(blocks.drop("backward"), known), _pairs, "w1 bigint, w2 bigint, shard bigint, n bigint"
+        _fed(teams, blocks.drop("backward"), known), _pairs, "w1 bigint, w2 bigint, team bigint, n bigint"
     )
-    # every row of a pair is of another shard, so there is nothing to sum before the shuffle
+    # every row of a pair is of another team, so there is nothing to sum before the shuffle
     everywhere = Window.partitionBy("w1", "w2")
     pairs = stage(
         local.withColumn("f", F.sum("n").over(everywhere)).filter(F.col("f") >= least),
         "collocation-pairs",
     )
-    wanted = pairs.select("shard", F.lit(2).alias("kind"), F.col("w1").alias("a"), F.col("w2").alias("b"))
+    wanted = pairs.select(
+        "team", F.lit(None).cast("bigint").alias("shard"), F.lit(2).alias("kind"),
+        F.col("w1").alias("a"), F.col("w2").alias("b"),
+    )
     longer = in_batches(
-        _fed(blocks, known, wanted), _phrases, "w1 bigint, w2 bigint, w3 bigint, w4 bigint, n bigint"
+        _fed(teams, blocks, known, wanted), _phrases, "w1 bigint, w2 bigint, w3 bigint, w4 bigint, n bigint"
     )
     longer = longer.groupBy("w1", "w2", "w3", "w4").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     phrases = (
@@ -374,7 +433,7 @@ def count_phrases(index: DataFrame, least: int) -> tuple[DataFrame, DataFrame, D
             longer.select(F.filter(F.array("w1", "w2", "w3", "w4"), lambda w: w.isNotNull()).alias("words"), "f")
         )
     )
-    return totals, frequent, stage(phrases, "collocation-phrases")
+    return langs, frequent, stage(phrases, "collocation-phrases")
 
 
 # --- scores ----------------------------------------------------------------------------------
@@ -412,13 +471,17 @@ def longest_matter(candidates: DataFrame, phrases: DataFrame) -> DataFrame:
 
 
 def collocations(
-    docs: DataFrame, least: int = 30, most: int = 2000, shard_bytes: int = SHARD_BYTES
+    docs: DataFrame,
+    least: int = 30,
+    most: int = 2000,
+    shard_bytes: int = SHARD_BYTES,
+    team_words: int = TEAM_WORDS,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score, k: the first ``most`` phrases of every language."""
-    totals, frequent, phrases = count_phrases(index_texts(docs, shard_bytes), least)
+    languages, frequent, phrases = count_phrases(index_texts(docs, shard_bytes), least, team_words)
     kept = longest_matter(scored(phrases), phrases)
-    langs = frequent.select(F.col("id").alias("_first"), "lang")
-    kept = kept.withColumn("_first", F.element_at("words", 1)).join(langs, "_first")
+    first_word = frequent.select(F.col("id").alias("_first"), "lang")
+    kept = kept.withColumn("_first", F.element_at("words", 1)).join(first_word, "_first")
     # words of phrases are needed only up to the last place, all that tie there included
     first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
     kept = stage(kept.withColumn("_rank", F.rank().over(first)).filter(F.col("_rank") <= most), "collocations")
@@ -432,6 +495,6 @@ def collocations(
     last = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.join(spelt, "words").withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= most)
     whole = ["a", "l", "r", "n", "score", "k"]
-    return ranked.join(totals, "lang").select(
+    return ranked.join(languages.select("lang", "n"), "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", *(F.col(c).cast("bigint").alias(c) for c in whole)
     )

@@ -49,14 +49,14 @@ def plain_collocations(rows, least, most):
 FIELDS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-def found(spark, rows, least, most, shard_bytes):
+def found(spark, rows, least, most, shard_bytes, team_words=10**6):
     docs = spark.createDataFrame(rows, DOCS)
-    out = collocations.collocations(docs, least, most, shard_bytes).collect()
+    out = collocations.collocations(docs, least, most, shard_bytes, team_words).collect()
     return sorted(tuple(r[f] for f in FIELDS) for r in out)
 
 
-@pytest.mark.parametrize("shard_bytes", [150, 4000, 10**7])
-def test_collocations_equal_brute_force(spark, shard_bytes):
+@pytest.mark.parametrize("shard_bytes, team_words", [(150, 400), (4000, 10**6)])
+def test_collocations_equal_brute_force(spark, shard_bytes, team_words):
     rng = random.Random(3)
     vocabulary = ["New", "york", "é", "the", "of", "\x01", "a", "City", "zß", "x"]
     rows = awkward_docs()
@@ -68,7 +68,7 @@ def test_collocations_equal_brute_force(spark, shard_bytes):
         )
         rows.append((i, text, rng.choice(["en", None, "und", "fr"]), "s", 0, 0.0, None))
     for least, most in ((3, 2000), (8, 7)):
-        assert found(spark, rows, least, most, shard_bytes) == plain_collocations(
+        assert found(spark, rows, least, most, shard_bytes, team_words) == plain_collocations(
             [(r[1], r[2]) for r in rows], least, most
         )
 
