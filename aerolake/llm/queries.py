@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm import (
+    alignment,
     chat,
     collocations,
     html_text,
@@ -112,6 +113,12 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers cut every document, and how common its links are."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return alignment.align(docs, _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_topk": op1_exact_topk,
     "op2_html_text": op2_html_text,
@@ -124,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat_windows": op9_chat_windows,
     "op10_toxicity": op10_toxicity,
     "op12_collocations": op12_collocations,
+    "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
