@@ -21,6 +21,7 @@ from aerolake.llm import (
     quality,
     topk,
     toxicity,
+    warc,
 )
 from aerolake.llm.common import table
 
@@ -107,6 +108,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of every page, written to bundles and read back."""
+    return warc.archive(table(spark, sf_dir, "pages", "page_id", "url", "html"), least=0)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 collocations of every language."""
     found = collocations.collocations(table(spark, sf_dir, "documents", "lang", "text"), 30, 2000)
@@ -130,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_chat_windows": op9_chat_windows,
     "op10_toxicity": op10_toxicity,
+    "op11_warc": op11_warc,
     "op12_collocations": op12_collocations,
     "op13_alignment": op13_alignment,
     "pipeline": corpus_pipeline.run,
@@ -229,6 +236,24 @@ FROM met JOIN sizes USING (license, template) WHERE met.n >= 0.8 * sizes.n GROUP
 
 SQL["op7_license_scan"] = _license_sql()
 
+SQL["op11_warc"] = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, row_number() OVER () AS place FROM pages
+), hashed AS (
+    SELECT page_id, payload, place, strlen(payload) AS payload_bytes, sha1(payload) AS hex,
+           first_value(place) OVER w AS first_place, first_value(page_id) OVER w AS first_id
+    FROM payloads WINDOW w AS (PARTITION BY payload ORDER BY page_id DESC NULLS LAST, place DESC
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+           ((CAST('0x' || substr(hex, 10 * (i // 8) + 1, 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31) + 1 AS INTEGER),
+           1)), '') AS payload_digest,
+       CASE WHEN place = first_place THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place <> first_place THEN first_id END AS refers_to
+FROM hashed
+"""
+
 SQL["op12_collocations"] = """
 WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
