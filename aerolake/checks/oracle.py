@@ -485,6 +485,18 @@ _SQL = {
         SELECT *, (epoch_us(ended_at) - epoch_us(started_at)) / 1000000.0::DOUBLE AS duration_seconds
         FROM fx_batch_states WHERE job_id = 'job-199703'""",
     "stream_daily": ALL_DAILY,
+    "stream_daily_new_points": ALL_DAILY,
+    "stream_daily_late_rows": ALL_DAILY,
+    "refresh_daily_incremental": f"""
+        SELECT CAST(m.time AS DATE) AS day, sp.station_code, m.pollutant_code, round(avg(v), 6) AS avg_value,
+               min(v) AS min_value, max(v) AS max_value, round(stddev_samp(v), 6) AS stddev_value,
+               count(*) AS count, min(m.time) AS first_measurement, max(m.time) AS last_measurement
+        FROM (SELECT *, CASE WHEN pollutant_code = 8 THEN value + 1 ELSE value END AS v FROM fx_measurements) m
+        JOIN fx_sampling_points sp ON m.sampling_point_id = sp.sampling_point_id
+        WHERE m.validity >= 1 AND m.aggregation_type = 'hour'
+          AND NOT (m.sampling_point_id = {FIRST_POINT}
+                   AND m.time BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 12:00:00')
+        GROUP BY 1, 2, 3""",
     "refresh_policy": f"SELECT {DAILY} FROM fx_daily WHERE day >= DATE '2024-01-07' AND day < DATE '2024-02-04'",
     "stream_ingest": ALL_DAILY,
     "stream_ingest_mixed": ALL_MEASUREMENTS,

@@ -31,10 +31,11 @@ from aerolake.plans import load, maintenance, measurement_store
 from aerolake.plans.daily_table import DailyTable
 from aerolake.plans.dimension_tables import sampling_points_table, stations_table
 from aerolake.plans.measurement_store import MeasurementStore
+from aerolake.plans.point_days import PointDayTable
 from aerolake.schemas import MEASUREMENT_KEY, SAMPLING_POINTS, STATIONS
 from aerolake.session import work_dir
 from aerolake.sources import lookups, manifest, parquet_files, station_extract
-from aerolake.streaming import daily_stream, ingest
+from aerolake.streaming import daily_stream, ingest, living_daily
 
 NOW = datetime(2024, 2, 5, 12, 0)
 WINDOW = (datetime(2024, 1, 10, 6, 0), datetime(2024, 1, 20, 0, 0))
@@ -988,6 +989,85 @@ def stream_daily(fx):
     return _rounded(table.read())
 
 
+def _living(fx, points: DataFrame, watermark_days: int = 30) -> living_daily.LivingDaily:
+    spark = fx.spark
+    dimension = sampling_points_table(spark, work_dir(spark, "points"))
+    dimension.upsert(points, NOW)
+    table = PointDayTable(spark, work_dir(spark, "point-days"))
+    daily = DailyTable(spark, work_dir(spark, "daily"))
+    return living_daily.LivingDaily(table, daily, dimension, work_dir(spark, "living"), watermark_days)
+
+
+def _arriving(fx, *parts: DataFrame):
+    """A stream over a folder, and a step that adds the next part to it and runs the stream."""
+    spark, folder, checkpoint = fx.spark, work_dir(fx.spark, "arriving"), work_dir(fx.spark, "stream")
+    waiting = list(parts)
+
+    def step(living: living_daily.LivingDaily) -> None:
+        waiting.pop(0).repartition(3).write.mode("append").parquet(folder)
+        schema = spark.read.parquet(folder).schema
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(folder)
+        living.run(stream, checkpoint).awaitTermination()
+
+    return step
+
+
+@query
+def stream_daily_new_points(fx):
+    """Two thirds of the sampling points become known while the stream runs, some of them last."""
+    third = F.pmod(F.xxhash64("sampling_point_id"), F.lit(3))
+    living = _living(fx, fx.sampling_points.filter(third == 0))
+    early = F.dayofmonth("time") <= 12
+    step = _arriving(fx, fx.measurements.filter(early), fx.measurements.filter(~early))
+    step(living)
+    living.sampling_points.upsert(fx.sampling_points.filter(third == 1), NOW)
+    step(living)
+    living.sampling_points.upsert(fx.sampling_points.filter(third == 2), NOW)
+    living.release()
+    if not living.parked().isEmpty():
+        raise AssertionError("points that are known still wait")
+    return _rounded(living.daily.read())
+
+
+def _late_stream(fx) -> living_daily.LivingDaily:
+    """The newest days arrive first, then all others, most of them behind the watermark."""
+    living = _living(fx, fx.sampling_points, watermark_days=3)
+    newest = F.to_date("time") >= F.lit(date(2024, 1, 20))
+    step = _arriving(fx, fx.measurements.filter(newest), fx.measurements.filter(~newest))
+    step(living)
+    step(living)
+    return living
+
+
+@query
+def stream_daily_late_rows(fx):
+    return _rounded(_late_stream(fx).daily.read())
+
+
+@query
+def refresh_daily_incremental(fx):
+    """Point-days follow two loads, an upsert and a delete; the daily table reads them alone."""
+    half = F.col("observation_id").cast("bigint") % 2 == 0
+    store = _store(fx)
+    points = PointDayTable(fx.spark, work_dir(fx.spark, "point-days"))
+    daily = DailyTable(fx.spark, work_dir(fx.spark, "daily"))
+    dimension = fx.spark.read.parquet(_written(fx, fx.sampling_points, "points"))
+    for number, batch in enumerate([fx.measurements.filter(half), fx.measurements.filter(~half)]):
+        store.insert(batch)
+        daily.refresh_from(points, dimension, points.append(batch, number))
+    changed = fx.measurements.filter("pollutant_code = 8").withColumn("value", F.col("value") + 1)
+    store.upsert(changed, ["observation_id"])
+    day = F.to_date("time").alias("day")
+    keys = changed.select(day, "sampling_point_id")
+    daily.refresh_from(points, dimension, points.recompute(store, keys, 2))
+    first, start, end = _first_point(fx), datetime(2024, 1, 5), datetime(2024, 1, 20, 12)
+    doomed = store.between(start, datetime(2024, 1, 21)).filter(F.col("sampling_point_id") == first)
+    keys = fx.spark.read.parquet(_written(fx, doomed.select(day, "sampling_point_id").distinct(), "doomed"))
+    store.delete_time_range(first, start, end)
+    daily.refresh_from(points, dimension, points.recompute(store, keys, 3))
+    return _rounded(daily.read())
+
+
 @query
 def refresh_policy(fx):
     table = DailyTable(fx.spark, work_dir(fx.spark, "daily"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.functions.flags import at_least_valid, hourly
@@ -12,9 +12,18 @@ DAILY_KEY = ["day", "station_code", "pollutant_code"]
 MERGE_BUCKETS = 64
 
 
-def _point_days(rows: DataFrame) -> DataFrame:
-    """Mergeable daily statistics of each sampling point; ``m2`` is its squared deviation."""
-    return rows.groupBy("day", "sampling_point_id", "pollutant_code").agg(
+def point_days(measurements: DataFrame) -> DataFrame:
+    """Mergeable statistics of each day, sampling point and pollutant over valid hourly rows.
+
+    ``n`` values have the ``mean`` and the squared deviation ``m2`` from it; ``rows`` counts those
+    without a value too.
+    """
+    wanted = measurements.filter(
+        at_least_valid(F.col("validity")) & hourly(F.col("aggregation_type"))
+    ).select(
+        F.to_date("time").alias("day"), "sampling_point_id", "pollutant_code", "value", "time"
+    )
+    return wanted.groupBy("day", "sampling_point_id", "pollutant_code").agg(
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
         (F.var_pop("value") * F.count("value")).alias("m2"),
@@ -26,40 +35,49 @@ def _point_days(rows: DataFrame) -> DataFrame:
     )
 
 
-def _merge(parts: DataFrame, key: list[str]) -> DataFrame:
-    """Merge statistics by key.
+def merge_moments(parts: DataFrame, key: list[str]) -> DataFrame:
+    """Merge statistics by key in one aggregate.
 
-    Deviations are taken from the common mean, as a difference of large sums of squares would
-    lose the digits that matter. Window and aggregate share one shuffle.
+    The moments of a key are gathered, partly before the shuffle, and merged pair by pair in the
+    order of their values: no digits are lost to large sums of squares, and the result is the same
+    to the last digit however the rows came. A key should have a bounded number of parts.
     """
-    same_key = Window.partitionBy(*key)
-    centre = F.sum(F.col("n") * F.col("mean")).over(same_key) / F.sum("n").over(same_key)
-    return (
-        parts.withColumn("centre", F.when(F.sum("n").over(same_key) > 0, centre))
-        .groupBy(*key)
-        .agg(
-            F.sum("n").alias("n"),
-            F.max("centre").alias("mean"),
-            F.sum(F.col("m2") + F.col("n") * F.pow(F.col("mean") - F.col("centre"), 2)).alias("m2"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-            F.sum("rows").alias("rows"),
-            F.min("first").alias("first"),
-            F.max("last").alias("last"),
+    moments = F.when(F.col("n") > 0, F.struct("mean", "n", "m2"))
+    start = F.struct(F.lit(0.0).alias("mean"), F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("m2"))
+
+    def add(one: Column, two: Column) -> Column:
+        n = one["n"] + two["n"]
+        apart = two["mean"] - one["mean"]
+        share = two["n"] / n
+        return F.struct(
+            (one["mean"] + apart * share).alias("mean"),
+            n.alias("n"),
+            (one["m2"] + two["m2"] + apart * apart * one["n"] * share).alias("m2"),
         )
+
+    merged = parts.groupBy(*key).agg(
+        F.aggregate(F.sort_array(F.collect_list(moments)), start, add).alias("_all"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.sum("rows").alias("rows"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
     )
+    n = F.col("_all.n")
+    mean = F.when(n > 0, F.col("_all.mean")).alias("mean")
+    return merged.select(*key, n.alias("n"), mean, F.col("_all.m2").alias("m2"), "low", "high", "rows", "first", "last")
 
 
-def _merge_point_days(point_days: DataFrame) -> DataFrame:
-    """Combine the sampling points of a station.
+def daily_of_points(points: DataFrame, sampling_points: DataFrame) -> DataFrame:
+    """Daily rows of stations from the statistics of their sampling points.
 
-    First in buckets, so that a station with very many sampling points is spread over tasks;
-    then the few buckets of each group.
+    Sampling points that the dimension does not know have no part. Points are merged in buckets
+    first, so that a station with very many of them is spread over tasks.
     """
-    bucketed = point_days.withColumn(
-        "bucket", F.pmod(F.xxhash64("sampling_point_id"), F.lit(MERGE_BUCKETS))
-    )
-    merged = _merge(_merge(bucketed, [*DAILY_KEY, "bucket"]), DAILY_KEY)
+    stations = sampling_points.select("sampling_point_id", "station_code")
+    bucket = F.pmod(F.xxhash64("sampling_point_id"), F.lit(MERGE_BUCKETS))
+    bucketed = points.join(stations, "sampling_point_id").withColumn("_bucket", bucket)
+    merged = merge_moments(merge_moments(bucketed, [*DAILY_KEY, "_bucket"]), DAILY_KEY)
     return merged.select(
         *DAILY_KEY,
         F.col("mean").alias("avg_value"),
@@ -69,7 +87,7 @@ def _merge_point_days(point_days: DataFrame) -> DataFrame:
         F.col("rows").alias("count"),
         F.col("first").alias("first_measurement"),
         F.col("last").alias("last_measurement"),
-    )
+    ).select(*DAILY.names)
 
 
 def daily_measurements(measurements: DataFrame, sampling_points: DataFrame) -> DataFrame:
@@ -79,14 +97,7 @@ def daily_measurements(measurements: DataFrame, sampling_points: DataFrame) -> D
     large share of all rows brings one row a day to the join, not its whole history. How the
     join runs is left to adaptive execution; the figures are the same either way.
     """
-    wanted = measurements.filter(
-        at_least_valid(F.col("validity")) & hourly(F.col("aggregation_type"))
-    ).select(
-        F.to_date("time").alias("day"), "sampling_point_id", "pollutant_code", "value", "time"
-    )
-    stations = sampling_points.select("sampling_point_id", "station_code")
-    daily = _merge_point_days(_point_days(wanted).join(stations, "sampling_point_id"))
-    return daily.select(*DAILY.names)
+    return daily_of_points(point_days(measurements), sampling_points)
 
 
 def daily_status(daily: DataFrame) -> DataFrame:

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.functions.times import start_of
-from aerolake.operators.aggregates import DAILY_KEY, daily_measurements
+from aerolake.operators.aggregates import DAILY_KEY, daily_measurements, daily_of_points
 from aerolake.operators.slices import policy_window, whole_days
 from aerolake.plans.measurement_store import MeasurementStore
+from aerolake.plans.point_days import PointDayTable
 from aerolake.plans.tables import (
     drop_dates,
     partition_dates,
@@ -79,6 +80,13 @@ class DailyTable:
         daily = daily_measurements(rows, sampling_points)
         return self._publish(daily, days & self.days())
 
+    def refresh_from(self, points: PointDayTable, sampling_points: DataFrame, days: set[date]) -> int:
+        """Recompute just these days from stored point-days; no measurement is read."""
+        if not days:
+            return 0
+        daily = daily_of_points(points.read(days), sampling_points)
+        return self._publish(daily, days & self.days())
+
     def upsert(self, changed: DataFrame) -> int:
         """Overwrite single rows, as a stream in update mode hands them out."""
         with staged(changed.select(*DAILY.names), "daily-rows") as fresh:

@@ -43,6 +43,21 @@ def check_partition_column(spark: SparkSession, path: str, column: str) -> None:
             raise ValueError(f"{path} is partitioned by {sorted(others)}, not by {column}")
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    filesystem, hadoop_path = _filesystem(spark, path)
+    if not filesystem.exists(hadoop_path):
+        return []
+    return [status.getPath().getName() for status in filesystem.listStatus(hadoop_path)]
+
+
+def drop_folders(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove folders of a table, in the order given."""
+    for path in paths:
+        filesystem, hadoop_path = _filesystem(spark, path)
+        filesystem.delete(hadoop_path, True)
+
+
 def drop_dates(
     spark: SparkSession, path: str, dates: Iterable[date], column: str = "day"
 ) -> None:
@@ -121,6 +136,17 @@ def replace_table(frame: DataFrame, path: str) -> None:
         copy.write.mode("overwrite").parquet(path)
 
 
+def write_parts(frame: DataFrame, path: str, columns: list[str]) -> None:
+    """Replace the partitions that ``frame`` has rows of, and leave all others as they are."""
+    (
+        frame.hint("rebalance", *columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+
+
 def write_dates(
     frame: DataFrame, path: str, mode: str, column: str = "day", **options: object
 ) -> None:

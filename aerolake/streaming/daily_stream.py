@@ -17,7 +17,9 @@ def stream_daily(
     """One-day tumbling windows per station and pollutant over arriving valid hourly rows.
 
     State holds one row for each open day, station and pollutant. Rows that arrive after the
-    watermark has passed their day are dropped. In append mode a day comes out once it is
+    watermark has passed their day are dropped, and so are rows of sampling points that
+    ``sampling_points``, which is read as it was at the start, does not hold; ``living_daily`` keeps
+    both. In append mode a day comes out once it is
     closed, in update mode with each change.
     """
     stations = sampling_points.select("sampling_point_id", "station_code")
@@ -43,15 +45,17 @@ def stream_daily(
     )
 
 
-def maintain_daily(daily: DataFrame, table: DailyTable, checkpoint: str) -> StreamingQuery:
-    """Keep the stored daily table current; stops when all available input is done.
+def maintain_daily(
+    daily: DataFrame, table: DailyTable, checkpoint: str, trigger: dict[str, object] | None = None
+) -> StreamingQuery:
+    """Keep the stored daily table current; by default stops when all available input is done.
 
-    Replaying a micro-batch writes the same rows again, so a restart is harmless.
+    ``trigger`` is that of ``DataStreamWriter``, such as ``{"processingTime": "1 minute"}``. Replaying a micro-batch writes the same rows again, so a restart is harmless.
     """
     return (
         daily.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda rows, _: table.upsert(rows) and None)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

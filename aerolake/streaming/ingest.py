@@ -40,6 +40,7 @@ def stream_ingest(
     stations: DimensionTable | None = None,
     after_load: str | None = None,
     report: str | None = None,
+    trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
     """Load the files of each micro-batch into the store, then recompute the days it touched.
 
@@ -47,7 +48,8 @@ def stream_ingest(
     in ``read_files``. A bad file loads nothing and stays where it is. ``after_load="delete"``
     removes the files that did load, once their rows are stored. ``report`` is a folder to which
     ``path, measurements, dropped, error`` of every file are appended. With dimension tables,
-    new stations and sampling points are written before the measurements.
+    new stations and sampling points are written before the measurements. ``trigger`` is that of
+    ``DataStreamWriter``; by default the stream ends when all that is there is loaded.
 
     An upsert of the same rows changes nothing, so a replayed micro-batch is harmless. Late
     rows are as good as timely ones: their day is recomputed whatever its age.
@@ -80,6 +82,6 @@ def stream_ingest(
     return (
         files.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(load)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
