@@ -211,7 +211,9 @@ NUMBERED_URLS = "SELECT url, row_number() OVER (ORDER BY page_id) - 1 AS positio
 _SQL = {
     "read_measurement_parquet": ALL_MEASUREMENTS,
     "read_station_extract": """
-        SELECT eoi_code, sampling_point, pollutant_name, altitude, activity_begin, station_name FROM fx_extract""",
+        SELECT eoi_code, sampling_point, pollutant_name, altitude, activity_begin,
+               coalesce(station_name, '') || chr(10) || '"' || eoi_code || '"' AS station_name, true AS numbered
+        FROM fx_extract""",
     "read_url_manifest": NUMBERED_URLS,
     "manifest_csv_limit": "SELECT url FROM pages ORDER BY page_id LIMIT 20",
     "load_many_files": ALL_MEASUREMENTS,

@@ -106,9 +106,13 @@ def read_measurement_parquet(fx):
 
 
 def _extract_csv(fx) -> str:
+    return _csv_of(fx, fx.extract.orderBy("row_num"))
+
+
+def _csv_of(fx, extract: DataFrame) -> str:
     path = work_dir(fx.spark, "extract") + ".csv"
     headers = {name: header for header, name in station_extract.EXTRACT_COLUMNS.items()}
-    rows = fx.extract.orderBy("row_num").drop("row_num").withColumnsRenamed(headers)
+    rows = extract.drop("row_num").withColumnsRenamed(headers)
     rows.write.option("header", True).option("escape", '"').option(
         "ignoreLeadingWhiteSpace", False
     ).option("ignoreTrailingWhiteSpace", False).csv(path)
@@ -117,10 +121,15 @@ def _extract_csv(fx) -> str:
 
 @query
 def read_station_extract(fx):
-    rows = station_extract.read_station_extract(fx.spark, _extract_csv(fx))
+    """Names hold line breaks and quotes; each row also carries its place in its file."""
+    name = F.concat(F.coalesce("station_name", F.lit("")), F.lit('\n"'), "eoi_code", F.lit('"'))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    broken = fx.extract.orderBy("row_num").withColumns({"station_name": name, "sample_id": place})
+    rows = station_extract.read_station_extract(fx.spark, _csv_of(fx, broken))
     return rows.select(
-        "eoi_code", "sampling_point", "pollutant_name", "altitude", "activity_begin", "station_name"
-    )
+        "eoi_code", "sampling_point", "pollutant_name", "altitude", "activity_begin", "station_name",
+        (F.col("row_num") == F.col("sample_id").cast("bigint") + 2).alias("numbered"),
+    )
 
 
 def _manifest_file(fx) -> str:

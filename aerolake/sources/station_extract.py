@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolake.sources.order import FILE_ORDER, number_rows, with_file_order
+from aerolake.sources.records import read_csv_text
 
 # Extract header -> our column name.
 EXTRACT_COLUMNS = {
@@ -32,40 +32,19 @@ EXTRACT_COLUMNS = {
 }
 
 
-def has_broken_lines(spark: SparkSession, path: str) -> bool:
-    """Does any line hold an odd number of quotes, so that a record spans lines?"""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
-
-
-def read_station_extract(
-    spark: SparkSession, path: str, multi_line: bool | None = None
-) -> DataFrame:
+def read_station_extract(spark: SparkSession, path: str) -> DataFrame:
     """Extract rows under our column names, with ``row_num`` (the header is row 1).
 
-    Absent columns read as empty text. A record with a line break inside quotes forces Spark
-    to read its file in one piece; by default that mode is used only if such a record is
-    there, so that plain files are split over tasks.
+    Absent columns read as empty text. Values may hold line breaks inside quotes; every file is
+    split over tasks all the same (see ``records``).
     """
     if not path.rstrip("/").endswith(".csv"):
         raise ValueError("a station extract must be a .csv file")
-    if multi_line is None:
-        multi_line = has_broken_lines(spark, path)
-    raw = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)  # a file with other headers fails instead of shifting
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("inferSchema", False)
-        .option("nullValue", "\x01")  # an empty field is empty text, not NULL
-        .option("emptyValue", "")
-        .csv(path)
-    )
-    ordered = with_file_order(raw)
-    present = [
-        (F.coalesce(F.col(f"`{header}`"), F.lit("")) if header in raw.columns else F.lit("")).alias(name)
+    rows, headers = read_csv_text(spark, path)
+    # of a repeated header the last column holds
+    places = {header: f"c{i}" for i, header in enumerate(headers)}
+    values = [
+        (F.coalesce(places[header], F.lit("")) if header in places else F.lit("")).alias(name)
         for header, name in EXTRACT_COLUMNS.items()
     ]
-    rows = ordered.select(*present, *FILE_ORDER)
-    numbered = number_rows(rows, FILE_ORDER[:2], FILE_ORDER[2:], "row_num", per=["_file"])
-    return numbered.withColumn("row_num", F.col("row_num") + 2).drop(*FILE_ORDER)
+    return rows.select(*values, (F.col("record") + 1).cast("bigint").alias("row_num"))
