@@ -502,6 +502,8 @@ _SQL = {
     "refresh_policy": f"SELECT {DAILY} FROM fx_daily WHERE day >= DATE '2024-01-07' AND day < DATE '2024-02-04'",
     "stream_ingest": ALL_DAILY,
     "stream_ingest_mixed": ALL_MEASUREMENTS,
+    "stream_ingest_unreadable_columns": f"""
+        SELECT {MEASURED} FROM fx_measurements WHERE pollutant_code NOT IN (5, 7, 8)""",
     "late_rows": """
         SELECT CAST(time AS DATE) AS day, count(*) AS rows FROM fx_measurements
         WHERE CAST(time AS DATE) < DATE '2024-01-06' GROUP BY 1""",

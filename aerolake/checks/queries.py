@@ -1113,6 +1113,31 @@ def stream_ingest_mixed(fx):
     return _measured(store.read())
 
 
+@query
+def stream_ingest_unreadable_columns(fx):
+    """Files without a sampling point, of an odd kind, or without any whole row stay where they are."""
+    spark, path = fx.spark, work_dir(fx.spark, "odd")
+    raw = fx.raw("new")
+    raw.filter("Pollutant < 5").write.parquet(f"{path}/good")
+    raw.filter("Pollutant = 5").drop("Samplingpoint").write.parquet(f"{path}/short")
+    raw.filter("Pollutant = 7").withColumn("Value", F.array("Value")).write.parquet(f"{path}/kind")
+    raw.filter("Pollutant = 8").withColumn("Start", F.lit(None).cast("timestamp")).write.parquet(f"{path}/empty")
+    raw.filter("Pollutant > 8").write.parquet(f"{path}/more")
+    store, report = _store(fx), work_dir(spark, "report")
+    files = ingest.file_stream(spark, path, max_files=5)
+    checkpoint = work_dir(spark, "stream")
+    ingest.stream_ingest(files, store, checkpoint, after_load="delete", report=report).awaitTermination()
+    folder = F.element_at(F.split("path", "/"), -2)
+    left = parquet_files.list_files(spark, path, pattern="*.parquet").select(folder.alias("folder"), "path")
+    told = spark.read.parquet(report)
+    silent = left.join(told.filter("error is not null"), "path", "left_anti").count()
+    lost = told.filter("error is not null").join(left, "path", "left_anti").count()
+    folders = {r["folder"] for r in left.select("folder").distinct().collect()}
+    if silent or lost or not folders <= {"short", "kind", "empty"} or (told.count() and not folders):
+        raise AssertionError(f"files left: {folders}, {silent} without a reason, {lost} lost")
+    return _measured(store.read())
+
+
 @query
 def late_rows(fx):
     return slices.late_rows(fx.measurements, NOW)

@@ -22,7 +22,7 @@ from aerolake.operators.ledger import BATCH_SIZE, COMPLETED, FAILED, PENDING, RU
 from aerolake.plans.dimension_tables import DimensionTable
 from aerolake.plans.measurement_store import MeasurementStore
 from aerolake.plans.tables import delete_file, read_table, stage, staged
-from aerolake.schemas import LEDGER, MEASUREMENT_KEY
+from aerolake.schemas import LEDGER, MEASUREMENT_KEY, MEASUREMENT_NAMES
 from aerolake.sources.manifest import local_copies
 from aerolake.sources.station_extract import read_station_extract
 from aerolake.sources.parquet_files import inspect_files, measurements_of, read_inspected
@@ -39,14 +39,28 @@ class LoadedFiles:
     files: DataFrame
 
 
+def with_required_columns(inspected: DataFrame) -> DataFrame:
+    """Inspected files, with an error for those that lack a column every measurement needs."""
+    names = F.transform(F.from_json("columns", "array<array<string>>"), lambda column: column[0])
+    missing = [
+        F.when(~F.arrays_overlap(names, F.array(*map(F.lit, MEASUREMENT_NAMES[name]))), name)
+        for name in (*MEASUREMENT_KEY, "pollutant_code")
+    ]
+    text = F.concat(F.lit("no column for "), F.array_join(F.array_compact(F.array(*missing)), ", "))
+    lacking = F.when(F.size(F.array_compact(F.array(*missing))) > 0, text)
+    return inspected.withColumn("error", F.coalesce("error", F.when(F.col("is_parquet"), lacking)))
+
+
 def read_files(spark: SparkSession, listing: DataFrame) -> LoadedFiles:
     """Read every usable file of a listing (``path, length``) and go on past bad ones.
 
     ``files`` has ``path, measurements, dropped, error``. A file fails as a whole if its footer
     or pages are damaged, or if a time, sampling point or pollutant cannot be read; its counts
-    are then NULL. Rows that lack one of the three are left out and counted as ``dropped``.
+    are then NULL. So does a file without a column for one of the three, or with a known column of
+    a kind that cannot be read. Rows that lack one of the three are left out and counted as
+    ``dropped``; a file with rows of which none is left has failed as well.
     """
-    inspected = stage(inspect_files(listing), "footers")
+    inspected = stage(with_required_columns(inspect_files(listing)), "footers")
     raws = read_inspected(spark, inspected, tolerant=True)
     counts = [count_losses(raw) for raw in raws]
     kind = "file_path string, read bigint, dropped bigint, unreadable bigint, touched bigint"
@@ -60,6 +74,10 @@ def read_files(spark: SparkSession, listing: DataFrame) -> LoadedFiles:
             F.col("unreadable") > 0,
             F.format_string("%d rows with an unreadable time, sampling point or pollutant", "unreadable"),
         ),
+        F.when(
+            (read > 0) & (F.coalesce("dropped", F.lit(0)) == read),
+            F.format_string("none of %d rows has a time, sampling point and pollutant", read),
+        ),
     )
     files = stage(
         inspected.join(counted.withColumnRenamed("file_path", "path"), "path", "left")

@@ -58,7 +58,7 @@ def _spark_type(field: pa.Field, physical: str | None) -> str | None:
         return "timestamp" if kind.tz else "timestamp_ntz"
     if pa.types.is_boolean(kind):
         return "boolean"
-    if pa.types.is_integer(kind):
+    if pa.types.is_integer(kind) or pa.types.is_null(kind):  # a column without any value has no kind
         return "bigint"
     if pa.types.is_floating(kind):
         return "double"
@@ -125,7 +125,11 @@ def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     types = [
                         (f.name, _spark_type(f, physical.get(f.name))) for f in footer.schema_arrow
                     ]
-                record["columns"] = json.dumps([t for t in types if t[1] and t[0] in _KNOWN])
+                known = [t for t in types if t[0] in _KNOWN]
+                record["columns"] = json.dumps([t for t in known if t[1]])
+                if odd := [name for name, kind in known if not kind]:
+                    kinds = ", ".join(f"{n} ({footer.schema_arrow.field(n).type})" for n in odd)
+                    raise TypeError(f"columns of a kind that cannot be read: {kinds}")
             except Exception as problem:  # noqa: BLE001 - a bad file is a result here
                 record["error"] = f"{type(problem).__name__}: {problem}"
             found.append(record)
@@ -136,7 +140,8 @@ def inspect_files(files: DataFrame) -> DataFrame:
     """Check magic bytes and read the schema of each listed file.
 
     ``files`` has ``path, length``. Adds ``is_parquet``, ``rows``, ``columns`` (JSON of the
-    known raw columns with their Spark types) and ``error`` (NULL for a usable file).
+    known raw columns with their Spark types) and ``error`` (NULL for a usable file). A known column
+    of a kind that cannot be read is an error; columns of other names are not looked at.
     """
     ship_package(files.sparkSession)
     return files.select("path", "length").mapInArrow(_read_footers, _FOOTERS)

@@ -236,3 +236,27 @@ def test_storage_report_without_compaction(spark, store, tmp_path):
     report = maintenance.storage_report(maintenance.chunk_files(store), notes).first()
     assert (report["compression_ratio"], report["space_saved_percentage"]) == (1.0, 0.0)
     assert report["uncompacted_size"] == report["compacted_size"] == report["table_size"]
+
+
+def test_files_that_give_nothing_stay(spark, store, tmp_path):
+    """A missing or odd column, or no whole row: an error for the file, and the file is kept."""
+    folder = tmp_path / "in"
+    write(folder / "good.parquet", minimal(1))
+    whole = minimal(2)
+    names = {c: c for c in whole.columns} if hasattr(whole, "columns") else {}
+    point = next(c for c in names if c.lower() == "samplingpoint")
+    value = next(c for c in names if c in ("Value", "Concentration"))
+    write(folder / "short.parquet", whole.drop(columns=[point]))
+    write(folder / "odd.parquet", whole.assign(**{value: [[1.0]] * len(whole)}))
+    write(folder / "none.parquet", whole.assign(**{point: [None] * len(whole)}))
+    write(folder / "nothing.parquet", whole.head(0))
+    result = read_files(spark, list_files(spark, str(folder)))
+    found = {r["path"].rsplit("/", 1)[1]: r for r in result.files.collect()}
+    assert found["good.parquet"]["error"] is None and found["nothing.parquet"]["error"] is None
+    assert found["nothing.parquet"]["measurements"] == 0
+    assert "no column for sampling_point_id" in found["short.parquet"]["error"]
+    assert value in found["odd.parquet"]["error"] and "none of" in found["none.parquet"]["error"]
+    assert found["none.parquet"]["measurements"] is None
+    store.copy(result.measurements)
+    remove_loaded(spark, result.files)
+    assert {p.name for p in folder.glob("*.parquet")} == {"short.parquet", "odd.parquet", "none.parquet"}
