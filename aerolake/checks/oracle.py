@@ -457,6 +457,9 @@ _SQL = {
     "latest_by_sampling_point": f"""
         SELECT {MEASURED} FROM fx_measurements
         QUALIFY row_number() OVER (PARTITION BY sampling_point_id ORDER BY time DESC) <= 5""",
+    "store_latest_by_sampling_point": f"""
+        SELECT {MEASURED} FROM fx_measurements
+        QUALIFY row_number() OVER (PARTITION BY sampling_point_id ORDER BY time DESC) <= 5""",
     "latest_of_one": f"""
         SELECT {MEASURED} FROM fx_measurements WHERE sampling_point_id = {FIRST_POINT} ORDER BY time DESC LIMIT 5""",
     "latest_overall": f"SELECT {MEASURED} FROM fx_measurements ORDER BY time DESC, sampling_point_id LIMIT 10",

@@ -910,6 +910,12 @@ def latest_by_sampling_point(fx):
     return _measured(slices.latest_by_sampling_point(fx.measurements, limit=5))
 
 
+@query
+def store_latest_by_sampling_point(fx):
+    store = _store(fx, fx.measurements)
+    return _measured(store.latest_by_sampling_point(fx.sampling_points, limit=5))
+
+
 @query
 def latest_of_one(fx):
     return _measured(slices.latest_of(fx.measurements, _first_point(fx), limit=5))

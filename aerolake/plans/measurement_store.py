@@ -15,13 +15,20 @@ from pyspark.sql import types as T
 from aerolake.functions.copytext import copy_line
 from aerolake.functions.times import as_utc, instant
 from aerolake.operators.keys import insert_conflicts
-from aerolake.operators.slices import in_period, late_rows, latest_of, latest_overall
+from aerolake.operators.slices import (
+    in_period,
+    late_rows,
+    latest_by_sampling_point,
+    latest_of,
+    latest_overall,
+)
 from aerolake.plans.tables import (
     check_partition_column,
     drop_dates,
     partition_dates,
     read_dates,
     read_table,
+    stage,
     staged,
     write_dates,
 )
@@ -154,6 +161,35 @@ class MeasurementStore:
         own = F.col("sampling_point_id") == F.lit(sampling_point_id)
         return latest_of(self._newest(lambda rows: rows.filter(own), limit), sampling_point_id, limit)
 
+    def latest_by_sampling_point(self, points: DataFrame, limit: int = 100) -> DataFrame:
+        """Newest ``limit`` rows of every sampling point of ``points``, newest chunks first.
+
+        Chunks are walked in rounds of one, two, four and so on. A round reads rows of the points
+        that are still short, keeps their newest, and those that have enough leave the walk, which
+        ends when none is short. So points that report daily cost a few chunks, and only a point
+        with fewer rows than ``limit`` leads back to the first chunk.
+        """
+        if limit < 1:
+            return self._read_chunks(set())
+        chunks = sorted(self.chunks(), reverse=True)
+        short = stage(
+            points.select("sampling_point_id", F.lit(0).cast("bigint").alias("held")).distinct(), "short-points"
+        )
+        found: list[DataFrame] = []
+        start, size = 0, 1
+        while start < len(chunks) and not short.isEmpty():
+            rows = self._read_chunks(set(chunks[start : start + size]))
+            wanted = rows.join(short.select("sampling_point_id"), "sampling_point_id", "left_semi")
+            found.append(stage(latest_by_sampling_point(wanted, limit), "newest-rows"))
+            new = found[-1].groupBy("sampling_point_id").agg(F.count("*").alias("new"))
+            held = (F.col("held") + F.coalesce("new", F.lit(0))).alias("held")
+            counted = short.join(new, "sampling_point_id", "left").select("sampling_point_id", held)
+            short = stage(counted.filter(F.col("held") < limit), "short-points")
+            start, size = start + size, 2 * size
+        every = reduce(DataFrame.unionByName, found, self._read_chunks(set()))
+        # a later round may have found more than a point lacked
+        return latest_by_sampling_point(every, limit)
+
     def late_rows(self, now: datetime, start_offset_days: int = 30) -> DataFrame:
         """``slices.late_rows`` over the chunks before the horizon alone."""
         horizon = datetime.combine(

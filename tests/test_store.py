@@ -227,3 +227,38 @@ def test_wide_chunks(spark, tmp_path):
     assert store.read().count() == 240 - 73
     with pytest.raises(ValueError, match="chunk_7d"):
         MeasurementStore(spark, store.path)
+
+
+def test_newest_of_every_point_reads_few_chunks(spark, store, monkeypatch):
+    """Daily points are done after the newest chunks; a point that stopped leads further back."""
+    hours = spark.range(24 * 16).select(
+        F.timestamp_seconds(F.col("id") * 3600 + 1_704_067_200).alias("time"), F.lit(8).alias("pollutant_code")
+    )
+    daily = hours.withColumn("sampling_point_id", F.explode(F.array(F.lit("A"), F.lit("B"))))
+    stopped = hours.filter("time < '2024-01-13'").withColumn("sampling_point_id", F.lit("C"))
+    rare = hours.filter("time < '2024-01-01 02:00:00'").withColumn("sampling_point_id", F.lit("D"))
+    every = daily.unionByName(stopped).unionByName(rare)
+    store.insert(every)
+    asked = []
+    read = type(store)._read_chunks
+    monkeypatch.setattr(type(store), "_read_chunks", lambda self, chunks: asked.append(len(chunks)) or read(self, chunks))
+
+    def newest(ids, limit):
+        asked.clear()
+        points = spark.createDataFrame([(i,) for i in ids], "sampling_point_id string")
+        rows = store.latest_by_sampling_point(points, limit).select("sampling_point_id", "time").collect()
+        want = {
+            (r[0], r[1])
+            for i in ids
+            for r in every.filter(F.col("sampling_point_id") == i).orderBy(F.desc("time")).limit(limit)
+            .select("sampling_point_id", "time").collect()
+        }
+        assert len(rows) == len(want) and {tuple(r) for r in rows} == want
+        return [n for n in asked if n]
+
+    assert newest("AB", 24) == [1]
+    assert newest("AB", 30) == [1, 2]
+    assert newest("ABC", 5) == [1, 2, 4]
+    assert newest("ABCD", 3) == [1, 2, 4, 8, 1]
+    assert newest("Z", 3) == [1, 2, 4, 8, 1]
+    assert store.latest_by_sampling_point(spark.createDataFrame([], "sampling_point_id string"), 3).count() == 0
