@@ -15,19 +15,26 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from datetime import datetime  # noqa: E402
+from datetime import date, datetime  # noqa: E402
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from aerolake import prepare  # noqa: E402
 from aerolake.fixtures import Fixtures  # noqa: E402
 from aerolake.operators import aggregates, extract, joins, ledger, slices  # noqa: E402
 from aerolake.plans.daily_table import DailyTable  # noqa: E402
+from aerolake.plans.load import load_manifest  # noqa: E402
 from aerolake.plans.maintenance import compact_old_partitions  # noqa: E402
 from aerolake.plans.measurement_store import MeasurementStore, copy_text  # noqa: E402
+from aerolake.plans.point_days import PointDayTable  # noqa: E402
 from aerolake.session import work_dir  # noqa: E402
-from aerolake.sources.parquet_files import measurements_of, read_measurement_files  # noqa: E402
+from aerolake.sources.parquet_files import (  # noqa: E402
+    list_files,
+    measurements_of,
+    read_measurement_files,
+)
+from aerolake.streaming.ingest import file_stream, stream_ingest  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -87,6 +94,15 @@ def run_all(
     by_day = fresh(1)  # the default layout: one partition a day
     timed("bulk_copy_daily_chunks", lambda: by_day.copy(january))
 
+    # whole loads, with their checks and ledgers
+    listing = list_files(spark, raw_path, pattern="*.parquet")
+    name = F.element_at(F.split("path", "/"), -1)
+    urls = listing.select(F.concat(F.lit("https://host/"), name).alias("url"))
+    urls = urls.withColumn("position", F.row_number().over(Window.orderBy("url")) - 1)
+    timed("load_manifest", lambda: load_manifest(spark, fresh(sparse), urls, listing, "bench", upsert=True).count())
+    arriving, checkpoint = file_stream(spark, raw_path), work_dir(spark, "stream")
+    timed("stream_ingest", lambda: stream_ingest(arriving, fresh(sparse), checkpoint).awaitTermination())
+
     # the mapped events: dimensions as stored tables
     store = fresh(1)
     store.insert(fx.measurements)
@@ -103,6 +119,10 @@ def run_all(
     timed("refresh_daily_full", lambda: daily.refresh(store, points))
     window = (datetime(2024, 1, 10), datetime(2024, 1, 12))
     timed("refresh_daily_window", lambda: daily.refresh(store, points, *window))
+    kept = PointDayTable(spark, work_dir(spark, "point-days"))
+    timed("point_days_append", lambda: kept.append(facts, 0))
+    span = {date(2024, 1, 10), date(2024, 1, 11)}
+    timed("refresh_daily_from_points", lambda: daily.refresh_from(kept, points, span))
     timed("daily_status", lambda: aggregates.daily_status(daily.read()).collect())
     timed("data_quality", lambda: aggregates.data_quality(facts).collect())
     timed(
