@@ -9,9 +9,11 @@ Queries travel in groups and blocks in chunks. Each group first searches the chu
 bounds; the k-th scores found there decide which other chunks a group needs at all.
 
 Defined results: vectors that are null or hold null or non-finite components, and rows with a null
-id, take no part; of rows with one id the smallest vector counts; shorter vectors count as padded
-with zeros; components beyond 64 bits saturate, and so do scores. Other columns are ignored. An
-empty table or no query gives no rows.
+id, take no part. Every other row is a candidate of every query but those with its own id, so an id
+that rows share can be found once for each of them, identical rows included; queries that share an
+id share one ranking, of all their scores. Shorter vectors count as padded with zeros; components
+beyond 64 bits saturate, and so do scores. Other columns are ignored. An empty table or no query
+gives no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolake.llm.common import batch_of, in_batches
@@ -226,12 +228,12 @@ def top_k(
     cells = F.transform(value, lambda x: F.floor(scale * x.cast("double")).cast("bigint"))
     sound = vectors.filter(F.col(key).isNotNull() & F.col(value).isNotNull()).filter(finite)
     whole = sound.select(F.col(key).cast("bigint").alias("vec_id"), cells.alias("cells"))
-    rows = stage(whole.groupBy("vec_id").agg(F.min("cells").alias("cells")), "topk-rows")
+    rows = stage(whole, "topk-rows")
     dim = rows.agg(F.max(F.size("cells"))).first()[0] or 0
     spark = vectors.sparkSession
     if not dim:
         return spark.createDataFrame([], RESULT)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
+    sample = rows.orderBy(F.xxhash64("vec_id", "cells"), "vec_id", "cells").limit(PIVOTS).collect()
     pivots = np.zeros((len(sample), dim))
     for place, row in enumerate(sample):
         pivots[place, : len(row["cells"])] = row["cells"]
@@ -241,7 +243,9 @@ def top_k(
     )
 
     def blocks(frame: DataFrame, most: int) -> DataFrame:
-        laid = frame.repartitionByRange("pivot", "vec_id").sortWithinPartitions("pivot", "vec_id")
+        # the hash parts rows that share an id
+        order = ["pivot", "vec_id", F.xxhash64("cells")]
+        laid = frame.repartitionByRange(*order).sortWithinPartitions(*order)
         return in_batches(
             laid.select("vec_id", "cells"), partial(_block_up, dim=dim, most=most), _CHUNKS
         )
@@ -298,18 +302,10 @@ def top_k(
     )
     rest = bounded(floored).filter("needed").join(home, ["group", "chunk"], "left_anti")
     both = first.unionByName(searched(floored, rest))
-    # at most k rows for each query and chunk reach the ranking
-    ranked = both.groupBy("query_id").agg(
-        F.slice(
-            F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("low"), "vec_id", "score"))), 1, k
-        ).alias("best")
-    )
-    return ranked.select("query_id", F.posexplode("best").alias("at", "x")).select(
-        "query_id",
-        (F.col("at") + 1).cast("int").alias("rank"),
-        F.col("x.vec_id").alias("vec_id"),
-        F.col("x.score").alias("score"),
-    )
+    # ranks above k are cut before the shuffle
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    ranked = both.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def _spread(batches: Iterator[pa.RecordBatch]):
