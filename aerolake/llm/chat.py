@@ -4,6 +4,11 @@ Turns are written with a template. Prefix sums of turn tokens choose which new t
 takes; it starts with the system turn and a limited number of tokens of history. Assistant text
 is a target only where its turn is new, so the mask holds each target once.
 
+The system turn is the first one of that role, wherever it stands: every window after its own
+starts with it, whatever its length. Where it takes more than half the budget, the other turns of a
+window still get half of it, and the window is marked ``over_budget``. Later system turns are turns
+like any other.
+
 Defined results: null text is empty, a null role stays null, a null conversation id is a
 conversation of its own. Rows are ordered by turn (null first), then role and text, so ties and
 repeated rows have one order. A turn that alone exceeds the budget gets a window of its own.
@@ -99,12 +104,13 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield from zip(*(column.to_pylist() for column in batch.columns))
 
 
-def _windows_of(turns: Iterator[tuple], conv_id, encoding, budget: int, history: int):
+def _windows_of(turns: Iterator[tuple], conv_id, budget: int, history: int):
     """Windows of one conversation, reading its turns one by one.
 
-    Held in memory: the open window (at most the budget, or one turn) and the history.
+    Held in memory: the open window (at most the budget, or one turn), the system turn and the
+    history. ``turns`` are (role, text, tokens of the turn in the template).
     """
-    system = None
+    system = None  # once its own window is closed
     past: deque = deque()  # turns before the window, newest last, at most ``history`` tokens
     past_tokens = number = 0
     new: list = []
@@ -112,7 +118,7 @@ def _windows_of(turns: Iterator[tuple], conv_id, encoding, budget: int, history:
 
     def close():
         nonlocal number
-        context = ([system] if system and number else []) + used
+        context = ([system] if system else []) + used
         pieces, spans, at = [], [], 0
         for place, turn in enumerate(context + new):
             if place >= len(context) and turn[0] == "assistant":
@@ -125,18 +131,19 @@ def _windows_of(turns: Iterator[tuple], conv_id, encoding, budget: int, history:
         return row
 
     def room() -> int:
-        kept = system[4] if system and number else 0
-        return budget - kept - sum(turn[4] for turn in used)
+        kept = system[4] if system else 0
+        return max(budget - kept, budget // 2) - sum(turn[4] for turn in used)
 
     used: list = []
-    for position, (role, text) in enumerate(turns):
+    for role, text, tokens in turns:
         piece, start, end = render(role, text)
-        tokens = len(encoding.encode_ordinary(piece))
         turn = (role, piece, start, end, tokens)
         if new and new_tokens + tokens > room():
             yield close()
             for old in new:
-                if old is not system:
+                if system is None and old[0] == "system":
+                    system = old
+                else:
                     past.append(old)
                     past_tokens += old[4]
             while past and past_tokens > history:
@@ -144,18 +151,25 @@ def _windows_of(turns: Iterator[tuple], conv_id, encoding, budget: int, history:
             new, new_tokens, used = [], 0, list(past)
             while used and tokens > room():
                 used.pop(0)
-        if position == 0 and role == "system" and 2 * tokens <= budget:
-            system = turn
         new.append(turn)
         new_tokens += tokens
     if new:
         yield close()
 
 
-def _format(batches, vocabulary: str, budget: int, history: int):
+def _counted(batches: Iterator[pa.RecordBatch], vocabulary: str):
+    """Rows with the number of tokens of their turn in the template."""
+    encoding = _encoding(vocabulary)
+    for batch in batches:
+        turns = zip(batch.column("role").to_pylist(), batch.column("text").to_pylist())
+        tokens = [len(encoding.encode_ordinary(render(*turn)[0])) for turn in turns]
+        columns = [*batch.columns, pa.array(tokens, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "tokens"])
+
+
+def _format(batches, budget: int, history: int):
     from itertools import groupby
 
-    encoding = _encoding(vocabulary)
     names = [part.split()[0] for part in WINDOWS.split(", ")]
     kinds = [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(),
              pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
@@ -166,8 +180,8 @@ def _format(batches, vocabulary: str, budget: int, history: int):
         return batch_of({n: (list(v), k) for n, v, k in zip(names, zip(*out), kinds)})
 
     for conv_id, rows in groupby(_rows(batches), key=lambda row: row[0]):
-        turns = ((role, text) for _, role, text in rows)
-        for window in _windows_of(turns, conv_id, encoding, budget, history):
+        turns = (row[1:] for row in rows)
+        for window in _windows_of(turns, conv_id, budget, history):
             out.append(window)
             size += len(window[2])
             if size > 4_000_000:
@@ -182,19 +196,20 @@ def format_chats(
 ) -> DataFrame:
     """Windows (``WINDOWS``) of conversations with conv_id, turn, role, text.
 
-    ``vocabulary`` is a rank file. Conversations are dealt by id and read turn by turn in order,
-    so a task holds one window and its history, however long a conversation is.
+    ``vocabulary`` is a rank file. Turns are tokenised where they are read, then dealt by
+    conversation and read in order, so a task holds one window and its history and only adds up
+    counts, however long a conversation is.
     """
     text = F.coalesce("text", F.lit(""))
     rows = conversations.select(F.col("conv_id").cast("bigint"), "turn", "role", text.alias("text"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    counted = in_batches(rows, partial(_counted, vocabulary=vocabulary), f"{kinds}, tokens bigint")
     ordered = (
-        rows.repartition("conv_id")
+        counted.repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "text")
-        .select("conv_id", "role", "text")
-    )
-    return in_batches(
-        ordered, partial(_format, vocabulary=vocabulary, budget=budget, history=history), WINDOWS
+        .select("conv_id", "role", "text", "tokens")
     )
+    return in_batches(ordered, partial(_format, budget=budget, history=history), WINDOWS)
 
 
 DIGESTS = (
