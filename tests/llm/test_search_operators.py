@@ -13,17 +13,18 @@ from aerolake.llm import chat, html_text, licenses, ngram_join, topk
 
 
 def brute_top_k(vectors, k):
-    cells = {}
-    for key, value in vectors:
-        if key is not None and value and all(x is not None and np.isfinite(x) for x in value):
-            whole = [int(np.floor(256 * x)) for x in value]
-            cells[key] = min(whole, cells.get(key, whole))
-    out = set()
-    for q in cells:
+    cells = [
+        (key, [int(np.floor(256 * x)) for x in value])
+        for key, value in vectors
+        if key is not None and value and all(x is not None and np.isfinite(x) for x in value)
+    ]
+    scored = {}
+    for q, asked in cells:
         if q % 5 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(cells[q], cells[c])), c) for c in cells if c != q)
-            out |= {(q, i + 1, c, -s) for i, (s, c) in enumerate(scored[:k])}
-    return out
+            scored.setdefault(q, []).extend(
+                (-sum(a * b for a, b in zip(asked, held)), c) for c, held in cells if c != q
+            )
+    return Counter((q, i + 1, c, -s) for q, own in scored.items() for i, (s, c) in enumerate(sorted(own)[:k]))
 
 
 @pytest.mark.parametrize("scale", [1.0, 1e6])
@@ -39,7 +40,20 @@ def test_top_k_is_exact(spark, monkeypatch, scale):
         [(*r, "x", 1.0) for r in rows], "vec_id bigint, embedding array<double>, rank string, score double"
     )
     out = topk.top_k(frame, F.col("vec_id") % 5 == 0)
-    assert {tuple(r) for r in out.collect()} == brute_top_k(rows, 5)
+    assert Counter(tuple(r) for r in out.collect()) == brute_top_k(rows, 5)
+
+
+def test_top_k_keeps_every_row_of_an_id(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CHUNK", 30)
+    monkeypatch.setattr(topk, "GROUP", 4)
+    rng = np.random.default_rng(2)
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [9.0, 0.0])]
+    # a third of the rows share an id that is asked for, another id has equal rows
+    rows += [(i % 40 if i % 3 else 10, [float(x) for x in rng.normal(size=2)]) for i in range(240)]
+    rows += [(7, [3.0, 3.0])] * 9 + [(20, [3.0, 2.0])] * 9
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(6)
+    out = Counter(tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 5 == 0).collect())
+    assert out == brute_top_k(rows, 5) and (0, 1, 1, 9 * 256 * 256) in out
 
 
 def test_top_k_of_little(spark):
@@ -224,6 +238,36 @@ def test_chat_windows(spark):
     assert chat.format_chats(frame.limit(0), public_tokenizers.path("byte_bpe_50k.tiktoken")).count() == 0
 
 
+def test_system_turns_stay(spark):
+    import public_tokenizers
+
+    rng = random.Random(8)
+    spoken = [(t, "assistant" if t % 2 else "user", words(rng, 40)) for t in range(3, 30)]
+    asked = {
+        1: [(0, "system", words(rng, 1500)), *spoken],  # beyond the budget
+        2: [(0, "system", words(rng, 110)), *spoken],  # over half of it
+        3: [(1, "user", "hi"), (2, "system", "be kind"), *spoken, (40, "system", "be brief"), (41, "user", "so?")],
+        4: [(None, None, None), (0, "system", "first"), *spoken],
+    }
+    rows = [(conv, *turn) for conv, turns in asked.items() for turn in turns]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(3)
+    windows = chat.format_chats(frame, public_tokenizers.path("byte_bpe_50k.tiktoken"), 300, 100)
+    seen, new = dict.fromkeys(asked, False), {conv: [] for conv in asked}
+    for w in windows.orderBy("conv_id", "window").collect():
+        turns = chat.parse(w.text)
+        system = next((role, text) for _, role, text in asked[w.conv_id] if role == "system")
+        assert not seen[w.conv_id] or turns[0] == system
+        assert turns.count(system) <= 1 and w.over_budget == (w.n_tokens > 300)
+        seen[w.conv_id] |= system in turns
+        new[w.conv_id] += turns[w.n_context:]
+    assert all(seen.values())
+    assert new == {conv: [(role, text or "") for _, role, text in turns] for conv, turns in asked.items()}
+    back = {r.conv_id: r for r in chat.read_back(windows).collect()}
+    for conv, turns in asked.items():
+        loss = "".join(text for _, role, text in turns if role == "assistant")
+        assert back[conv].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
 def test_entry_has_every_operator():
     import __spark_entry__ as entry
 

@@ -184,6 +184,25 @@ def test_mixing_places_every_document(spark):
         mixing.mix(docs, {"a": 0.0})
 
 
+@pytest.mark.parametrize("weights", [None, {"s0": 3.0, "s7": 1.0, "elsewhere": 9.0}])
+def test_mixing_of_more_sources_than_entries(spark, weights):
+    rng = random.Random(9)
+    rows = [(i, "t" * rng.randrange(1, 60), f"s{i % 2100}") for i in range(4000)]
+    rows += [(10_000 + i, "t" * 500, "s0") for i in range(2000)]  # a third of the rows in one source
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    out = mixing.mix(docs, weights, block=200).collect()
+    assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
+    assert len({r.source for r in out}) == 2100
+    large = [r for r in out if r.source == "s0"]
+    assert sorted(r.place for r in large)[0] == 0 and len({r.place for r in large}) == len(large)
+    owner = {}  # a slot of a source of its own holds no other source
+    for r in out:
+        owner.setdefault(r.slot, set()).add(r.source)
+    assert all(len(names) == 1 for names in owner.values() if "s0" in names)
+    # within a slot, places tell the documents apart
+    assert len({(r.slot, r.place) for r in out}) == len(out)
+
+
 def plain_spans(text):
     def luhn(digits):
         doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
