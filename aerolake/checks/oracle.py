@@ -511,6 +511,7 @@ _SQL = {
         SELECT CAST(time AS DATE) AS day, count(*) AS rows FROM fx_measurements
         WHERE CAST(time AS DATE) < DATE '2024-01-06' GROUP BY 1""",
     "ingest_ledger": "SELECT * FROM fx_current",
+    "ingest_ledger_snapshot": "SELECT * FROM fx_current",
     "batch_duration": """
         SELECT job_id, batch_no, round((epoch_us(ended_at) - epoch_us(started_at)) / 1000000.0::DOUBLE, 6) AS duration_seconds
         FROM fx_batch_states""",

@@ -20,8 +20,9 @@ from aerolake.operators.extract import (
 from aerolake.operators.harmonise import count_losses
 from aerolake.operators.ledger import BATCH_SIZE, COMPLETED, FAILED, PENDING, RUNNING
 from aerolake.plans.dimension_tables import DimensionTable
+from aerolake.plans.ledger_table import LedgerTable
 from aerolake.plans.measurement_store import MeasurementStore
-from aerolake.plans.tables import delete_file, read_table, stage, staged
+from aerolake.plans.tables import delete_file, read_table, stage, staged, staging
 from aerolake.schemas import LEDGER, MEASUREMENT_KEY, MEASUREMENT_NAMES
 from aerolake.sources.manifest import local_copies
 from aerolake.sources.station_extract import read_station_extract
@@ -155,7 +156,7 @@ def load_manifest(
     job_id: str,
     upsert: bool = False,
     batch_size: int = BATCH_SIZE,
-    ledger_path: str | None = None,
+    ledger_path: str | LedgerTable | None = None,
     clock: Callable[[], datetime] = utc_now,
     stations: DimensionTable | None = None,
     sampling_points: DimensionTable | None = None,
@@ -166,13 +167,16 @@ def load_manifest(
     manifest wins an upsert. A file that is damaged, or whose keys an append cannot take, fails
     alone, and so does a URL with no copy or with several. With dimension tables, new stations
     and sampling points are written before the measurements. With ``ledger_path`` the events
-    pending, running and completed or failed are appended to that ledger as they occur; every
-    URL gets a final event, even if the load breaks off, which then raises.
+    pending, running and completed or failed are appended to that ledger (a folder of events or a
+    ``LedgerTable``) as they occur; every URL gets a final event, even if the load breaks off,
+    which then raises. Of its intermediate tables only the returned one stays.
     """
     created = clock()
 
     def note(events: DataFrame) -> None:
-        if ledger_path:
+        if isinstance(ledger_path, LedgerTable):
+            ledger_path.append(events)
+        elif ledger_path:
             append_events(events, ledger_path)
 
     note(ledger_events(manifest, job_id, PENDING, created, created, batch_size))
@@ -189,20 +193,22 @@ def load_manifest(
             .withColumns({"ended_at": instant(ended), "event_time": instant(ended)})
             .select(*LEDGER.names),
             "events",
+            kept=True,
         )
         note(final)
         return final
 
     urls = manifest.select("url").distinct()
-    try:
-        outcome = _load_copies(
-            spark, store, manifest, listing, upsert, stations, sampling_points, created
-        )
-    except Exception as problem:
-        text = f"the load broke off: {type(problem).__name__}: {problem}"
-        finish(urls.select("url", F.lit(None).cast("bigint").alias("measurements"), F.lit(text).alias("error")))
-        raise
-    return finish(outcome)
+    with staging(spark):
+        try:
+            outcome = _load_copies(
+                spark, store, manifest, listing, upsert, stations, sampling_points, created
+            )
+        except Exception as problem:
+            text = f"the load broke off: {type(problem).__name__}: {problem}"
+            finish(urls.select("url", F.lit(None).cast("bigint").alias("measurements"), F.lit(text).alias("error")))
+            raise
+        return finish(outcome)
 
 
 def _load_copies(
@@ -302,7 +308,7 @@ def load_extract(
     first_errors: int = 100,
 ) -> dict[str, object]:
     """Load a station extract: stations, then their sampling points; returns totals and errors."""
-    with staged(read_station_extract(spark, path), "extract") as extract:
+    with staging(spark), staged(read_station_extract(spark, path), "extract") as extract:
         found_stations = stations_from_extract(extract, countries)
         found_points = sampling_points_from_extract(extract, countries, pollutants)
         station_changes = stations.upsert(found_stations, now)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from datetime import date
 
 from py4j.protocol import Py4JJavaError
@@ -12,6 +13,9 @@ from pyspark.sql import types as T
 
 from aerolake.session import work_dir
 
+# the folders staged by the open scopes of this thread, the innermost last
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("staging scopes", default=())
+
 
 def _filesystem(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -51,6 +55,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in filesystem.listStatus(hadoop_path)]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    filesystem, hadoop_path = _filesystem(spark, path)
+    filesystem.mkdirs(hadoop_path)
+
+
 def drop_folders(spark: SparkSession, paths: Iterable[str]) -> None:
     """Remove folders of a table, in the order given."""
     for path in paths:
@@ -108,20 +117,46 @@ def _write_aside(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def stage(frame: DataFrame, label: str) -> DataFrame:
+def stage(frame: DataFrame, label: str, kept: bool = False) -> DataFrame:
     """Write to the shared working folder and read back.
 
     Cuts lineage with a table that survives lost executors, and makes sure that whatever is
-    derived next sees one fixed result.
+    derived next sees one fixed result. Inside ``staging`` the copy goes with the block; a
+    ``kept`` one outlives that block and belongs to the one around it, if there is one.
+    """
+    path = work_dir(frame.sparkSession, label)
+    owners = _scopes.get()[:-1] if kept else _scopes.get()
+    if owners:
+        owners[-1].append(path)
+    return _write_aside(frame, path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Owns what ``stage`` writes inside the block: the copies are deleted at its end.
+
+    Frames that read them must have been written or counted by then. Also after a failure.
     """
-    return _write_aside(frame, work_dir(frame.sparkSession, label))
+    paths: list[str] = []
+    token = _scopes.set((*_scopes.get(), paths))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        drop_folders(spark, paths)
 
 
 @contextmanager
-def staged(frame: DataFrame, label: str) -> Iterator[DataFrame]:
-    """``stage`` for the length of a block; after a failure the copy is kept."""
+def staged(frame: DataFrame, label: str, precious: bool = False) -> Iterator[DataFrame]:
+    """``stage`` for the length of a block.
+
+    After a failure the copy goes with the ``staging`` block around it; without one, or if it is
+    ``precious``, it is kept.
+    """
     spark = frame.sparkSession
     path = work_dir(spark, label)
+    if _scopes.get() and not precious:
+        _scopes.get()[-1].append(path)
     yield _write_aside(frame, path)
     filesystem, hadoop_path = _filesystem(spark, path)
     filesystem.delete(hadoop_path, True)
@@ -132,7 +167,7 @@ def replace_table(frame: DataFrame, path: str) -> None:
 
     The staged copy is complete before the old files go, so a failure never loses both.
     """
-    with staged(frame, "replace") as copy:
+    with staged(frame, "replace", precious=True) as copy:
         copy.write.mode("overwrite").parquet(path)
 
 

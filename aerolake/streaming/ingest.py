@@ -11,7 +11,7 @@ from aerolake.plans.daily_table import DailyTable
 from aerolake.plans.dimension_tables import DimensionTable
 from aerolake.plans.load import read_files, remove_loaded, upsert_entities
 from aerolake.plans.measurement_store import MeasurementStore
-from aerolake.plans.tables import staged
+from aerolake.plans.tables import staged, staging
 
 _FILE_ORDER = ["file_path", "row_index"]
 _LISTED = "path string, modificationTime timestamp, length bigint, content binary"
@@ -51,6 +51,7 @@ def stream_ingest(
     new stations and sampling points are written before the measurements. ``trigger`` is that of
     ``DataStreamWriter``; by default the stream ends when all that is there is loaded.
 
+    A micro-batch deletes its intermediate tables when it ends, so a stream may run for ever.
     An upsert of the same rows changes nothing, so a replayed micro-batch is harmless. Late
     rows are as good as timely ones: their day is recomputed whatever its age.
     """
@@ -61,6 +62,10 @@ def stream_ingest(
         raise ValueError("new stations need a sampling-point table beside them")
 
     def load(listing: DataFrame, _: int) -> None:
+        with staging(listing.sparkSession):
+            load_files(listing)
+
+    def load_files(listing: DataFrame) -> None:
         spark = listing.sparkSession
         result = read_files(spark, listing)
         if stations is not None:
