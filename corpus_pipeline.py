@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and gets what its predecessor wrote; all but the last
 return the columns of documents.
+
+Defined results: null texts are scored, compared, placed and packed as empty ones and stay null
+until then. A null id counts as an id of its own, after all others. Repeated rows and equal texts are one
+near-duplicate class, of which the smallest id stays, so null and empty texts leave one document.
+A null source is the source with an empty name. Texts are taken whole, however long. Other columns
+are left out, whatever their names. Without documents every stage gives no rows.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from pyspark.sql import functions as F
 
 from aerolake.llm import mixing, ngram_join, packing, pii, toxicity
 from aerolake.llm.common import table
-from aerolake.plans.tables import stage
+from aerolake.plans.tables import stage, staging
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -85,9 +91,16 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _written(spark: SparkSession, sf_dir: str, count: int) -> DataFrame:
+    """What the first ``count`` stages keep. Whatever a stage read or staged goes once it is written."""
+    if not count:
+        return table(spark, sf_dir, "documents")
+    name, function = STAGES[count - 1]
+    with staging(spark):
+        docs = _written(spark, sf_dir, count - 1)
+        return stage(function(spark, docs, sf_dir), f"pipeline-{name}", kept=True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written before the next reads it."""
-    docs = table(spark, sf_dir, "documents")
-    for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return STAGES[-1][1](spark, _written(spark, sf_dir, len(STAGES) - 1), sf_dir)

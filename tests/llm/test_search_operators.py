@@ -1,6 +1,7 @@
 """Top-k search, page text, joins, licenses, chats, entry and pipeline."""
 
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -334,3 +335,46 @@ def test_sequences_follow_the_mixture(spark, tmp_path, monkeypatch):
         for source, share in (("a", 4 / 7), ("b", 2 / 7), ("c", 1 / 7)):
             assert abs(have[source] / len(part) - share) < 0.07
     assert set(order[1500:]) == {"a"}
+
+
+def test_pipeline_of_awkward_documents(spark, tmp_path):
+    import corpus_pipeline
+    from pipeline_corpus import toxic_corpus
+
+    _, labels, folder = toxic_corpus(spark, str(tmp_path / "learn"))
+    names = "block place slot row component text_id _text_id pieces sequence_id".split()
+    docs = spark.createDataFrame(awkward_docs(), DOCS).withColumns({n: F.lit("x") for n in names})
+    for given in (docs, docs.limit(0), docs.withColumn("source", F.lit(None).cast("string"))):
+        frame, seen = given, {}
+        for number, (name, function) in enumerate(corpus_pipeline.STAGES):
+            frame = function(spark, frame, folder)
+            path = f"{tmp_path}/{name}-{len(os.listdir(tmp_path))}-{number}"
+            frame.write.parquet(path)
+            frame = seen[name] = spark.read.parquet(path)
+        if given.limit(1).count() == 0:
+            assert all(kept.count() == 0 for kept in seen.values())
+            continue
+        rows = {name: seen[name].collect() for name in ("near_duplicates", "mixing", "packing")}
+        clean = {r.doc_id for r in seen["toxicity"].collect()}
+        assert clean == {r.doc_id for r in given.collect()}  # nothing toxic here
+        # 0 to 2 have no words of their own, 5 has copies and 90, None is the row without an id
+        kept = [r.doc_id for r in rows["near_duplicates"]]
+        assert len(kept) == len(set(kept)) and {3, 4, 5, 6, 7, 91, None} <= set(kept) and 90 not in kept
+        assert Counter(kept) == Counter(r.doc_id for r in rows["mixing"])
+        longest = {r.doc_id: len(r.text or "") for r in rows["mixing"]}
+        assert longest[91] == 100_000 and longest[6] > 100_000
+        assert {p.doc_id for r in rows["packing"] for p in r.pieces} == set(kept)
+
+
+def test_pipeline_keeps_no_stage_behind(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+    from aerolake.plans import tables
+    from pipeline_corpus import toxic_corpus
+
+    _, _, folder = toxic_corpus(spark, str(tmp_path / "learn"))
+    monkeypatch.setattr(tables, "work_dir", lambda _, label, made=[]: made.append(0) or f"{tmp_path}/work/{label}-{len(made)}")
+    out = corpus_pipeline.run(spark, folder)
+    assert out.count()
+    left = [name.rsplit("-", 1)[0] for name in os.listdir(tmp_path / "work")]
+    assert [name for name in left if name.startswith("pipeline")] == ["pipeline-mixing"]
+    assert not [name for name in left if name.startswith(("mixing", "join", "ngram", "topk"))]
