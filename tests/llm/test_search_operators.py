@@ -102,6 +102,89 @@ def test_repeated_plain_blocks_go(spark):
     assert out[9] == bar  # alone on its host
 
 
+def brute_repeated(pages, run, least):
+    """Plain blocks that go, by comparing every run of every page with all others."""
+    shown, shorts = {}, {}
+    for content, blocks in pages:
+        stretch = []
+        for block in [*blocks, {"kind": html_text.MAIN, "text": ""}]:
+            if block["kind"] == html_text.MAIN:
+                for i in range(len(stretch) - run + 1):
+                    shown.setdefault(tuple(stretch[i : i + run]), set()).add(content)
+                stretch = []
+            else:
+                stretch += block["text"].split(" ")
+                shorts.setdefault(block["text"], set()).add(content)
+    out = []
+    for content, blocks in pages:
+        gone, stretch = set(), []
+        for place, block in enumerate([*blocks, {"kind": html_text.MAIN, "text": ""}]):
+            if block["kind"] != html_text.MAIN:
+                stretch += [(word, place) for word in block["text"].split(" ")]
+                continue
+            said = [word for word, _ in stretch]
+            covered = set()
+            for i in range(len(said) - run + 1):
+                if len(shown[tuple(said[i : i + run])]) >= least:
+                    covered.update(range(i, i + run))
+            for own in {p for _, p in stretch}:
+                at = [i for i, (_, p) in enumerate(stretch) if p == own]
+                whole = len(at) < run and len(shorts[blocks[own]["text"]]) >= least
+                if blocks[own]["kind"] == html_text.PLAIN and (
+                    whole or sum(i in covered for i in at) >= 0.9 * len(at)
+                ):
+                    gone.add(own)
+            stretch = []
+        out.append(gone)
+    return out
+
+
+def some_pages(rng, count):
+    bars = [words(rng, n) for n in (3, 9, 20, 40, 17)]
+    for _ in range(count):
+        kinds = [html_text.CHROME, html_text.PLAIN, html_text.PLAIN, html_text.MAIN]
+        blocks = []
+        for _ in range(rng.randrange(6)):
+            kind = rng.choice(kinds)
+            text = rng.choice([*bars, words(rng, rng.randrange(1, 30)), bars[3] + " " + words(rng, 3)])
+            blocks.append({"kind": kind, "text": "" if kind == html_text.MAIN else text})
+        yield blocks
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_repeated_blocks_equal_brute_force(seed):
+    rng = random.Random(seed)
+    pages = [(i % 11, blocks) for i, blocks in enumerate(some_pages(rng, 14))]
+    want = brute_repeated(pages, 16, 3)
+    assert html_text.repeated_blocks(pages, 16, 3) == want
+    assert any(want) or seed
+    # by shards: what they tell, summed, gives the same
+    told = {}
+    for shard in range(4):
+        for key, content in html_text.shard_runs(pages[shard::4], 16, 3):
+            told.setdefault(key, set()).add(content)
+    known = {key for key, own in told.items() if len(own) >= 3}
+    for shard in range(4):
+        assert html_text.repeated_blocks(pages[shard::4], 16, 3, known) == want[shard::4]
+
+
+def test_host_size_leaves_texts_alone(spark):
+    rng = random.Random(4)
+    bar, rare = words(rng, 30), words(rng, 25)
+    rows = []
+    for i in range(120):
+        parts = [bar] * (i % 2) + [rare] * (i in (3, 50, 97)) + [words(rng, 20, 9999)]
+        rows.append((i, "http://h/x", "".join(f"<div>{p}</div>" for p in parts)))
+    rows += [(200, "http://h/x", f"<nav>{bar}</nav><article>{rare}</article>"), (3, *rows[3][1:])]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    whole = Counter(map(tuple, html_text.main_text(frame).collect()))
+    dealt = Counter(map(tuple, html_text.main_text(frame, shard_words=300).collect()))
+    assert whole == dealt and sum(whole.values()) == len(rows)
+    texts = {row[0]: row[2] for row in whole}
+    assert texts[200] == rare
+    assert all(bar not in texts[i] and rare not in texts[i] and texts[i] for i in range(120))
+
+
 def test_suffix_ranks_equal_sorting():
     rng = np.random.default_rng(3)
     tokens = rng.integers(0, 3, 300)
