@@ -2,13 +2,14 @@
 
 Texts and license templates become sets of five-word shingles of lower-case words. For each length
 of a template, overlapping windows of that many shingles are taken from every text, at steps of an
-eighth of it. MinHash bands of windows and templates retrieve candidates, and the shingles around
-a candidate window decide: a match holds at least 80 % of the template's shingles.
+eighth of it. MinHash bands of windows and templates retrieve candidates, and the shingles of the
+whole text decide: a match holds at least 80 % of the template's shingles, in one place or in many.
 
-A window can only collide with a template if a smallest hash of it is one of the template's, so
-texts without any of those few shingles are left out before windows are made; this drops no
-candidate. Bands are set so that a window that holds a template at the worst alignment collides
-with a probability of at least ``recall``.
+A band is one MinHash. If a text holds 80 % of the n shingles of a template, a band retrieves it
+with a probability of at least 0.4: some shingle of the text is smallest of the template and of the
+at most n other shingles in a window that holds it. So the number of bands follows from ``recall``,
+however the notice is scattered. A window can only collide if one of its shingles is a smallest of
+a template; windows without any of those few are left out, which drops no candidate.
 
 Defined results: null and empty texts match nothing; a template of fewer than five words is one
 shingle of all its words and needs a text of those words alone; repeated rows are scanned each,
@@ -55,8 +56,6 @@ TEMPLATES = {
 SHINGLE = 5
 CONTAINMENT = 0.8
 _GAP = "[^\\p{L}\\p{N}]+"
-#: Constants of the hash functions: the smallest of hash XOR constant is a MinHash.
-_HASHES = 64
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -64,15 +63,9 @@ def template_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def band_settings(similarity: float, recall: float, rows: int = 2) -> tuple[int, int]:
-    """(bands, rows) with which sets of this similarity collide with at least this probability."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows)), rows
-
-
-def worst_similarity(size: int, step: int) -> float:
-    """Jaccard of a template and the best aligned window that holds 80 % of it."""
-    kept = CONTAINMENT * size - step / 2
-    return max(kept / (2 * size - kept), 0.3)
+def band_count(recall: float) -> int:
+    """Bands of one MinHash that retrieve a match with at least this probability."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - CONTAINMENT / 2))
 
 
 def _shingles(words: Column) -> Column:
@@ -100,19 +93,21 @@ def shingled(texts: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _constants() -> list[int]:
-    """Signed 64-bit constants from a fixed linear congruential sequence."""
+def _constants(count: int) -> list[int]:
+    """Signed 64-bit constants from a fixed linear congruential sequence.
+
+    The smallest of hash XOR constant is a MinHash.
+    """
     value, out = 88172645463325252, []
-    for _ in range(_HASHES):
+    for _ in range(count):
         value = (value * 6364136223846793005 + 1442695040888963407) % 2**64
         out.append(value - 2**63)
     return out
 
 
 def _smallest(window: Column, constant: int) -> Column:
-    """The shingle of a window that is smallest after XOR with a constant."""
-    moved = F.transform(window, lambda h: h.bitwiseXOR(F.lit(constant)))
-    return F.array_min(moved).bitwiseXOR(F.lit(constant))
+    """The smallest shingle of a window after XOR with a constant."""
+    return F.array_min(F.transform(window, lambda h: h.bitwiseXOR(F.lit(constant))))
 
 
 def templates_table(spark: SparkSession, templates: dict[str, list[str]] | None = None) -> DataFrame:
@@ -129,73 +124,76 @@ def templates_table(spark: SparkSession, templates: dict[str, list[str]] | None
     ).withColumn("size", F.size("shingles"))
 
 
-def _bands(window: Column, bands: int, rows: int) -> Column:
-    constants = _constants()
-    keys = []
-    for band in range(bands):
-        part = constants[band * rows : (band + 1) * rows]
-        keys.append(F.xxhash64(F.lit(band), *[_smallest(window, c) for c in part]))
-    return F.array(*keys)
+def _bands(size: Column, window: Column, bands: int) -> Column:
+    return F.array(
+        *[F.xxhash64(size, F.lit(i), _smallest(window, c)) for i, c in enumerate(_constants(bands))]
+    )
+
+
+def _windows(shingles: Column, sizes: list[int], marked: Column) -> Column:
+    """Array of (size, at, window) for the given sizes, of windows with a marked shingle."""
+
+    def of_size(size: Column) -> Column:
+        last = F.greatest(F.size(shingles) - size + 1, F.lit(1))
+        steps = F.sequence(F.lit(1), last, F.greatest(F.floor(size / 8).cast("int"), F.lit(1)))
+        return F.transform(  # the last window ends with the text
+            F.array_union(steps, F.array(last)),
+            lambda at: F.struct(size.alias("size"), at.alias("at"), F.slice(shingles, at, size).alias("window")),
+        )
+
+    made = F.flatten(F.transform(F.array(*[F.lit(s) for s in sizes]), of_size))
+    return F.filter(made, lambda w: F.arrays_overlap(w["window"], marked))
 
 
 def scan(
-    docs: DataFrame, templates: dict[str, list[str]] | None = None, recall: float = 0.999
+    docs: DataFrame, templates: dict[str, list[str]] | None = None, recall: float = 0.999999
 ) -> DataFrame:
-    """doc_id, license, containment and first_shingle of every match of every text."""
+    """doc_id, license, containment and first_shingle of every match of every text.
+
+    ``containment`` is that of the best of a license's templates, ``first_shingle`` the place of
+    the first window that retrieved one.
+    """
     spark = docs.sparkSession
     known = templates_table(spark, templates).collect()  # fixed and small
+    if not known:
+        return spark.createDataFrame([], "doc_id bigint, license string, containment double, first_shingle int")
+    bands = band_count(recall)
     texts = shingled(docs.select("doc_id", "text"), "doc_id")
     # shingles that are a smallest hash of some template
-    constants = _constants()
-    marks = set()
-    for row in known:
-        for constant in constants:
-            marks.add(min(row["shingles"], key=lambda h: h ^ constant))
+    marks = {min(row["shingles"], key=lambda h: h ^ c) for row in known for c in _constants(bands)}
     marked = F.array(*[F.lit(m) for m in sorted(marks)])
     near = stage(
         texts.filter(F.coalesce(F.arrays_overlap("shingles", marked), F.lit(False))), "licenses"
     )
-    found = None
-    for size in sorted({row["size"] for row in known}):
-        step = max(size // 8, 1)
-        bands, rows = band_settings(worst_similarity(size, step), recall)
-        bands = min(bands, _HASHES // rows)
-        starts = F.sequence(
-            F.lit(1), F.greatest(F.size("shingles") - size + 1, F.lit(1)), F.lit(step)
-        )
-        # the last window ends with the text
-        last = F.greatest(F.size("shingles") - size + 1, F.lit(1))
-        windows = near.select(
-            "doc_id", "_row", "shingles",
-            F.explode(F.array_distinct(F.concat(starts, F.array(last)))).alias("at"),
-        ).withColumn("window", F.slice("shingles", F.col("at"), size))
-        touched = windows.filter(F.arrays_overlap("window", marked))
-        keyed = touched.select(
-            "doc_id", "_row", "at",
-            F.slice("shingles", F.greatest(F.col("at") - size // 4 - step, F.lit(1)), size + size // 2 + 2 * step)
-            .alias("around"),
-            F.explode(_bands(F.col("window"), bands, rows)).alias("band"),
-        )
-        own = [row for row in known if row["size"] == size]
-        wanted = spark.createDataFrame(
-            [(r["license"], r["template"], r["shingles"]) for r in own],
-            "license string, template int, wanted array<bigint>",
-        )
-        wanted = wanted.select("*", F.explode(_bands(F.col("wanted"), bands, rows)).alias("band"))
-        part = keyed.join(F.broadcast(wanted), "band").select(  # templates times bands
-            "doc_id", "_row", "license", "at",
-            (F.size(F.array_intersect("wanted", "around")) / F.size("wanted")).alias("containment"),
-        )
-        part = part.filter(F.col("containment") >= CONTAINMENT)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], "doc_id bigint, license string, containment double, first_shingle int")
+    sizes = sorted({row["size"] for row in known})
+    windows = near.select("_row", F.explode(_windows(F.col("shingles"), sizes, marked)).alias("w"))
+    keyed = windows.select(
+        "_row", "w.at", F.explode(_bands(F.col("w.size"), F.col("w.window"), bands)).alias("band")
+    )
+    wanted = spark.createDataFrame(
+        [(r["license"], r["template"], r["size"], r["shingles"]) for r in known],
+        "license string, template int, size int, wanted array<bigint>",
+    )
+    keys = wanted.select(
+        "license", "template", F.explode(_bands(F.col("size"), F.col("wanted"), bands)).alias("band")
+    )
+    retrieved = (
+        keyed.join(F.broadcast(keys), "band")  # templates times bands
+        .groupBy("_row", "license", "template")
+        .agg(F.min("at").alias("first_shingle"))
+    )
+    held = (
+        near.join(retrieved, "_row")
+        .join(F.broadcast(wanted), ["license", "template"])  # templates
+        .withColumn("containment", F.size(F.array_intersect("wanted", "shingles")) / F.size("wanted"))
+        .filter(F.col("containment") >= CONTAINMENT)
+    )
     return (
-        found.groupBy("_row", "license")
+        held.groupBy("_row", "license")
         .agg(
             F.first("doc_id").alias("doc_id"),
             F.max("containment").alias("containment"),
-            F.min("at").alias("first_shingle"),
+            F.min("first_shingle").alias("first_shingle"),
         )
         .select("doc_id", "license", "containment", "first_shingle")
     )

@@ -281,6 +281,32 @@ def test_licenses(spark):
     assert licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_scattered_licenses_and_one_scan(spark, capsys):
+    rng = random.Random(15)
+    said = licenses.TEMPLATES["MIT-notice"][0].split()
+    rows = []
+    for i in range(30):  # one break by many words, then shingles that stand alone
+        at = rng.randrange(6, len(said) - 6)
+        rows.append((i, " ".join([words(rng, 40), *said[:at], words(rng, 200), *said[at:], words(rng, 90)])))
+        runs = [" ".join(said[k : k + 5]) for k in range(len(said) - 4)]
+        rng.shuffle(runs)
+        kept = runs[: len(runs) - len(runs) // 5 + (i % 2) - 1]
+        rows.append((100 + i, " ".join(f"{run} {words(rng, 30)}" for run in kept)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {}
+    shingles = {tuple(w.lower().strip('(),".') for w in said[k : k + 5]) for k in range(len(said) - 4)}
+    for key, text in rows:
+        own = [w.strip('(),".') for w in text.lower().split()]
+        share = len(shingles & {tuple(own[k : k + 5]) for k in range(len(own) - 4)}) / len(shingles)
+        if share >= 0.8:
+            want[key] = share
+    scanned = licenses.scan(docs)
+    scanned.explain("simple")
+    assert capsys.readouterr().out.count("Generate explode") == 3  # windows, bands, bands of templates
+    out = {r.doc_id: r.containment for r in scanned.collect() if r.license == "MIT-notice"}
+    assert out == pytest.approx(want) and 30 < len(want) <= 60
+
+
 def test_escapes_are_reversible():
     rng = random.Random(6)
     pieces = ["\\", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[TURN]", "<", "s>", " ", "a", "\n", "["]
