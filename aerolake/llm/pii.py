@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
@@ -173,12 +174,22 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
         found.append((match.start(), match.end(), "number", False))
     for match in _NAME.finditer(text):
         found.append((match.start(), match.end(), "name", False))
-    taken = [(start, end) for _, start, end in base]
+    # disjoint spans in order, by their starts and their ends
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted((start, end) for _, start, end in base):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
     out = []
     for start, end, kind, keyed in sorted(set(found), key=lambda f: (not f[3], f[0] - f[1], f[0], f[2])):
-        if any(start < b and a < end for a, b in taken):
+        place = bisect_left(starts, end)
+        if place and ends[place - 1] > start:
             continue
-        taken.append((start, end))
+        starts.insert(place, start)
+        ends.insert(place, end)
         value = text[start:end]
         votes = votes_of(kind, value, text[max(0, start - 60) : start].split(), text[end + 1 : end + 30], keyed)
         shape = [min(len(value) // 8, 4), int(_entropy(value) >= 3.0), int(value.isdigit())]
