@@ -34,7 +34,6 @@ from aerolake.llm.common import WORD_GAP, in_batches
 from aerolake.plans.tables import stage
 
 MAX_LABELLED = 6000  # of each class, for the lexicon and for the regression
-MAX_TERMS = 3000  # of words and of beginnings
 LEAST_RATIO = 25.0  # likelihood ratio statistic of a term
 LEAST_WEIGHT = 2.0  # log likelihood ratio of a term
 COMMON = 2  # clean documents that make a word one of its own, not a misspelling
@@ -318,6 +317,8 @@ def _weight(n_toxic: int, n_clean: int) -> F.Column:
 
 
 def _terms(counted: DataFrame, n_toxic: int, n_clean: int, least_words: int) -> dict[str, float]:
+    """All significant terms. They come from at most ``2 * MAX_LABELLED`` texts, and a term needs
+    several of them to be significant, so the sample bounds their number."""
     toxic, clean = F.col("toxic"), F.col("clean")
     weight = _weight(n_toxic, n_clean)
     ratio = _ratio(toxic, clean, n_toxic, n_clean)
@@ -325,8 +326,7 @@ def _terms(counted: DataFrame, n_toxic: int, n_clean: int, least_words: int) ->
         counted.select("term", "n_terms", weight.alias("weight"), ratio.alias("ratio"))
         .filter((F.col("ratio") >= LEAST_RATIO) & (F.col("weight") >= LEAST_WEIGHT))
         .filter(F.col("n_terms") >= least_words)
-        .orderBy(F.desc("ratio"), "term")
-        .limit(MAX_TERMS)
+        .orderBy("term")
         .collect()
     )
     return {row["term"]: row["weight"] for row in rows}
@@ -341,7 +341,12 @@ def _near(batches: Iterator[pa.RecordBatch], terms: dict[str, float]):
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """A model of ``labels`` (doc_id, toxic), which are all used for learning."""
+    """A model of ``labels`` (doc_id, toxic), which may all be used for learning.
+
+    It learns from at most ``MAX_LABELLED`` documents of each class for the lexicon and as many for
+    the regression. An id with several labels is toxic if one says so, one with several texts
+    gives the smallest.
+    """
     truth = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # two thirds for the lexicon, the rest for the regression, so it sees the lexicon's mistakes
     part = F.when(F.pmod(F.xxhash64("doc_id"), F.lit(3)) < 2, "lexicon").otherwise("regression")
@@ -354,7 +359,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
             chosen = one if chosen is None else chosen.unionByName(one)
     chosen = stage(chosen, "toxicity-labels")
     known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 4 MAX_LABELLED
-    known = stage(known.dropDuplicates(["doc_id"]), "toxicity-sample")
+    single = known.groupBy("doc_id", "part", "toxic").agg(F.min("text").alias("text"))
+    known = stage(single, "toxicity-sample")
     sizes = {(r["part"], r["toxic"]): r["count"] for r in known.groupBy("part", "toxic").count().collect()}
     n = [sum(v for (_, t), v in sizes.items() if t == toxic) for toxic in (0, 1)]
     share = n[1] / (n[0] + n[1]) if sum(n) else 0.0
