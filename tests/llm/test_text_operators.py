@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -236,6 +237,26 @@ def test_base_spans_equal_the_patterns():
         assert pii.base_spans(text) == plain_spans(text), text
 
 
+def test_candidates_overlap_nothing():
+    rng = random.Random(9)
+    marks = ["4012 8888 8888 1881", "+49 171 2345678", "a.b@c.example", "password: h7Gk29LmQ0zX", "Dr. Anna Berg",
+             "778812345", "10.2.3.4", "Q7w8E9r0T1y2U3i4O5p6", "word"]
+    for _ in range(200):
+        text = "".join(rng.choice(marks) + rng.choice([" ", "", "-", " +"]) for _ in range(rng.randrange(12)))
+        base = pii.base_spans(text)
+        out = pii.candidates(text, base)
+        spans = sorted((c["start"], c["end"]) for c in out)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+        assert not any(a < end and start < b for a, b in spans for _, start, end in base)
+
+
+def test_many_numbers_in_a_text():
+    text = " und ".join(str(778800000 + i) for i in range(100_000))  # a space alone would join two
+    begun = time.process_time()
+    assert len(pii.candidates(text, [])) == 100_000
+    assert time.process_time() - begun < 60  # minutes if each were compared with all others
+
+
 def test_pii_adds_secrets_only(spark):
     rows = awkward_docs()
     secrets = [f"so AKIA{'ABCDEFGH2345JKLM'[i:] + 'ABCDEFGH2345JKLM'[:i]} it goes" for i in range(12)]
@@ -349,3 +370,15 @@ def test_toxicity_without_labels(spark):
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id bigint, toxic int"))
     assert {r.score for r in toxicity.with_score(docs, model).collect()} == {0.0}
     assert toxicity.with_score(docs.limit(0), model).count() == 0
+
+
+def test_lexicon_is_whole_and_repeated_ids_are_defined(spark):
+    rows, labels = [], []
+    bad = [f"zq{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}x" for i in range(3200)]
+    for i in range(120):
+        rows.append((i, " ".join(bad) if i % 2 else "calm plain words"))
+        labels.append((i, i % 2))
+    rows.append((0, "aaa calm"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    assert set(bad) <= set(model.words)  # more than 3000
