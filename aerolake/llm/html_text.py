@@ -1,16 +1,27 @@
-"""Main text of web pages: page structure, and a suffix array over the pages of a host.
+"""Main text of web pages: page structure, and suffix arrays over the pages of a host.
 
 Each page becomes a stream of blocks of three kinds: main (inside the article or main element),
 chrome (menus, headers, footers, sidebars, notices, adverts, forms, comments) and plain (neither).
-A page that marks its article has that as its text. On other pages the plain blocks are the text,
-without the boilerplate: what lies outside articles on a host's pages is concatenated, and a suffix
-array, sorted to the length of the shortest run looked for, finds runs that distinct pages repeat.
-Plain blocks covered by such runs go, unique ones stay (``n_cut`` counts the words that went).
+The main blocks are the text, of pages without any the plain ones, in both cases without the
+boilerplate that suffix arrays find: the words of a host's pages are concatenated and sorted to the
+length of the shortest run looked for, what lies outside articles in one stream, articles in another.
 
-A host with many words outside articles is dealt into shards, each with its own suffix array.
-Shards tell which of their runs which pages show, Spark counts the pages of each run over all shards
-of the host, and the shards get those back that enough pages show. So a page's text depends on the
-other pages of its host, but not on how they are dealt.
+* Outside articles, a run that distinct pages repeat is boilerplate, and plain blocks covered by such
+  runs go.
+* Articles quote each other and are copied, so a run in them is boilerplate only if distinct pages
+  repeat it and at least half of the host's articles show it. Main blocks that such runs cover wholly
+  go, unless they are most of an article: that is a copy of another one.
+
+Unique blocks stay (``n_cut`` counts the words that went).
+
+A host with many words is dealt into shards, each with its own suffix arrays. Outside articles, shards
+tell which of their runs which pages show, Spark counts the pages of each run over all shards of the
+host, and the shards get those back that enough pages show. In articles, a run that half of a host's
+articles show is shown by half of those of some shard: these few are counted in all shards. So a page's
+text depends on the other pages of its host, but not on how they are dealt.
+
+Pages are parsed twice rather than stored: for the runs, and for the texts. The second time only hosts
+with something to decide are shuffled: with a page that marks no article, or with such runs in articles.
 
 Defined results: null or empty html gives an empty text; a null url is a host of its own; repeated
 rows are pages of their own and do not count as distinct pages if their blocks are the same. Other
@@ -24,12 +35,13 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import groupby
+from itertools import groupby, islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +50,7 @@ from aerolake.plans.tables import stage
 
 CHROME, MAIN, PLAIN = 0, 1, 2
 SHARD_WORDS = 500_000
+WORD_CHARS = 6  # of html for each word, at least
 MOST_BROADCAST = 50_000  # hosts, some 5 MB
 
 _TAG = re.compile(
@@ -153,45 +166,39 @@ def blocks_of(page: str | None) -> list[tuple[int, str]]:
     return out
 
 
-_BLOCKS = "array<struct<kind:int,text:string>>"
-_BLOCK_TYPE = pa.list_(pa.struct([("kind", pa.int32()), ("text", pa.string())]))
-_PARSED = f"content bigint, n_words bigint, text string, blocks {_BLOCKS}"
+def content_of(blocks: list[tuple[int, str]]) -> int:
+    """Equal for pages with the same blocks."""
+    return xxhash.xxh3_64_intdigest("\n".join(t for _, t in blocks).encode()) - 2**63
 
 
-def page_parts(page: str | None) -> dict:
-    """What is known of a page by itself.
-
-    ``text`` is null if the page marks no article, so that its plain blocks decide. ``blocks`` are
-    those outside articles, with an empty main block where an article lay between.
-    """
-    blocks = blocks_of(page)
-    outside: list[dict] = []
-    for kind, text in blocks:
-        if kind != MAIN:
-            outside.append({"kind": kind, "text": text})
-        elif outside and outside[-1]["kind"] != MAIN:
-            outside.append({"kind": MAIN, "text": ""})
-    open_text = any(kind == PLAIN for kind, _ in blocks)
-    return {
-        "content": xxhash.xxh3_64_intdigest("\n".join(t for _, t in blocks).encode()) - 2**63,
-        "n_words": sum(b["text"].count(" ") + 1 for b in outside if b["text"]),
-        "text": None if open_text else "\n".join(t for k, t in blocks if k == MAIN),
-        "blocks": outside,
-    }
+def _unpacked(raw: bytes) -> list[dict]:
+    lines = zstandard.decompress(raw).decode()
+    return [{"kind": int(line[0]), "text": line[1:]} for line in lines.split("\n")] if lines else []
 
 
 def _parse(batches: Iterator[pa.RecordBatch]):
+    """Pages with ``content`` and packed blocks instead of html; no block holds a line end."""
+    pack = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         columns = dict(zip(batch.schema.names, batch.columns))
-        parts = [page_parts(page) for page in columns.pop("html").to_pylist()]
-        kinds = (pa.int64(), pa.int64(), pa.string(), _BLOCK_TYPE)
+        pages = [blocks_of(page) for page in columns.pop("html").to_pylist()]
+        packed = [pack("\n".join([f"{k}{t}" for k, t in blocks]).encode()) for blocks in pages]
         parsed = {
-            name: ([p[name] for p in parts], kind)
-            for name, kind in zip(("content", "n_words", "text", "blocks"), kinds)
+            "content": ([content_of(blocks) for blocks in pages], pa.int64()),
+            "packed": (packed, pa.binary()),
         }
         yield batch_of({n: (c, None) for n, c in columns.items()} | parsed)
 
 
+def _articles(batches: Iterator[pa.RecordBatch]):
+    """Texts of pages all of whose main blocks stay."""
+    for batch in batches:
+        columns = dict(zip(batch.schema.names, batch.columns))
+        pages = [blocks_of(page) for page in columns.pop("html").to_pylist()]
+        texts = ["\n".join([t for k, t in blocks if k == MAIN]) for blocks in pages]
+        yield batch_of({n: (c, None) for n, c in columns.items()} | {"text": (texts, pa.string())})
+
+
 def suffix_ranks(tokens: np.ndarray, depth: int) -> tuple[np.ndarray, int]:
     """Rank of every suffix by its first tokens, by prefix doubling up to ``depth`` tokens.
 
@@ -234,19 +241,31 @@ class Streams:
     def starts(self) -> np.ndarray:
         return np.concatenate(([0], np.cumsum(self.sizes)[:-1]))
 
-    def run_pages(self) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct pairs (rank, content of a page) of all runs, in order."""
+    @property
+    def pages(self) -> np.ndarray:
+        return np.array([page for page, _ in self.places])
+
+    def run_pages(self, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct pairs (rank, content of a page) of all runs, in order.
+
+        ``of`` takes the place of the content of each block.
+        """
         ranks = self.ranks[self.inside]
-        contents = np.repeat(self.contents, self.sizes)[self.inside]
+        contents = np.repeat(self.contents if of is None else of, self.sizes)[self.inside]
         order = np.lexsort((contents, ranks))
         ranks, contents = ranks[order], contents[order]
         new = np.ones(len(ranks), bool)
         new[1:] = (np.diff(ranks) != 0) | (contents[1:] != contents[:-1])
         return ranks[new], contents[new]
 
-    def run_keys(self) -> dict[int, bytes]:
-        """The same key for the same run in every shard, by rank."""
+    def run_keys(self, wanted: np.ndarray | None = None) -> dict[int, bytes]:
+        """The same key for the same run in every shard, by rank; of the wanted ranks or all."""
         ranks, first = np.unique(np.where(self.inside, self.ranks, -1), return_index=True)
+        if wanted is not None:
+            asked = np.isin(ranks, wanted)
+            ranks, first = ranks[asked], first[asked]
+        if not len(ranks):
+            return {}
         words = self.words.to_pylist()
         return {
             rank: xxhash.xxh3_128_digest(" ".join(words[at : at + self.length]).encode())
@@ -254,10 +273,11 @@ class Streams:
             if rank >= 0
         }
 
-    def short_pages(self) -> dict[str, set[int]]:
+    def short_pages(self, of: np.ndarray | None = None) -> dict[str, set[int]]:
         """The pages of each block shorter than a run, which counts by its whole text."""
         out: dict[str, set[int]] = {}
-        for text, content, size in zip(self.texts, self.contents.tolist(), self.sizes):
+        numbers = (self.contents if of is None else of).tolist()
+        for text, content, size in zip(self.texts, numbers, self.sizes):
             if size < self.length:
                 out.setdefault(text, set()).add(content)
         return out
@@ -267,14 +287,16 @@ def _short_key(text: str) -> bytes:
     return xxhash.xxh3_128_digest(f"\n{text}".encode())
 
 
-def streams_of(pages: list[tuple[int, list[dict]]], run: int) -> Streams | None:
-    """Streams of (content, blocks) of pages; None without words."""
+def streams_of(
+    pages: list[tuple[int, list[dict]]], run: int, articles: bool = False
+) -> Streams | None:
+    """Streams of (content, blocks) of pages, outside or inside articles; None without words."""
     texts, kinds, places, contents, parts = [], [], [], [], []
     part = 0
     for page, (content, blocks) in enumerate(pages):
         part += 1
         for place, block in enumerate(blocks):
-            if block["kind"] == MAIN:
+            if (block["kind"] == MAIN) != articles:
                 part += 1
                 continue
             texts.append(block["text"])
@@ -355,49 +377,159 @@ def repeated_blocks(
     return gone
 
 
+def shared_in_articles(
+    pages: list[tuple[int, list[dict]]], run: int, least: int, known: set[bytes] | None = None
+) -> tuple[int, list[tuple[bytes, int, list[int]]]]:
+    """Number of articles; (key, articles, distinct pages) of the runs and short blocks in them.
+
+    Of those in ``known``, without it of those that at least half of the articles show. Of the
+    distinct pages ``least`` are enough to know that so many of the host do.
+    """
+    streams = streams_of(pages, run, articles=True)
+    if streams is None:
+        return 0, []
+    numbers = streams.pages
+    total = len(np.unique(numbers))
+    ranks, shown = streams.run_pages(numbers)
+    counts = np.bincount(ranks, minlength=int(streams.ranks.max()) + 1)
+    contents = {page: content for page, content in zip(numbers.tolist(), streams.contents.tolist())}
+
+    def distinct(own) -> list[int]:
+        return sorted({contents[page] for page in own})[:least]
+
+    out = []
+    wanted = None if known is not None else np.flatnonzero((counts > 0) & (2 * counts >= total))
+    for rank, key in streams.run_keys(wanted).items():
+        if known is None or key in known:
+            first = np.searchsorted(ranks, rank)
+            own = shown[first : first + counts[rank]].tolist()
+            out.append((key, len(own), distinct(own)))
+    for text, own in streams.short_pages(numbers).items():
+        if 2 * len(own) >= total if known is None else _short_key(text) in known:
+            out.append((_short_key(text), len(own), distinct(own)))
+    return total, out
+
+
+def repeated_in_articles(
+    pages: list[tuple[int, list[dict]]], run: int, least: int, known: set[bytes] | None = None
+) -> list[set[int]]:
+    """For each page the places of its main blocks that are boilerplate by repetition.
+
+    ``known`` holds the keys that enough articles of the host show; without it these are all of them.
+    """
+    gone: list[set[int]] = [set() for _ in pages]
+    if known is None:
+        _, shared = shared_in_articles(pages, run, least)
+        known = {key for key, _, own in shared if len(own) >= least}
+    streams = streams_of(pages, run, articles=True) if known else None
+    if streams is None:
+        return gone
+    often = np.zeros(int(streams.ranks.max()) + 1, bool)
+    for rank, key in streams.run_keys().items():
+        often[rank] = key in known
+    covered = _covered(streams.inside & often[streams.ranks], streams.length)
+    counts = np.add.reduceat(covered, streams.starts, dtype=np.int64)
+    words, cut = [0] * len(pages), [0] * len(pages)
+    for block, (page, place) in enumerate(streams.places):
+        size = int(streams.sizes[block])
+        words[page] += size
+        if counts[block] == size or (
+            size < streams.length and _short_key(streams.texts[block]) in known
+        ):
+            gone[page].add(place)
+            cut[page] += size
+    return [places if 2 * n <= all_ else set() for places, n, all_ in zip(gone, cut, words)]
+
+
 def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[dict]]]:
     rows = (row for batch in batches for row in batch.to_pylist())
     for (host, _), group in groupby(rows, key=lambda row: (row["host"], row["shard"])):
         yield host, list(group)
 
 
+_TOLD = "host string, shard bigint, kind int, run binary, content bigint"
+_COUNTED = "host string, run binary, n bigint, content bigint"
+_TEXTS = "page_id bigint, url string, text string, n_chars bigint, n_cut bigint"
+_TYPES = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+OUTSIDE, INSIDE, OPEN = 0, 1, 2  # what shards tell: runs outside and in articles, and open hosts
+
+
+def _rows(schema: str, rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    fields = [field.split() for field in schema.split(", ")]
+    while some := list(islice(rows, 20_000)):
+        yield batch_of({name: (list(c), _TYPES[kind]) for (name, kind), c in zip(fields, zip(*some))})
+
+
+def _pages_of(rows: list[dict]) -> list[tuple[int, list[dict]]]:
+    return [(row["content"], _unpacked(row["packed"])) for row in rows]
+
+
+def _undecided(blocks: list[dict]) -> bool:
+    """No article is marked, so the plain blocks are the text."""
+    return any(block["kind"] == PLAIN for block in blocks)
+
+
 def _tell(batches: Iterator[pa.RecordBatch], run: int, least: int):
-    """Runs of shards: (host, shard, run, content)."""
-    for host, rows in _by_shard(batches):
-        pages = [(row["content"], row["blocks"]) for row in rows]
-        told = list(shard_runs(pages, run, least))
-        for at in range(0, len(told), 50_000):
-            some = told[at : at + 50_000]
-            yield batch_of(
-                {
-                    "host": ([host] * len(some), pa.string()),
-                    "shard": ([rows[0]["shard"]] * len(some), pa.int64()),
-                    "run": ([key for key, _ in some], pa.binary()),
-                    "content": ([content for _, content in some], pa.int64()),
-                }
-            )
+    """What shards know (``_TOLD``); of a host that is one shard, only whether it is open."""
+
+    def told() -> Iterator[tuple]:
+        for host, rows in _by_shard(batches):
+            pages = _pages_of(rows)
+            shard = rows[0]["shard"]
+            is_open = any(_undecided(blocks) for _, blocks in pages)
+            if rows[0]["whole"]:
+                is_open = is_open or any(repeated_in_articles(pages, run, least))
+            else:
+                for key, content in shard_runs(pages, run, least):
+                    yield host, shard, OUTSIDE, key, content
+                for key, _, _ in shared_in_articles(pages, run, least)[1]:
+                    yield host, shard, INSIDE, key, None
+            if is_open:
+                yield host, shard, OPEN, None, None
+
+    yield from _rows(_TOLD, told())
+
+
+def _count(batches: Iterator[pa.RecordBatch], run: int, least: int):
+    """How many articles of each shard show the runs asked for, and with no run all articles."""
+
+    def counted() -> Iterator[tuple]:
+        for host, rows in _by_shard(batches):
+            asked = {row["run"] for row in rows if row["run"] is not None}
+            pages = _pages_of([row for row in rows if row["run"] is None])
+            total, shared = shared_in_articles(pages, run, least, asked)
+            yield host, None, total, None
+            for key, n, own in shared:
+                for nth, content in enumerate(own):
+                    yield host, key, 0 if nth else n, content
+
+    yield from _rows(_COUNTED, counted())
 
 
 def _clean(batches: Iterator[pa.RecordBatch], run: int, least: int):
-    """Texts of the pages that mark no article, of shards with the runs known of their host."""
-    for _, rows in _by_shard(batches):
-        pages = [row for row in rows if row["run"] is None]
-        known = {row["run"] for row in rows if row["run"] is not None}
-        gone = repeated_blocks(
-            [(p["content"], p["blocks"]) for p in pages], run, least,
-            None if rows[0]["whole"] else known,
-        )
-        out = []
-        for page, places in zip(pages, gone):
-            if page["undecided"]:
-                plain = [(i, b["text"]) for i, b in enumerate(page["blocks"]) if b["kind"] == PLAIN]
-                text = "\n".join(t for i, t in plain if i not in places)
-                cut = sum(t.count(" ") + 1 for i, t in plain if i in places)
-                out.append((page["page_id"], page["url"], text, len(text), cut))
-        if out:
-            kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
-            names = ("page_id", "url", "text", "n_chars", "n_cut")
-            yield batch_of(dict(zip(names, zip(map(list, zip(*out)), kinds))))
+    """Texts of the pages of open hosts, of shards with the runs known of their host."""
+
+    def texts() -> Iterator[tuple]:
+        for _, rows in _by_shard(batches):
+            known: dict[bool, set[bytes] | None] = {True: set(), False: set()}
+            for row in rows:
+                if row["run"] is not None:
+                    known[row["article"]].add(row["run"])
+            rows = [row for row in rows if row["run"] is None]
+            if rows and rows[0]["whole"]:
+                known = {True: None, False: None}
+            pages = _pages_of(rows)
+            plain = repeated_blocks(pages, run, least, known[False])
+            main = repeated_in_articles(pages, run, least, known[True])
+            for row, (_, blocks), *gone in zip(rows, pages, plain, main):
+                kind = PLAIN if _undecided(blocks) else MAIN
+                gone = gone[0] | gone[1]
+                own = [(i, b["text"]) for i, b in enumerate(blocks) if b["kind"] == kind]
+                text = "\n".join([t for i, t in own if i not in gone])
+                cut = sum(t.count(" ") + 1 for i, t in own if i in gone)
+                yield row["page_id"], row["url"], text, len(text), cut
+
+    yield from _rows(_TEXTS, texts())
 
 
 def main_text(
@@ -405,8 +537,9 @@ def main_text(
 ) -> DataFrame:
     """page_id, url, text, n_chars, n_cut of pages with page_id, url, html.
 
-    Boilerplate is what ``least_pages`` distinct pages of a host show in runs of ``run`` words. A
-    task holds one shard of a host at a time: some ``shard_words`` words outside articles.
+    Boilerplate is what ``least_pages`` distinct pages of a host show in runs of ``run`` words, in
+    articles if half of them do. A task holds one shard of a host at a time: at most some
+    ``shard_words`` words.
     """
     spark = pages.sparkSession
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "^[a-zA-Z]+://([^/?#]*)", 1))
@@ -414,59 +547,75 @@ def main_text(
         F.col("page_id").cast("bigint"), F.col("url").cast("string"),
         F.col("html").cast("string"), host.alias("host"),
     )
-    parsed = stage(
-        in_batches(rows, _parse, f"page_id bigint, url string, host string, {_PARSED}").withColumn(
-            "row", F.monotonically_increasing_id()
-        ),
-        "html-blocks",
+
+    def few(hosts: DataFrame) -> DataFrame:
+        """To be broadcast if they are few, as counted."""
+        return F.broadcast(hosts) if hosts.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else hosts
+
+    shard_chars = WORD_CHARS * shard_words
+    sizes = stage(rows.groupBy("host").agg(F.sum(F.length("html")).alias("n")), "html-sizes")
+    shards = sizes.filter(F.col("n") > shard_chars).select(
+        "host", F.ceil(F.col("n") / shard_chars).alias("n_shards")
     )
-    # only hosts with more words than a shard; few, and counted before they are broadcast
-    shards = stage(
-        parsed.groupBy("host")
-        .agg(F.sum("n_words").alias("n"))
-        .filter(F.col("n") > shard_words)
-        .select("host", F.ceil(F.col("n") / shard_words).alias("n_shards")),
-        "html-shards",
+    parts = max(
+        spark.sparkContext.defaultParallelism, -(-(sizes.agg(F.sum("n")).first()[0] or 0) // shard_chars)
     )
-    if shards.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
-        shards = F.broadcast(shards)
-    words = parsed.agg(F.sum("n_words")).first()[0] or 0
-    parts = max(spark.sparkContext.defaultParallelism, -(-words // shard_words))
-    # by the stored row, so that every reader deals alike and copies of a page spread
-    dealt = parsed.filter(F.size("blocks") > 0).join(shards, "host", "left").select(
+    # by id and url, so that every pass deals alike and copies of a page spread
+    dealt = rows.join(few(shards), "host", "left").select(
         "host",
-        F.pmod(F.xxhash64("row"), F.coalesce("n_shards", F.lit(1))).alias("shard"),
+        F.pmod(F.xxhash64("page_id", "url"), F.coalesce("n_shards", F.lit(1))).alias("shard"),
         F.col("n_shards").isNull().alias("whole"),
-        "page_id", "url", F.col("text").isNull().alias("undecided"), "content", "blocks",
+        "page_id", "url", "html",
     )
 
-    def together(frame: DataFrame) -> DataFrame:
-        return frame.repartition(parts, "host", "shard").sortWithinPartitions("host", "shard")
+    def parsed(frame: DataFrame) -> DataFrame:
+        kinds = ", ".join(f"{n} {k}" for n, k in frame.dtypes if n != "html")
+        return in_batches(frame, _parse, f"{kinds}, content bigint, packed binary")
+
+    def by_shard(frame: DataFrame, function, schema: str) -> DataFrame:
+        together = frame.repartition(parts, "host", "shard").sortWithinPartitions("host", "shard")
+        return in_batches(together, partial(function, run=run, least=least_pages), schema)
+
+    told = stage(by_shard(parsed(dealt.drop("page_id", "url")), _tell, _TOLD), "html-runs")
+    asked = told.filter(F.col("kind") == INSIDE).select("host", "run").distinct()
+
+    def in_all_shards(runs: DataFrame) -> DataFrame:
+        shard = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_shards") - 1))
+        return runs.join(few(shards), "host").select("host", shard.alias("shard"), "run")
+
+    inside = asked
+    if not asked.isEmpty():
+        some = dealt.join(few(asked.select("host").distinct()), "host", "left_semi")
+        shown = parsed(some.drop("page_id", "url")).unionByName(in_all_shards(asked), allowMissingColumns=True)
+        counted = stage(by_shard(shown, _count, _COUNTED), "html-counts")
+        articles = counted.filter("run IS NULL").groupBy("host").agg(F.sum("n").alias("articles"))
+        inside = (
+            counted.filter("run IS NOT NULL").groupBy("host", "run")
+            .agg(F.sum("n").alias("n"), F.countDistinct("content").alias("n_pages"))
+            .join(articles, "host")
+            .filter((2 * F.col("n") >= F.col("articles")) & (F.col("n_pages") >= least_pages))
+            .select("host", "run")
+        )
+    open_hosts = told.filter(F.col("kind") == OPEN).select("host").unionByName(inside.select("host"))
+    open_hosts = stage(open_hosts.distinct(), "html-open")
 
-    told = stage(
-        in_batches(
-            together(dealt.filter("not whole")).select("host", "shard", "content", "blocks"),
-            partial(_tell, run=run, least=least_pages),
-            "host string, shard bigint, run binary, content bigint",
-        ),
-        "html-runs",
-    )
+    outside = told.filter(F.col("kind") == OUTSIDE).join(few(open_hosts), "host", "left_semi")
     known = (
-        told.groupBy("host", "run")
+        outside.groupBy("host", "run")
         .agg(F.countDistinct("content").alias("n_pages"))
         .filter(F.col("n_pages") >= least_pages)
+        .select("host", "run")
     )
-    answers = told.select("host", "shard", "run").distinct().join(known, ["host", "run"])
-    shown = dealt.withColumn("run", F.lit(None).cast("binary")).unionByName(
-        answers.select("host", "shard", "run", F.lit(False).alias("whole")),
-        allowMissingColumns=True,
+    answers = outside.select("host", "shard", "run").distinct().join(known, ["host", "run"])
+    answers = answers.withColumn("article", F.lit(False)).unionByName(
+        in_all_shards(inside).withColumn("article", F.lit(True))
     )
-    decided = in_batches(
-        together(shown),
-        partial(_clean, run=run, least=least_pages),
-        "page_id bigint, url string, text string, n_chars bigint, n_cut bigint",
+    shown = parsed(dealt.join(few(open_hosts), "host", "left_semi")).unionByName(
+        answers, allowMissingColumns=True
     )
-    marked = parsed.filter(F.col("text").isNotNull()).select(
+    decided = by_shard(shown, _clean, _TEXTS)
+    closed = dealt.join(few(open_hosts), "host", "left_anti").select("page_id", "url", "html")
+    marked = in_batches(closed, _articles, "page_id bigint, url string, text string").select(
         "page_id", "url", "text",
         F.length("text").cast("bigint").alias("n_chars"), F.lit(0).cast("bigint").alias("n_cut"),
     )

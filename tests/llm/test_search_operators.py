@@ -185,6 +185,95 @@ def test_host_size_leaves_texts_alone(spark):
     assert all(bar not in texts[i] and rare not in texts[i] and texts[i] for i in range(120))
 
 
+def brute_in_articles(pages, run, least):
+    """Main blocks that go, by comparing every run of every article with all others."""
+
+    def stretches(blocks):
+        held = []
+        for place, block in enumerate([*blocks, {"kind": html_text.CHROME, "text": ""}]):
+            if block["kind"] == html_text.MAIN:
+                held += [(word, place) for word in block["text"].split(" ")]
+            else:
+                yield held
+                held = []
+
+    shown, articles = {}, 0
+    for page, (content, blocks) in enumerate(pages):
+        articles += any(b["kind"] == html_text.MAIN for b in blocks)
+        keys = {b["text"] for b in blocks if b["kind"] == html_text.MAIN and len(b["text"].split(" ")) < run}
+        for said in stretches(blocks):
+            keys |= {tuple(w for w, _ in said[i : i + run]) for i in range(len(said) - run + 1)}
+        for key in keys:
+            shown.setdefault(key, []).append((page, content))
+    often = {k for k, own in shown.items() if 2 * len(own) >= articles and len({c for _, c in own}) >= least}
+    out = []
+    for _, blocks in pages:
+        gone = {i for i, b in enumerate(blocks) if b["kind"] == html_text.MAIN and b["text"] in often}
+        for said in stretches(blocks):
+            covered = set()
+            for i in range(len(said) - run + 1):
+                if tuple(w for w, _ in said[i : i + run]) in often:
+                    covered.update(range(i, i + run))
+            for own in {p for _, p in said}:
+                if all(i in covered for i, (_, p) in enumerate(said) if p == own):
+                    gone.add(own)
+        size = [len(b["text"].split(" ")) if b["kind"] == html_text.MAIN else 0 for b in blocks]
+        out.append(gone if 2 * sum(size[i] for i in gone) <= sum(size) else set())
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_repeats_in_articles_equal_brute_force(seed):
+    rng = random.Random(seed)
+    bars = [words(rng, n) for n in (3, 20, 40)]
+    pages = []
+    for i in range(13):
+        blocks = []
+        for bar in bars:
+            blocks += [{"kind": html_text.MAIN, "text": bar}] * (rng.random() < 0.6)
+            blocks += [{"kind": html_text.CHROME, "text": bar}] * (rng.random() < 0.2)
+            blocks.append({"kind": html_text.MAIN, "text": words(rng, rng.randrange(1, 40), 9999)})
+        pages.append((i % 11, blocks if i % 6 else []))
+    want = brute_in_articles(pages, 16, 3)
+    assert html_text.repeated_in_articles(pages, 16, 3) == want
+    assert any(want) or seed
+    # by shards: the candidates of each, counted in all, give the same
+    dealt = [pages[shard::3] for shard in range(3)]
+    asked = {key for part in dealt for key, _, _ in html_text.shared_in_articles(part, 16, 3)[1]}
+    articles, told, own = 0, Counter(), {}
+    for part in dealt:
+        total, shared = html_text.shared_in_articles(part, 16, 3, asked)
+        articles += total
+        for key, n, contents in shared:
+            told[key] += n
+            own.setdefault(key, set()).update(contents)
+    known = {key for key, n in told.items() if 2 * n >= articles and len(own[key]) >= 3}
+    for shard, part in enumerate(dealt):
+        assert html_text.repeated_in_articles(part, 16, 3, known) == want[shard::3]
+
+
+@pytest.mark.parametrize("shard_words", [html_text.SHARD_WORDS, 150])
+def test_marked_articles_lose_what_the_host_repeats(spark, shard_words):
+    rng = random.Random(8)
+    bar, quoted = words(rng, 30), words(rng, 25)
+    rows, want = [], {}
+    for i in range(40):  # the bar is in most articles, the quotation in few
+        said = [words(rng, 50, 9999)] + [bar] * (i % 4 > 0) + [quoted] * (i % 9 == 0)
+        rows.append((i, "http://h/x", "<article>" + "".join(f"<p>{p}</p>" for p in said) + "</article>"))
+        want[i] = "\n".join(p for p in said if p != bar)
+    long = words(rng, 90)  # copies of one article keep it, and few pages prove nothing
+    for i in range(50, 54):
+        want[i] = f"{long}\nCopy {i}"
+        rows.append((i, "http://copies/x", f"<main><p>{long}</p><p>Copy {i}</p></main>"))
+    rows += [(60, "http://other/x", f"<article>{bar}</article>"), (3, *rows[3][1:])]
+    want[60] = bar
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    out = html_text.main_text(frame, shard_words=shard_words).collect()
+    assert len(out) == len(rows)
+    assert {r.page_id: r.text for r in out} == want
+    assert {r.page_id for r in out if r.n_cut} == {i for i in range(40) if i % 4}
+
+
 def test_suffix_ranks_equal_sorting():
     rng = np.random.default_rng(3)
     tokens = rng.integers(0, 3, 300)
