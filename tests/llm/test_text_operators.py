@@ -5,6 +5,7 @@ import re
 import time
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from helpers import DOCS, awkward_docs, words
 
@@ -204,6 +205,41 @@ def test_mixing_of_more_sources_than_entries(spark, weights):
     assert len({(r.slot, r.place) for r in out}) == len(out)
 
 
+def test_sources_in_groups_keep_their_shares(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ENTRIES", 6)
+    monkeypatch.setattr(mixing, "SHARED", 2)
+    monkeypatch.setattr(mixing, "GROUP", 4)
+    # in the order of the table each source comes whole, and each lasts for 12 blocks
+    rows = [(s * 100 + i, "t" * 50, f"s{s:02}") for s in range(40) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").coalesce(1)
+    weights = {f"s{s:02}": 1.0 + s % 2 for s in range(40)}
+    out = mixing.mix(docs, weights, block=100).collect()
+    assert Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
+    owner = {r.slot: (r.source, r.block) for r in out}
+    assert sorted(owner) == list(range(40 * 12)) and len(set(owner.values())) == 40 * 12
+    assert all(owner[r.slot] == (r.source, r.block) for r in out)
+    assert all(r.block == r.place // 100 for r in out)
+    given, last = Counter(), {}
+    for slot in range(40 * 12):
+        source, block = owner[slot]
+        assert last.get(source, -1) == block - 1
+        last[source] = block
+        if slot < 200:  # all sources last
+            given[source] += 1
+            # less than a block on each of four levels
+            assert all(abs(given[s] - (slot + 1) * w / 60) < 4 for s, w in weights.items())
+
+
+@pytest.mark.parametrize("count", [1, 5, 40])
+def test_schedule_gives_every_slot_once(count):
+    rng = random.Random(count)
+    blocks = {f"s{i}": rng.choice([1, 1, 2, 7, 300]) for i in range(count)}
+    phases = mixing.schedule(blocks, {n: rng.random() + 0.01 for n in blocks}, 64)
+    slots = [mixing.slots_of(phases, n, np.arange(b)).tolist() for n, b in blocks.items()]
+    assert all(own == sorted(own) for own in slots)
+    assert sorted(x for own in slots for x in own) == list(range(sum(blocks.values())))
+
+
 def plain_spans(text):
     def luhn(digits):
         doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
