@@ -17,8 +17,9 @@ neighbouring words in it is frequent in the whole corpus:
 What is longer than a candidate by one word is its left and right extensions, so they decide
 whether it goes; two words more can never be needed, as the phrase between counts at least as much.
 
-Memory of a task is some 150 bytes for each word of one shard, and 50 for each pair of its team. Hot words, phrases and languages
-are spread by shards; nothing is broadcast by hand.
+Memory of a task is some 150 bytes for each word of one shard, and 12 for each pair of the shards of
+its team, which are merged in parts of ``_MERGED`` pairs. Hot words, phrases and languages are spread by
+shards; nothing is broadcast by hand.
 
 Defined results: null and empty texts have no words; a null language is ``und``; repeated rows
 count each; doc_id and other columns are ignored. An empty table gives no rows. Phrases that tie in
@@ -45,6 +46,7 @@ SHARD_BYTES = 8_000_000  # of text
 TEAM_WORDS = 8_000_000  # of a language whose shards one task counts, one after the other
 BLOCK = 1 << 18  # words of a stored block of a transform
 _ROWS = 100_000  # of a batch that goes back to Spark
+_MERGED = 500_000  # pairs of a team merged at a time
 _PIECE_ENDS = b".,;:!?\x0b\x0c\r"
 _PLAIN = bytes(
     10 if c in _PIECE_ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256)
@@ -292,25 +294,53 @@ def _batches(columns: dict[str, np.ndarray | None], rows: int) -> Iterator[pa.Re
         yield batch_of({k: (v, pa.int64()) for k, v in part.items()})
 
 
-def summed(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct pairs with their sums."""
-    names, coded = np.unique(np.concatenate((first, second)), return_inverse=True)
-    keys = coded[: len(first)] * len(names) + coded[len(first) :]
-    order = np.argsort(keys)
-    keys = keys[order]
-    starts, _ = runs(keys)
-    sums = np.add.reduceat(n[order], starts) if len(starts) else n
-    return names[keys[starts] // len(names)], names[keys[starts] % len(names)], sums
+class ShardPairs:
+    """Pairs of frequent words of a shard, sorted by second and first word: 12 bytes each."""
+
+    def __init__(self, ids: np.ndarray, first: np.ndarray, second: np.ndarray, n: np.ndarray):
+        self.names = np.unique(ids[ids >= 0])
+        kept = (ids[first] >= 0) & (ids[second] >= 0)
+        places = np.searchsorted(self.names, ids)
+        first, second, n = places[first[kept]], places[second[kept]], n[kept]
+        order = np.argsort(second * len(self.names) + first)
+        self.first, self.second, self.n = (x[order].astype(np.int32) for x in (first, second, n))
+
+
+def summed(shards: list[ShardPairs], most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Distinct pairs of all shards with their sums, some ``most`` pairs of shards at a time."""
+    names = np.unique(np.concatenate([s.names for s in shards]))
+    places = [np.searchsorted(names, s.names) for s in shards]
+    counts = np.zeros(len(names), np.int64)  # pairs by second word
+    for shard, place in zip(shards, places):
+        counts[place] += np.bincount(shard.second, minlength=len(place))
+    total = np.cumsum(counts)
+    cuts = np.searchsorted(total, np.arange(most, int(counts.sum()), most)) + 1
+    bounds = np.unique(np.concatenate(([0], cuts, [len(names)])))
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        keys, sums = [], []
+        for shard, place in zip(shards, places):
+            rows = slice(*np.searchsorted(shard.second, np.searchsorted(place, (low, high))))
+            keys.append(place[shard.second[rows]] * len(names) + place[shard.first[rows]])
+            sums.append(shard.n[rows])
+        keys, n = np.concatenate(keys), np.concatenate(sums).astype(np.int64)
+        if not len(keys):
+            continue
+        order = np.argsort(keys)
+        keys = keys[order]
+        starts, _ = runs(keys)
+        n = np.add.reduceat(n[order], starts)
+        keys = keys[starts]
+        yield names[keys % len(names)], names[keys // len(names)], n
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of frequent words of each team."""
-    held: list[tuple[np.ndarray, ...]] = []
+    held: list[ShardPairs] = []
 
     def flush(team: int) -> Iterator[pa.RecordBatch]:
-        first, second, n = summed(*(np.concatenate(x) for x in zip(*held)))
+        for first, second, n in summed(held, _MERGED):
+            yield from _batches({"w1": first, "w2": second, "team": np.full(len(n), team), "n": n}, len(n))
         held.clear()
-        yield from _batches({"w1": first, "w2": second, "team": np.full(len(n), team), "n": n}, len(n))
         pa.default_memory_pool().release_unused()
 
     last = None
@@ -320,8 +350,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = team
         forward, ids = _read_shard(rows, "forward")
         first, second, counts, _ = pairs_of(forward)
-        kept = (ids[first] >= 0) & (ids[second] >= 0)
-        held.append((ids[first[kept]], ids[second[kept]], counts[kept]))
+        held.append(ShardPairs(ids, first, second, counts))
     if held:
         yield from flush(last)
 

@@ -2,9 +2,12 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from helpers import DOCS, awkward_docs
 
@@ -117,3 +120,39 @@ def test_wide_alphabets_sort_alike():
     orders = [collocations._order(*words, size) for size in (50, 2**21)]
     keys = [list(zip(*(w[o].tolist() for w in words))) for o in orders]
     assert keys[0] == keys[1] == sorted(keys[0])
+
+
+def test_pairs_of_a_team_take_little_memory():
+    rng = np.random.default_rng(5)
+    vocabulary = np.array([f"w{i}" for i in range(2000)])
+    counts, batches, longest = Counter(), [], 0
+    for shard in range(8):
+        text = vocabulary[rng.integers(0, 2000, 200_000)]
+        counts.update(zip(text.tolist(), text[1:].tolist()))
+        index = pa.Table.from_batches(list(collocations._index_rows(shard, "en", " ".join(text).encode())))
+        blocks = index.filter(pc.is_valid(index["block"])).select(["shard", "block", "forward"])
+        local = index.filter(pc.is_valid(index["local"])).select(["shard", "local", "word"])
+        ids = pa.array([int(w[1:]) << 33 for w in local["word"].to_pylist()])  # as Spark numbers rows
+        for rows, kind, a, b, forward in (
+            (blocks, 0, blocks["block"], pa.nulls(len(blocks), pa.int64()), blocks["forward"]),
+            (local, 1, local["local"], ids, pa.nulls(len(local), pa.binary())),
+        ):
+            columns = {"team": pa.array([7] * len(rows)), "shard": rows["shard"], "kind": pa.array([kind] * len(rows)),
+                       "a": a.cast(pa.int64()), "b": b, "forward": forward}
+            batches += pa.table(columns).to_batches()
+        longest = max(longest, len(text))
+    pairs = 0
+    out = Counter()
+    tracemalloc.start()
+    for batch in collocations._pairs(iter(batches)):
+        pairs += len(batch)
+        if pairs <= 200_000:  # the generator holds all shards by now
+            for first, second, team, n in zip(*(c.to_pylist() for c in batch.columns)):
+                assert team == 7
+                out[f"w{first >> 33}", f"w{second >> 33}"] += n
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs == len(counts)
+    assert out and all(counts[key] == n for key, n in out.items())
+    # some 1.6 million pairs of shards; merged at once they took 150 bytes each
+    assert peak < 150 * longest + 60 * 8 * longest
