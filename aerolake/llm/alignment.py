@@ -26,9 +26,11 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -48,6 +50,8 @@ SLICES = (
 )
 _KINDS = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
 TEXT, UNITS, PAIR = 0, 1, 2
+MARKS = (",", "|", ";", "")  # after an id: in a side of a group, after one, after a group, after a unit
+INSIDE, SIDE_END, GROUP_END, UNIT_END = range(4)
 MEASURES = (
     "key binary, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string,"
     " n_best bigint, count_sum bigint"
@@ -102,6 +106,14 @@ class Tokenizers:
             i: bytes(back[c] for c in entry) for entry, i in self.first.get_vocab(with_added_tokens=False).items()
         }
         self.second_bytes = [self._piece(i) for i in range(self.second.get_piece_size())]
+        size = max(self.first_bytes) + 1
+        self.tables = tuple(
+            pa.array(table, pa.binary())
+            for table in ([self.first_bytes.get(i, b"") for i in range(size)], self.second_bytes)
+        )
+        most = max(size, len(self.second_bytes))
+        # every id followed by each of the marks
+        self.spelt = pa.array([f"{i}{mark}" for mark in MARKS for i in range(most)])
         self.space = self.second.piece_to_id("▁")
         self.new: dict[bytes, Unit | None] = {}
         self.old: dict[bytes, Unit | None] = {}
@@ -114,7 +126,7 @@ class Tokenizers:
 
     def ids(self, units: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
         texts = [unit.decode() for unit in units]
-        a = [e.ids for e in self.first.encode_batch(texts, add_special_tokens=False)]
+        a = [e.ids for e in self.first.encode_batch_fast(texts, add_special_tokens=False)]
         # the second tokenizer adds the space itself, but not to an empty text
         b = self.second.encode([text[1:] for text in texts], num_threads=1)
         return a, [ids if len(text) > 1 else [self.space] for ids, text in zip(b, texts)]
@@ -133,52 +145,74 @@ class Tokenizers:
         out: list[Unit | None] = []
         for at in range(0, len(units), 20_000):
             part = units[at : at + 20_000]
-            a, b = self.ids(part)
-            size_a, size_b = self.first_bytes, self.second_bytes
-            good = [
-                b"".join([size_a[i] for i in x]) == u == b"".join([size_b[i] for i in y])
-                for u, x, y in zip(part, a, b)
-            ]
-            a, b = ([x for x, ok in zip(ids, good) if ok] for ids in (a, b))
-            ends = ([[len(table[i]) for i in x] for x in ids] for ids, table in ((a, size_a), (b, size_b)))
-            found = iter(aligned(a, b, *ends))
-            out += [next(found) if ok else None for ok in good]
+            sides = [Side(ids, table) for ids, table in zip(self.ids(part), self.tables)]
+            wanted = pa.array(part, pa.large_binary())
+            good = np.logical_and(*(side.gives_back(wanted) for side in sides))
+            found = iter(aligned(*(side.only(good) for side in sides), self.spelt))
+            out += [next(found) if ok else None for ok in good.tolist()]
         return out
 
 
-def aligned(a: list[list[int]], b: list[list[int]], a_sizes: list[list[int]], b_sizes: list[list[int]]) -> list[Unit]:
-    """Units from their ids and the sizes of their tokens in bytes; each side covers the same bytes."""
-    flat = [np.array([i for ids in side for i in ids], np.int64) for side in (a, b)]
-    a_ends, b_ends = (np.cumsum([n for sizes in side for n in sizes], dtype=np.int64) for side in (a_sizes, b_sizes))
-    a_starts = np.concatenate(([0], a_ends[:-1])) if len(a_ends) else a_ends
+class Side:
+    """The ids of one tokenizer for some units, one after the other."""
+
+    def __init__(self, ids: list[list[int]], table: pa.Array):
+        self.sizes = np.fromiter(map(len, ids), np.int64, len(ids))  # in tokens
+        self.ids = np.fromiter(chain.from_iterable(ids), np.int64, int(self.sizes.sum()))
+        self.spelt = table.take(pa.array(self.ids)).cast(pa.large_binary())
+        self.lengths = pc.binary_length(self.spelt).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def gives_back(self, units: pa.Array) -> np.ndarray:
+        """Whether the bytes of the tokens of each unit are the unit."""
+        ends = np.concatenate(([0], np.cumsum(self.lengths)))
+        offsets = ends[np.concatenate(([0], np.cumsum(self.sizes)))]
+        buffers = [None, pa.py_buffer(offsets), self.spelt.buffers()[2]]
+        joined = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(units), buffers)
+        return pc.equal(joined, units).to_numpy(zero_copy_only=False)
+
+    def only(self, good: np.ndarray) -> Side:
+        """The same without the other units."""
+        if good.all():
+            return self
+        out = object.__new__(Side)
+        kept = np.repeat(good, self.sizes)
+        out.sizes, out.ids, out.lengths = self.sizes[good], self.ids[kept], self.lengths[kept]
+        return out
+
+
+def aligned(a: Side, b: Side, spelt: pa.Array) -> list[Unit]:
+    """Units from the tokens of both sides, each of which covers the same bytes."""
+    a_ends, b_ends = np.cumsum(a.lengths), np.cumsum(b.lengths)
     # tokens of b that a token of a meets: from the first that ends after its start
-    low = np.searchsorted(b_ends, a_starts, "right")
+    low = np.searchsorted(b_ends, a_ends - a.lengths, "right")
     counts = np.searchsorted(b_ends, a_ends, "left") - low + 1
     met = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
-    pairs = (np.repeat(flat[0], counts) << 32) + flat[1][met] if len(met) else np.zeros(0, np.int64)
+    pairs = (np.repeat(a.ids, counts) << 32) + b.ids[met]
     links = np.concatenate(([0], np.cumsum(counts)))
-    a_cut, b_cut = (np.isin(x, y).tolist() for x, y in ((a_ends, b_ends), (b_ends, a_ends)))
-    out, i, j = [], 0, 0
-    for x, y in zip(a, b):
-        i_end, j_end = i + len(x), j + len(y)
-        left, right = (_grouped(ids, cuts) for ids, cuts in ((x, a_cut[i:i_end]), (y, b_cut[j:j_end])))
-        groups = ";".join([f"{p}|{q}" for p, q in zip(left, right)]).encode()
-        out.append(Unit(len(x), len(y), len(left), groups, pairs[links[i] : links[i_end]].tobytes()))
-        i, j = i_end, j_end
-    return out
-
-
-def _grouped(ids: list[int], cuts: list[bool]) -> list[str]:
-    """Ids between cuts, joined by commas."""
-    if len(ids) == 1:
-        return [str(ids[0])]
-    out, held = [], []
-    for i, cut in zip(ids, cuts):
-        held.append(str(i))
-        if cut:
-            out.append(",".join(held))
-            held = []
-    return out
+    # groups end where both sides end a token
+    a_cut = b_ends[np.minimum(np.searchsorted(b_ends, a_ends), max(len(b_ends) - 1, 0))] == a_ends
+    b_cut = a_ends[np.minimum(np.searchsorted(a_ends, b_ends), max(len(a_ends) - 1, 0))] == b_ends
+    a_stops, b_stops = np.cumsum(a.sizes), np.cumsum(b.sizes)
+    in_groups = np.cumsum(a_cut)  # groups that end with or before each token of a
+    groups = np.diff(np.concatenate(([0], in_groups[a_stops - 1]))) if len(a_stops) else a_stops
+    # tokens in the order of the text of groups: a's of a group, then b's; marks follow each
+    a_group, b_group = (np.cumsum(cut) - cut for cut in (a_cut, b_cut))
+    order = np.argsort(np.concatenate((2 * a_group, 2 * b_group + 1)), kind="stable")
+    b_marks = np.where(b_cut, GROUP_END, INSIDE)
+    b_marks[b_stops - 1] = UNIT_END
+    marks = np.concatenate((np.where(a_cut, SIDE_END, INSIDE), b_marks))
+    ids = np.concatenate((a.ids, b.ids))
+    text = spelt.take(pa.array((marks * (len(spelt) // len(MARKS)) + ids)[order])).cast(pa.large_string())
+    offsets = np.frombuffer(text.buffers()[1], np.int64)[: len(order) + 1]
+    raw = text.buffers()[2].to_pybytes() if len(order) else b""
+    at = offsets[np.concatenate(([0], a_stops + b_stops))].tolist()
+    link_at = links[np.concatenate(([0], a_stops))].tolist()
+    return [
+        Unit(n_a, n_b, n, raw[i:j], pairs[x:y].tobytes())
+        for n_a, n_b, n, i, j, x, y in zip(
+            a.sizes.tolist(), b.sizes.tolist(), groups.tolist(), at, at[1:], link_at, link_at[1:]
+        )
+    ]
 
 
 @lru_cache(maxsize=1)
@@ -235,8 +269,7 @@ def _slice(number: int, keys: list[bytes], texts: list[bytes], copies: np.ndarra
     spoilt = np.array([u is None for u in units])
     bad = np.logical_or.reduceat(spoilt[ids], firsts)
     units = [u or Unit(0, 0, 0, b"", b"") for u in units]
-    pairs = [np.frombuffer(u.pairs, np.int64) for u in units]
-    links = np.array([len(p) for p in pairs])
+    links = np.array([len(u.pairs) // 8 for u in units])
     measured = {
         name: np.where(bad, 0, np.add.reduceat(np.array(values)[ids], firsts))
         for name, values in (
@@ -255,8 +288,10 @@ def _slice(number: int, keys: list[bytes], texts: list[bytes], copies: np.ndarra
     yield from _rows(number, TEXT, key=keys, groups_sha256=digests, **measured)
     # weights are whole numbers, exact as doubles up to 2 ** 53
     weights = np.bincount(ids, np.repeat(np.where(bad, 0, copies), sizes), len(units)).astype(np.int64)
-    flat = np.concatenate(pairs) if pairs else np.zeros(0, np.int64)
-    known, place = np.unique(flat, return_inverse=True)
+    flat = pa.Array.from_buffers(
+        pa.int64(), int(links.sum()), [None, pa.py_buffer(b"".join([u.pairs for u in units]))]
+    ).dictionary_encode()
+    known, place = (x.to_numpy(zero_copy_only=False) for x in (flat.dictionary, flat.indices))
     n = np.bincount(place, np.repeat(weights, links), len(known)).astype(np.int64)
     # a spoilt text keeps its units here: they have no part in its zeros
     yield from _rows(number, UNITS, units=[_packed(sizes, ids, links, place)])

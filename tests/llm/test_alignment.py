@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 from collections import Counter, defaultdict, deque
 
 import numpy as np
@@ -127,3 +128,31 @@ def test_remembered_units_are_forgotten_in_turn(paths, monkeypatch):
     for part in (units[:2], units[2:7], units, units[:1], units[5:]):
         assert [u.groups for u in both.find(part)] == [u.groups for u in both._align(part)]
     assert len(both.new) <= 3
+
+
+def test_alignment_works_on_batches_of_units(paths):
+    both = alignment.Tokenizers(*paths)
+    rng = random.Random(12)
+    units = {f" {''.join(rng.choices('abcdeéß日.19', k=rng.randrange(1, 12)))}".encode() for _ in range(4000)}
+    units = sorted(units)
+    calls = 0
+
+    def count(frame, event, _):
+        nonlocal calls
+        calls += event == "call" and frame.f_code.co_filename == alignment.__file__
+
+    tokens = both.ids(units)
+    both.ids = lambda _: tokens
+    sys.setprofile(count)
+    try:
+        found = both._align(units)
+    finally:
+        sys.setprofile(None)
+    assert calls < 1.5 * len(units)  # one object each; was six for a unit
+    for unit, first, second, got in zip(units, *tokens, found):
+        texts = [b"".join(table[i] for i in ids) for table, ids in ((both.first_bytes, first), (both.second_bytes, second))]
+        assert (got is not None) == (texts == [unit, unit])
+        if got is not None:
+            groups = [group.split("|") for group in got.groups.decode().split(";")]
+            sides = [[int(i) for group in groups for i in group[side].split(",")] for side in (0, 1)]
+            assert sides == [first, second] and (got.n_a, got.n_b, got.n_groups) == (len(first), len(second), len(groups))
